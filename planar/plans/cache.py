@@ -1,0 +1,23 @@
+"""Bookkeeping for frames an operator persists for its own re-reads.
+
+An operator that reads an intermediate result several times persists it
+(memory and disk; a lost executor's blocks are recomputed from lineage).
+The DataFrame it returns is lazy, so the operator can not unpersist before
+the caller's action; ``release()`` frees everything tracked here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+_TRACKED: list[DataFrame] = []
+
+
+def track(df: DataFrame) -> DataFrame:
+    _TRACKED.append(df)
+    return df
+
+
+def release() -> None:
+    while _TRACKED:
+        _TRACKED.pop().unpersist(blocking=False)
