@@ -1,0 +1,113 @@
+import random
+
+import pytest
+
+from planar.operators.joins import containment_join, containment_lists, heat_map, point_in_box_join
+from planar.plans import grid as G
+from tests import brute
+from tests.conftest import boxes_df, points_df
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _random_boxes(rnd, n, big=0):
+    out = []
+    for _ in range(n):
+        x, y = rnd.uniform(0, 100), rnd.uniform(0, 100)
+        w, h = rnd.expovariate(1 / 4), rnd.expovariate(1 / 4)
+        out.append((x, y, x + w, y - h) if rnd.random() < 0.5 else (x + w, y, x, y + h))
+    for _ in range(big):  # a few huge boxes force coarser grid levels
+        x, y = rnd.uniform(-10, 50), rnd.uniform(-10, 50)
+        out.append((x, y, x + rnd.uniform(50, 120), y + rnd.uniform(50, 120)))
+    return out
+
+
+@pytest.mark.parametrize("seed,big", [(0, 0), (1, 3), (2, 10)])
+def test_heat_map_matches_brute_force(spark, seed, big):
+    rnd = random.Random(seed)
+    boxes = _random_boxes(rnd, 150, big)
+    pts = [(rnd.uniform(-5, 110), rnd.uniform(-5, 110)) for _ in range(1500)]
+    pts += [pts[0]] * 200  # a hot group of copies
+    got = sorted((r.id, r.n) for r in heat_map(boxes_df(spark, boxes), points_df(spark, pts)).collect())
+    assert got == brute.heat(boxes, pts)
+
+
+@pytest.mark.parametrize("budget", ["0", str(64 << 20)])
+def test_heat_map_both_strategies(spark, budget):
+    spark.conf.set(G.BROADCAST_CONF, budget)
+    try:
+        rnd = random.Random(9)
+        boxes = _random_boxes(rnd, 80, 2) + [(1, 1, 30, 30)] * 3  # duplicate boxes
+        pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(800)]
+        df = heat_map(boxes_df(spark, boxes), points_df(spark, pts))
+        assert sorted((r.id, r.n) for r in df.collect()) == brute.heat(boxes, pts)
+        plan = _plan(df)
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.unset(G.BROADCAST_CONF)
+
+
+def test_heat_map_total_equals_pairs(spark):
+    rnd = random.Random(4)
+    boxes = _random_boxes(rnd, 120, 4)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(1000)]
+    b, p = boxes_df(spark, boxes), points_df(spark, pts, with_id=True)
+    total = sum(r.n for r in heat_map(b, p).collect())
+    assert total == point_in_box_join(b, p).count()
+
+
+def test_edges_excluded_for_points(spark):
+    boxes = [(0, 0, 10, 10)]
+    pts = [(0, 5), (10, 5), (5, 0), (5, 10), (5, 5), (0, 0)]
+    rows = heat_map(boxes_df(spark, boxes), points_df(spark, pts)).collect()
+    assert [(r.id, r.n) for r in rows] == [(0, 1)]
+
+
+def test_empty_point_side_keeps_zeros(spark):
+    b = boxes_df(spark, [(0, 0, 1, 1), (2, 2, 3, 3)])
+    p = points_df(spark, [(0.5, 0.5)]).where("x > 10")
+    assert sorted((r.id, r.n) for r in heat_map(b, p).collect()) == [(0, 0), (1, 0)]
+
+
+PROBES = [
+    (5, 5, 6, 6),      # inside box 0
+    (0, 5, 6, 6),      # on the left edge: excluded
+    (6, 6, 5, 5),      # inside, corners swapped
+    (50, 50, 51, 51),  # outside everything
+    (2, 2, 3, 3),      # inside box 0 and box 1
+    (5, 5, 6, 6),      # duplicate of the first probe
+]
+BOXES = [(0, 0, 10, 10), (1, 1, 4, 4), (10, 10, 0, 0), (3, 3, 12, 1)]
+
+
+def test_containment_pairs(spark):
+    got = sorted((r.probe_id, r.box_id) for r in containment_join(boxes_df(spark, PROBES), boxes_df(spark, BOXES)).collect())
+    assert got == brute.containment(PROBES, BOXES)
+
+
+def test_containment_lists(spark):
+    rows = containment_lists(boxes_df(spark, PROBES), boxes_df(spark, BOXES)).collect()
+    got = dict((r.id, r.ids) for r in rows)
+    assert len(rows) == len(PROBES)
+    # ordered by box xmin, then box id
+    assert got == {0: "0,2", 1: "", 2: "0,2", 3: "", 4: "0,2,1", 5: "0,2"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_containment_random(spark, seed):
+    rnd = random.Random(seed)
+    boxes = _random_boxes(rnd, 100, 3)
+    probes = []
+    for _ in range(600):
+        x, y = rnd.uniform(0, 100), rnd.uniform(0, 100)
+        probes.append((x, y, x + rnd.uniform(-2, 2), y + rnd.uniform(-2, 2)))
+    got = sorted((r.probe_id, r.box_id) for r in containment_join(boxes_df(spark, probes), boxes_df(spark, boxes)).collect())
+    assert got == brute.containment(probes, boxes)
+
+
+def test_invalid_rows_are_ignored(spark):
+    b = boxes_df(spark, [(0, 0, 10, 10), (float("nan"), 0, 1, 1)])
+    p = points_df(spark, [(5, 5), (float("nan"), 5), (float("inf"), 1)])
+    assert sorted((r.id, r.n) for r in heat_map(b, p).collect()) == [(0, 1)]
