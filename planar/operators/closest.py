@@ -35,7 +35,7 @@ from planar.functions.geometry import dist2, finite
 from planar.operators.hull import PAIR_SCHEMA, _best, _cell_pairs, _oriented
 from planar.plans import cache
 
-BASE_ROWS = 4096
+BASE_ROWS = 32768   # most points ever solved inside one task
 SLACK = 1.01
 _HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
@@ -88,15 +88,18 @@ def _grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float)
     ax, ay, bx, by = F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")
     less = (ax < bx) | ((ax == bx) & (ay < by))
     cond = (F.col("_kx") == F.col("_bx")) & (F.col("_ky") == F.col("_by")) & (~F.col("_same") | less)
-    pairs = a.join(b, cond, "inner")
+    # d2 is symmetric bit for bit ((a-b) is exactly -(b-a)), so the bound
+    # filter runs before the pair is put in (x, y) order.
+    pairs = a.join(b, cond, "inner").withColumn("d2", dist2(ax, ay, bx, by)).where(F.col("d2") <= F.lit(bound))
     swap = ~less
     o = pairs.select(
         F.when(swap, bx).otherwise(ax).alias("ax"),
         F.when(swap, by).otherwise(ay).alias("ay"),
         F.when(swap, ax).otherwise(bx).alias("bx"),
         F.when(swap, ay).otherwise(by).alias("by"),
-    ).withColumn("d2", dist2("ax", "ay", "bx", "by"))
-    best = o.where(F.col("d2") <= F.lit(bound)).agg(
+        "d2",
+    )
+    best = o.agg(
         F.min(F.struct("d2", "ax", "ay", "bx", "by")).alias("m")
     )
     return best.where(F.col("m").isNotNull()).select("m.ax", "m.ay", "m.bx", "m.by", "m.d2")
