@@ -5,9 +5,13 @@ A corner of the union is a crossing of a vertical and a horizontal box edge
 
 1. Valid boxes of positive area, distinct.
 2. Vertical edges ``(x, y0, y1)`` and horizontal edges ``(y, x0, x1)``,
-   distinct.  Their crossings come from a grid box-box join (each edge is a
-   degenerate box; a crossing is produced only in the cell holding it, on
-   the coarser of the two edges' levels, so exactly once).
+   distinct.  An edge lying strictly inside some box carries no corner and is
+   dropped (left-anti grid join on its first end point, residual: both ends
+   inside); with heavy overlap this removes most edges before the crossing
+   count can grow quadratic.  The crossings of the remaining edges come from
+   a grid box-box join (each edge is a degenerate box; a crossing is produced
+   only in the cell holding it, on the coarser of the two edges' levels, so
+   exactly once).
 3. Candidates strictly inside some box can not be corners: a left-anti grid
    join drops them, stopping at the first covering box.
 4. The remaining candidates (on the outline) meet the few boxes that contain
@@ -23,7 +27,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from planar.functions.geometry import normalize_boxes, point_in_box
+from planar.plans import cache
 from planar.plans.grid import box_box_join, box_point_join, plan_grid
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -38,28 +45,36 @@ def box_union_vertices(
         .select(*_BOX)
         .distinct()
     )
-    vert = (
-        r.select(F.col("xmin").alias("vx"), F.col("ymin").alias("vy0"), F.col("ymax").alias("vy1"))
-        .unionByName(r.select(F.col("xmax").alias("vx"), F.col("ymin").alias("vy0"), F.col("ymax").alias("vy1")))
-        .distinct()
-    )
-    hor = (
-        r.select(F.col("ymin").alias("hy"), F.col("xmin").alias("hx0"), F.col("xmax").alias("hx1"))
-        .unionByName(r.select(F.col("ymax").alias("hy"), F.col("xmin").alias("hx0"), F.col("xmax").alias("hx1")))
-        .distinct()
-    )
+    # Read by every step below; the grid planning job materialises it.
+    r = cache.track(r.persist(StorageLevel.MEMORY_AND_DISK))
+    grid = plan_grid((r, *_BOX))
+    if grid is None:
+        return r.select(F.col("xmin").alias("x"), F.col("ymin").alias("y")).where(F.lit(False))
+    vert = r.select(
+        F.explode(F.array(F.col("xmin"), F.col("xmax"))).alias("vx"),
+        F.col("ymin").alias("vy0"), F.col("ymax").alias("vy1"),
+    ).distinct()
+    hor = r.select(
+        F.explode(F.array(F.col("ymin"), F.col("ymax"))).alias("hy"),
+        F.col("xmin").alias("hx0"), F.col("xmax").alias("hx1"),
+    ).distinct()
+    xmin, ymin, xmax, ymax = (F.col(c) for c in _BOX)
     vx, hy = F.col("vx"), F.col("hy")
+    v_inside = (xmin < vx) & (vx < xmax) & (ymin < F.col("vy0")) & (F.col("vy1") < ymax)
+    h_inside = (ymin < hy) & (hy < ymax) & (xmin < F.col("hx0")) & (F.col("hx1") < xmax)
+    vert = box_point_join(r, vert, v_inside, point=("vx", "vy0"), how="left_anti", grid=grid)
+    hor = box_point_join(r, hor, h_inside, point=("hx0", "hy"), how="left_anti", grid=grid)
     crosses = (vx >= F.col("hx0")) & (vx <= F.col("hx1")) & (hy >= F.col("vy0")) & (hy <= F.col("vy1"))
     cand = (
-        box_box_join(vert, hor, crosses, vx, hy, ("vx", "vy0", "vx", "vy1"), ("hx0", "hy", "hx1", "hy"))
+        box_box_join(
+            vert, hor, crosses, vx, hy, ("vx", "vy0", "vx", "vy1"), ("hx0", "hy", "hx1", "hy"), grid=grid
+        )
         .select(vx.alias("px"), hy.alias("py"))
         .distinct()
     )
-    grid = plan_grid((r, *_BOX))
     outline = box_point_join(r, cand, point_in_box("px", "py", *_BOX), how="left_anti", grid=grid)
     touching = box_point_join(r, outline, point_in_box("px", "py", *_BOX, closed=True), grid=grid)
     px, py = F.col("px"), F.col("py")
-    xmin, ymin, xmax, ymax = (F.col(c) for c in _BOX)
     west = (xmin < px) & (xmax >= px)
     east = (xmin <= px) & (xmax > px)
     south = (ymin < py) & (ymax >= py)

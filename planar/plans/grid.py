@@ -121,9 +121,13 @@ class Grid:
         a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
         native = self.level_of(a, b, c, d)
         if coarser:
-            df = df.withColumn(kn, native)
-            lv_arr = F.filter(F.array(*[F.lit(v) for v in self.levels]), lambda v: v >= F.col(kn))
-            df = df.withColumn(kl, F.explode(lv_arr))
+            # Levels present in the grid at or above the native one; the
+            # first of them is where this box meets boxes of finer levels.
+            # (Past the coarsest level the box just covers more cells.)
+            present = F.array(*[F.lit(v) for v in self.levels])
+            ge = F.filter(present, lambda v: v >= native)
+            ge = F.when(F.size(ge) > 0, ge).otherwise(F.array(F.lit(self.levels[-1])))
+            df = df.withColumn(kn, ge).withColumn(kl, F.explode(kn)).withColumn(kn, F.element_at(kn, 1))
         else:
             df = df.withColumn(kl, native)
         lvl = F.col(kl)
@@ -240,7 +244,9 @@ def box_point_join(
         # chain of per-level anti joins.
         for lv in grid.levels:
             pc = grid.point_cells(kept, *point, prefix="_p", levels=(lv,))
-            side = bc.where(F.col("_bl") == lv)
+            # With one level the filter is a no-op; leaving it out keeps the
+            # box side identical across calls so its exchange is reused.
+            side = bc if len(grid.levels) == 1 else bc.where(F.col("_bl") == lv)
             kept = pc.join(side, keys() & residual, "left_anti").drop("_pl", "_px", "_py")
         return kept.unionByName(outside)
     raise ValueError(f"unsupported join type {how!r}")
