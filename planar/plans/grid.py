@@ -13,9 +13,10 @@ the join.  A point gets one cell on each level that holds boxes.  A box and
 a point inside it therefore meet in exactly one cell: no duplicates, no
 ``distinct`` afterwards.
 
-Planning costs two small aggregate jobs over the box side (extent and size
-percentiles, then the set of levels); only a handful of scalars reach the
-driver.  When the count from the first job proves the exploded box side
+Planning costs one aggregate job over the box side (extent, size
+percentiles and maxima, row count), plus a second one for the set of levels
+only when some box is larger than ``SPAN`` base cells; only a handful of
+scalars reach the driver.  When the count from the first job proves the exploded box side
 small, it is broadcast and the point side is never shuffled; otherwise both
 sides are hash-partitioned on the cell and AQE splits hot cells.
 """
@@ -119,20 +120,27 @@ class Grid:
         """
         kl, kx, ky, kn = f"{prefix}l", f"{prefix}x", f"{prefix}y", f"{prefix}n"
         a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
-        native = self.level_of(a, b, c, d)
-        if coarser:
-            # Levels present in the grid at or above the native one; the
-            # first of them is where this box meets boxes of finer levels.
-            # (Past the coarsest level the box just covers more cells.)
+        if len(self.levels) == 1:
+            # One level: every box is placed on it (a box larger than the
+            # planning pass saw would only cover more cells).
+            lvl = self.levels[0]
+            df = df.withColumn(kl, F.lit(lvl))
+            if coarser:
+                df = df.withColumn(kn, F.lit(lvl))
+        else:
+            # Levels present at or above the box's own one; the first is
+            # where the box lives (past the coarsest present level the box
+            # just covers more cells), so placement is right for any level
+            # set and the set only decides how much work is done.
+            native = self.level_of(a, b, c, d)
             present = F.array(*[F.lit(v) for v in self.levels])
             ge = F.filter(present, lambda v: v >= native)
             ge = F.when(F.size(ge) > 0, ge).otherwise(F.array(F.lit(self.levels[-1])))
-            df = df.withColumn(kn, ge).withColumn(kl, F.explode(kn)).withColumn(kn, F.element_at(kn, 1))
-        else:
-            df = df.withColumn(kl, native)
-        lvl = F.col(kl)
-        if len(self.levels) == 1:
-            lvl = self.levels[0]
+            if coarser:
+                df = df.withColumn(kn, ge).withColumn(kl, F.explode(kn)).withColumn(kn, F.element_at(kn, 1))
+            else:
+                df = df.withColumn(kl, F.element_at(ge, 1))
+            lvl = F.col(kl)
         df = df.withColumn(kx, F.explode(F.sequence(self.cell_x(a, lvl), self.cell_x(c, lvl))))
         return df.withColumn(ky, F.explode(F.sequence(self.cell_y(b, lvl), self.cell_y(d, lvl))))
 
@@ -155,7 +163,7 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
 
     Each side is ``(df, xmin, ymin, xmax, ymax)`` of valid, normalised
     boxes (points are boxes of size zero).  Returns ``None`` when all are
-    empty.  Two aggregate jobs, each returning one row.
+    empty.  One or two aggregate jobs, each returning one row.
     """
     parts = []
     for i, (df, a, b, c, d) in enumerate(sides):
@@ -172,6 +180,8 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
         F.min("_a").alias("x0"), F.min("_b").alias("y0"), F.max("_c").alias("x1"), F.max("_d").alias("y1"),
         F.percentile_approx(F.col("_c") - F.col("_a"), QUANTILE).alias("qw"),
         F.percentile_approx(F.col("_d") - F.col("_b"), QUANTILE).alias("qh"),
+        F.max(F.col("_c") - F.col("_a")).alias("mw"),
+        F.max(F.col("_d") - F.col("_b")).alias("mh"),
         *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
     ).first()
     if row is None or row["x0"] is None:
@@ -179,10 +189,14 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     x0, y0, x1, y1 = (float(row[k]) for k in ("x0", "y0", "x1", "y1"))
     wx = _base(row["qw"], x1 - x0)
     wy = _base(row["qh"], y1 - y0)
-    lvl = level_expr(wx, wy, F.col("_a"), F.col("_b"), F.col("_c"), F.col("_d"))
-    # At most ceil(log_BRANCH(MAX_CELLS / SPAN)) + 1 distinct values.
-    found = u.agg(F.array_sort(F.collect_set(lvl)).alias("l")).first()["l"]
-    levels = tuple(int(v) for v in found) or (0,)
+    if max(row["mw"] / wx, row["mh"] / wy) <= SPAN:
+        # Every box fits the base level: no second pass.
+        levels: tuple[int, ...] = (0,)
+    else:
+        lvl = level_expr(wx, wy, F.col("_a"), F.col("_b"), F.col("_c"), F.col("_d"))
+        # At most ceil(log_BRANCH(MAX_CELLS / SPAN)) + 1 distinct values.
+        found = u.agg(F.array_sort(F.collect_set(lvl)).alias("l")).first()["l"]
+        levels = tuple(int(v) for v in found) or (0,)
     counts = tuple(int(row[f"n{i}"]) for i in range(len(sides)))
     return Grid(x0, y0, x1, y1, wx, wy, levels, counts)
 

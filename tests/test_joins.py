@@ -111,3 +111,23 @@ def test_invalid_rows_are_ignored(spark):
     b = boxes_df(spark, [(0, 0, 10, 10), (float("nan"), 0, 1, 1)])
     p = points_df(spark, [(5, 5), (float("nan"), 5), (float("inf"), 1)])
     assert sorted((r.id, r.n) for r in heat_map(b, p).collect()) == [(0, 1)]
+
+
+@pytest.mark.parametrize("levels", [(0,), (1,), (0, 2), (1, 3), (0, 1, 2, 3, 4)])
+def test_grid_placement_is_right_for_any_level_set(spark, levels):
+    from dataclasses import replace
+
+    from planar.functions.geometry import normalize_boxes, point_in_box
+
+    rnd = random.Random(21)
+    boxes = _random_boxes(rnd, 60, 6)
+    pts = [(rnd.uniform(-5, 110), rnd.uniform(-5, 110)) for _ in range(700)]
+    b = normalize_boxes(boxes_df(spark, boxes)).select("id", "xmin", "ymin", "xmax", "ymax")
+    p = points_df(spark, pts, with_id=True).selectExpr("id as pid", "x as px", "y as py")
+    grid = replace(G.plan_grid((b, "xmin", "ymin", "xmax", "ymax")), levels=levels)
+    got = G.box_point_join(b, p, point_in_box("px", "py", "xmin", "ymin", "xmax", "ymax"), grid=grid)
+    got = sorted((r.pid, r.id) for r in got.collect())
+    want = sorted((i, j) for (j, i) in ((j, i) for j, i in [(j, i) for i in range(len(pts)) for j in range(len(boxes))
+                                                      if brute.norm(boxes[j])[0] < pts[i][0] < brute.norm(boxes[j])[2]
+                                                      and brute.norm(boxes[j])[1] < pts[i][1] < brute.norm(boxes[j])[3]]))
+    assert got == want
