@@ -127,7 +127,10 @@ def test_grid_placement_is_right_for_any_level_set(spark, levels):
     grid = replace(G.plan_grid((b, "xmin", "ymin", "xmax", "ymax")), levels=levels)
     got = G.box_point_join(b, p, point_in_box("px", "py", "xmin", "ymin", "xmax", "ymax"), grid=grid)
     got = sorted((r.pid, r.id) for r in got.collect())
-    want = sorted((i, j) for (j, i) in ((j, i) for j, i in [(j, i) for i in range(len(pts)) for j in range(len(boxes))
-                                                      if brute.norm(boxes[j])[0] < pts[i][0] < brute.norm(boxes[j])[2]
-                                                      and brute.norm(boxes[j])[1] < pts[i][1] < brute.norm(boxes[j])[3]]))
-    assert got == want
+    want = []
+    for i, (x, y) in enumerate(pts):
+        for j, box in enumerate(boxes):
+            a, c, e, d = brute.norm(box)
+            if a < x < e and c < y < d:
+                want.append((i, j))
+    assert got == sorted(want)
