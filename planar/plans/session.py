@@ -14,6 +14,11 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffle partitions sized by bytes, not counts: AQE coalesces toward
+    # this size, and a skewed partition is split when it is 5x the median
+    # and above the threshold.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
