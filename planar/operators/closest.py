@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import dist2, finite
-from planar.operators.hull import PAIR_SCHEMA, _best, _cell_pairs, _oriented
+from planar.operators.hull import PAIR_SCHEMA
+from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans import cache
 
 BASE_ROWS = 32768   # most points ever solved inside one task
@@ -53,9 +54,9 @@ def local_closest(P: np.ndarray):
         best = min(best, float(np.min(d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1])))
     span = max(np.ptp(P[:, 0]), np.ptp(P[:, 1]))
     w = max(math.sqrt(best) * SLACK, span * 2.0**-40, np.finfo(float).tiny)
-    i, j = _cell_pairs(P, w)
-    ax, ay, bx, by, d2 = _oriented(P, i, j)
-    k = _best(ax, ay, bx, by, d2, largest=False)
+    i, j = cell_pairs(P, w)
+    ax, ay, bx, by, d2 = oriented_pairs(P, i, j)
+    k = best_pair(ax, ay, bx, by, d2, largest=False)
     return (ax[k], ay[k], bx[k], by[k], d2[k])
 
 
@@ -133,6 +134,9 @@ def _closest(pts: DataFrame, seed: int, depth: int) -> DataFrame:
     if n <= BASE_ROWS:
         return pts.repartition(1).mapInPandas(_local, PAIR_SCHEMA)
     sample = pts.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
+    # Read up to three times by the level below (count, its own sample, its
+    # grid join); n**(2/3) rows, so small next to pts.
+    sample = cache.track(sample.persist(StorageLevel.MEMORY_AND_DISK))
     found = _closest(sample, seed, depth + 1).first()
     bound = found["d2"] if found is not None else _partition_bound(pts)
     if bound is None:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import finite
+from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 
 FANIN = 256          # partial hulls merged per task in the reduction tree
 CHUNK = 1 << 16      # points buffered per task before reducing to a hull
@@ -133,23 +134,6 @@ def _ring_clockwise(upper, lower) -> list[tuple[float, float]]:
     return out
 
 
-def _best(ax, ay, bx, by, d2, largest: bool):
-    """Index of the pair with the smallest (or largest) d2, ties by (ax, ay, bx, by)."""
-    key = -d2 if largest else d2
-    order = np.lexsort((by, bx, ay, ax, key))
-    return order[0]
-
-
-def _oriented(P: np.ndarray, i: np.ndarray, j: np.ndarray):
-    """Pairs (i, j) as (a, b) with a < b in (x, y) order, and their d2."""
-    ax, ay, bx, by = P[i, 0], P[i, 1], P[j, 0], P[j, 1]
-    swap = (ax > bx) | ((ax == bx) & (ay > by))
-    ax, bx = np.where(swap, bx, ax), np.where(swap, ax, bx)
-    ay, by = np.where(swap, by, ay), np.where(swap, ay, by)
-    dx, dy = ax - bx, ay - by
-    return ax, ay, bx, by, dx * dx + dy * dy
-
-
 def antipodal_candidates(P: np.ndarray):
     """Vertex pairs containing every antipodal pair of a strictly convex
     counter-clockwise polygon (rotating calipers, with both neighbours of
@@ -188,30 +172,11 @@ def farthest_from_hull(upper, lower):
         i, j = antipodal_candidates(ring)
         keep = i != j
         i, j = i[keep], j[keep]
-    ax, ay, bx, by, d2 = _oriented(ring, i, j)
-    k = _best(ax, ay, bx, by, d2, largest=True)
+    ax, ay, bx, by, d2 = oriented_pairs(ring, i, j)
+    k = best_pair(ax, ay, bx, by, d2, largest=True)
     return (ax[k], ay[k], bx[k], by[k], d2[k])
 
 
-def _cell_pairs(P: np.ndarray, w: float):
-    """Index pairs (i, j), i != j unordered, of points in the same or adjacent
-    cells of side ``w`` (half neighbourhood, so each pair appears once)."""
-    x0, y0 = P[:, 0].min(), P[:, 1].min()
-    df = pd.DataFrame(
-        {"i": np.arange(len(P)), "cx": np.floor((P[:, 0] - x0) / w).astype(np.int64),
-         "cy": np.floor((P[:, 1] - y0) / w).astype(np.int64)}
-    )
-    out_i, out_j = [], []
-    for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1)):
-        shifted = df.assign(cx=df.cx + dx, cy=df.cy + dy)
-        m = shifted.merge(df, on=["cx", "cy"], suffixes=("_a", "_b"))
-        if dx == 0 and dy == 0:
-            m = m[m.i_a < m.i_b]
-        out_i.append(m.i_a.to_numpy())
-        out_j.append(m.i_b.to_numpy())
-    return np.concatenate(out_i), np.concatenate(out_j)
-
-
 def closest_on_axes_from_hull(upper, lower):
     """Closest pair of hull vertices whose x and y both differ; a is the one
     with the smaller x.  The bound comes from ring neighbours, so only pairs
@@ -235,7 +200,7 @@ def closest_on_axes_from_hull(upper, lower):
     else:
         bound = 2.0 * span * span
     w = max(math.sqrt(bound) * 1.01, span * 2.0**-40, np.finfo(float).tiny)
-    i, j = _cell_pairs(ring, w)
+    i, j = cell_pairs(ring, w)
     ok = qualified(i, j)
     i, j = i[ok], j[ok]
     if len(i) == 0:
@@ -245,7 +210,7 @@ def closest_on_axes_from_hull(upper, lower):
     ax, ay, bx, by = ring[i, 0], ring[i, 1], ring[j, 0], ring[j, 1]
     dx, dy = ax - bx, ay - by
     d2 = dx * dx + dy * dy
-    k = _best(ax, ay, bx, by, d2, largest=False)
+    k = best_pair(ax, ay, bx, by, d2, largest=False)
     return (ax[k], ay[k], bx[k], by[k], d2[k])
 
 
