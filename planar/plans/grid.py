@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from planar.plans.session import conf_bytes
 
@@ -201,6 +202,12 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     return Grid(x0, y0, x1, y1, wx, wy, levels, counts)
 
 
+def _empty(a: DataFrame, b: DataFrame) -> DataFrame:
+    """No rows, with the columns of ``a`` followed by those of ``b``."""
+    schema = StructType(list(a.schema.fields) + list(b.schema.fields))
+    return a.sparkSession.createDataFrame([], schema)
+
+
 def _max_broadcast(spark) -> int:
     return conf_bytes(spark, BROADCAST_CONF, DEFAULT_BROADCAST)
 
@@ -235,7 +242,7 @@ def box_point_join(
     if grid is None:
         if how == "left_anti":
             return points
-        return boxes.crossJoin(points).where(F.lit(False))
+        return _empty(boxes, points)
     bc = grid.box_cells(boxes, *box, prefix="_b")
     helper = ["_bl", "_bx", "_by", "_pl", "_px", "_py"]
 
@@ -286,7 +293,7 @@ def box_box_join(
     if grid is None:
         grid = plan_grid((a, *abox), (b, *bbox))
     if grid is None:
-        return a.crossJoin(b).where(F.lit(False))
+        return _empty(a, b)
     ac = grid.box_cells(a, *abox, prefix="_a", coarser=True)
     bc = grid.box_cells(b, *bbox, prefix="_b", coarser=True)
     lvl = F.col("_al")

@@ -71,8 +71,8 @@ def read_boxes(
 ) -> DataFrame:
     """Boxes ``(id, x1, y1, x2, y2)`` from delimited text; corners in any order.
 
-    ``arealm.csv`` style: id in field 1, corners from field 2 (the defaults).
-    Join inputs: ``id_col=0, first_coord=1``.
+    Defaults: id in field 1, corners from field 2 (field 0 ignored).  Inputs
+    with the id first: ``id_col=0, first_coord=1``.
     """
     parsed = parse_boxes(spark, path, id_col, first_coord, sep)
     return _finish(parsed, on_error)
@@ -92,8 +92,9 @@ def read_points(
     id_col: int | None = None,
     on_error: str = "reject",
 ) -> DataFrame:
-    """Points ``([id,] x, y)`` from delimited text (default: the first corner
-    of an ``arealm.csv`` row; ``Points.txt`` is ``sep=', ', x_col=0, y_col=1``)."""
+    """Points ``([id,] x, y)`` from delimited text.  Defaults read the first
+    corner of a box row (fields 2 and 3); plain ``x, y`` lines are
+    ``sep=', ', x_col=0, y_col=1``."""
     parsed = parse_points(spark, path, x_col, y_col, sep, id_col)
     return _finish(parsed, on_error)
 

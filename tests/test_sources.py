@@ -46,7 +46,7 @@ def test_points_comma_blank(spark, scratch):
 
 
 def test_points_first_corner(spark, scratch):
-    path = _write(scratch, "arealm.csv", "0,7,1.5,2.5,9,9\n")
+    path = _write(scratch, "box_rows.csv", "0,7,1.5,2.5,9,9\n")
     assert [(r.x, r.y) for r in read_points(spark, path).collect()] == [(1.5, 2.5)]
 
 
