@@ -11,8 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's DataFrame, defined once per session (reading a parquet
+    schema costs a footer read; the DataFrame itself is lazy and immutable)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _emb(i: int):

@@ -1,6 +1,9 @@
 """Plan shape: range joins run as equi-joins, never as nested loops."""
 
+import re
+
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from planar.operators import closest as C
@@ -58,3 +61,21 @@ def test_closest_pair_line_against_brute_force(spark, monkeypatch):
     cache.release()
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_quantity", "round(l_extendedprice*100)").collect()
     assert got == _brute_closest(np.array([tuple(r) for r in rows], dtype=float))
+
+
+def test_heat_map_prunes_and_pushes_into_the_point_scan(spark, scratch):
+    import os
+
+    from planar.operators.joins import heat_map
+    from tests.conftest import boxes_df, points_df
+
+    path = os.path.join(scratch, "pts.parquet")
+    points_df(spark, [(i % 50, i // 50) for i in range(500)], with_id=True).withColumn("payload", F.lit("z")).write.parquet(path)
+    df = heat_map(boxes_df(spark, [(1, 1, 5, 5), (10, 2, 20, 4)]), spark.read.parquet(path))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
+    assert scans
+    for scan in scans:
+        assert re.search(r"FileScan parquet \[x#\d+,y#\d+\]", scan)  # id and payload pruned
+        assert "GreaterThanOrEqual(x,1.0)" in scan and "LessThanOrEqual(x,20.0)" in scan  # box extent pushed
