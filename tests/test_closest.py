@@ -54,3 +54,10 @@ def test_collinear_vertical(spark, monkeypatch):
     monkeypatch.setattr(C, "BASE_ROWS", 10)
     pts = [(3.0, float(i * i)) for i in range(80)]
     assert _pair(closest_pair(points_df(spark, pts))) == brute.closest(pts)
+
+
+def test_partition_bound_is_an_upper_bound(spark):
+    rnd = random.Random(8)
+    pts = [(rnd.random(), rnd.random()) for _ in range(300)]
+    bound = C._partition_bound(points_df(spark, pts).repartition(4))
+    assert bound >= brute.closest(pts)[4]

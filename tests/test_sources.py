@@ -73,3 +73,19 @@ def test_renderings(spark):
     assert render.format_heat(h).first().line == "(7,0)"
     j = spark.createDataFrame([(3, "")], "id long, ids string")
     assert render.format_join(j).first().line == "3: "
+
+
+def test_text_to_heat_map_lines(spark, scratch):
+    from planar.operators.joins import containment_lists, heat_map
+
+    boxes = _write(scratch, "rects.csv", "0,r1,0,0,10,10\n0,r2,20,20,5,5\n0,r3,30,30,31,31\nbroken\n")
+    pts = _write(scratch, "pts.csv", "0,p,1,1\n0,p,6,6\n0,p,8,9\n0,p,10,5\n")
+    out = os.path.join(scratch, "heat")
+    heat = heat_map(read_boxes(spark, boxes), read_points(spark, pts))
+    write_lines(render.format_heat(heat), out, single_file=True)
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["(r1,3)", "(r2,2)", "(r3,0)"]
+
+    probes = _write(scratch, "probes.csv", "q1, 6,6,7,7\nq2,1,1,1,1\nq3,40,40,41,41\n")
+    lists = containment_lists(read_boxes(spark, probes, id_col=0, first_coord=1), read_boxes(spark, boxes))
+    got = sorted(r.line for r in render.format_join(lists).collect())
+    assert got == ["q1: r1,r2", "q2: r1", "q3: "]
