@@ -12,12 +12,11 @@ A corner of the union is a crossing of a vertical and a horizontal box edge
    a grid box-box join (each edge is a degenerate box; a crossing is produced
    only in the cell holding it, on the coarser of the two edges' levels, so
    exactly once).
-3. Candidates strictly inside some box can not be corners: a left-anti grid
-   join drops them, stopping at the first covering box.
-4. The remaining candidates (on the outline) meet the few boxes that contain
-   them (closed); ``bool_or`` gives which of the four quadrants around the
-   point are covered.  A corner has one or three covered quadrants, or two
-   diagonal ones.
+3. Each candidate meets the boxes of its grid cell that contain it (closed);
+   ``bool_or``, aggregated map-side in the join's own stage, gives which of
+   the four quadrants around the point are covered.  A corner has one or
+   three covered quadrants, or two diagonal ones; a candidate strictly
+   inside a box has all four and drops out.
 
 The output is the set of distinct corner coordinates, unordered.
 """
@@ -72,8 +71,7 @@ def box_union_vertices(
         .select(vx.alias("px"), hy.alias("py"))
         .distinct()
     )
-    outline = box_point_join(r, cand, point_in_box("px", "py", *_BOX), how="left_anti", grid=grid)
-    touching = box_point_join(r, outline, point_in_box("px", "py", *_BOX, closed=True), grid=grid)
+    touching = box_point_join(r, cand, point_in_box("px", "py", *_BOX, closed=True), grid=grid)
     px, py = F.col("px"), F.col("py")
     west = (xmin < px) & (xmax >= px)
     east = (xmin <= px) & (xmax > px)
