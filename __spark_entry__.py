@@ -93,6 +93,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("part", "emb"):
         view = fx.VIEWS[f"boxes_{name}"]
         q[f"box_union_vertices_{name}"] = lambda s, d, v=view: box_union_vertices(v(s, d))
+    for name in ("emb", "ev", "ord"):
+        view = fx.VIEWS[f"points_{name}"]
+        q[f"convex_hull_ring_{name}"] = lambda s, d, v=view: convex_hull_ring(v(s, d))
+        q[f"hull_chains_{name}"] = lambda s, d, v=view: hull_chains(v(s, d))
+    q["farthest_pair_ord"] = lambda s, d: farthest_pair(fx.points_ord(s, d))
+    q["point_in_box_join_dense"] = lambda s, d: point_in_box_join(fx.boxes_emb(s, d), fx.points_emb(s, d))
     return q
 
 
@@ -166,6 +172,10 @@ o as (select 0 g, x k, x, y from st
 select (row_number() over (order by g,k) - 1)::int ord, x, y from o"""
 
 
+def _chains_sql(points: str) -> str:
+    return _hull_ctes(points) + "select 'upper' chain,x,y from up union all select 'lower',x,y from lo"
+
+
 def _pair_sql(points: str, desc: bool) -> str:
     order = "d2 desc" if desc else "d2"
     return (
@@ -222,8 +232,7 @@ def oracle_sql() -> dict[str, str]:
         "heat_map": _heat_sql("boxes_part", "points_ev"),
         "heat_map_dense": _heat_sql("boxes_emb", "points_emb"),
         "convex_hull_ring": _ring_sql("points_part"),
-        "hull_chains": _hull_ctes("points_part")
-        + "select 'upper' chain,x,y from up union all select 'lower',x,y from lo",
+        "hull_chains": _chains_sql("points_part"),
         "hull_closest_pair": _hull_closest_sql("points_ev"),
         "extent": with_views("points_ord")
         + "select min(x) xmin, min(y) ymin, max(x) xmax, max(y) ymax from points_ord",
@@ -245,4 +254,12 @@ def oracle_sql() -> dict[str, str]:
         o[f"closest_pair_{name}"] = _pair_sql(f"points_{name}", False)
     for name in ("part", "emb"):
         o[f"box_union_vertices_{name}"] = _union_sql(f"boxes_{name}")
+    for name in ("emb", "ev", "ord"):
+        o[f"convex_hull_ring_{name}"] = _ring_sql(f"points_{name}")
+        o[f"hull_chains_{name}"] = _chains_sql(f"points_{name}")
+    o["farthest_pair_ord"] = _pair_sql("points_ord", True)
+    o["point_in_box_join_dense"] = (
+        with_views("boxes_emb", "points_emb")
+        + f", {_B('boxes_emb')} select r.id box_id, p.id point_id from B r join points_emb p on {_POINT_IN}"
+    )
     return o
