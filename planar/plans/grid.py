@@ -246,8 +246,8 @@ def box_point_join(
     bc = grid.box_cells(boxes, *box, prefix="_b")
     helper = ["_bl", "_bx", "_by", "_pl", "_px", "_py"]
 
-    def keys(lv_col_b="_bl"):
-        return (F.col(lv_col_b) == F.col("_pl")) & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
+    def keys():
+        return (F.col("_bl") == F.col("_pl")) & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
 
     bound = grid.counts[0] * (SPAN + 1) ** 2 if grid.counts else None
     small = bound is not None and fits_broadcast(boxes, bound)
