@@ -297,13 +297,14 @@ def box_box_join(
     ac = grid.box_cells(a, *abox, prefix="_a", coarser=True)
     bc = grid.box_cells(b, *bbox, prefix="_b", coarser=True)
     lvl = F.col("_al")
+    ref_lvl = grid.levels[0] if len(grid.levels) == 1 else lvl
     cond = (
         (F.col("_al") == F.col("_bl"))
         & (F.col("_ax") == F.col("_bx"))
         & (F.col("_ay") == F.col("_by"))
         & (lvl == F.greatest(F.col("_an"), F.col("_bn")))
         & residual
-        & (grid.cell_x(ref_x, lvl) == F.col("_ax"))
-        & (grid.cell_y(ref_y, lvl) == F.col("_ay"))
+        & (grid.cell_x(ref_x, ref_lvl) == F.col("_ax"))
+        & (grid.cell_y(ref_y, ref_lvl) == F.col("_ay"))
     )
     return ac.join(bc, cond, "inner").drop("_al", "_ax", "_ay", "_an", "_bl", "_bx", "_by", "_bn")
