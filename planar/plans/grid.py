@@ -5,18 +5,18 @@ Spark plans a pure range condition as a nested loop (``CartesianProduct`` or
 sort-merge equi-join with the range test as residual condition.
 
 Level ``l`` has cells of ``wx * BRANCH**l`` by ``wy * BRANCH**l``.  The base
-cell ``(wx, wy)`` is the 90th percentile of box widths and heights (never
-finer than ``extent / 2**20``).  A box lives on the finest level where it is
+cell ``(wx, wy)`` is about the 90th percentile of box widths and heights
+(from a log-scale histogram; never finer than ``extent / 2**20``).  A box lives on the finest level where it is
 at most ``SPAN`` cells wide and high, so it covers at most
 ``(SPAN + 1)**2`` cells however large it is: a few huge boxes can not blow up
 the join.  A point gets one cell on each level that holds boxes.  A box and
 a point inside it therefore meet in exactly one cell: no duplicates, no
 ``distinct`` afterwards.
 
-Planning costs one aggregate job over the box side (extent, size
-percentiles and maxima, row count), plus a second one for the set of levels
-only when some box is larger than ``SPAN`` base cells; only a handful of
-scalars reach the driver.  When the count from the first job proves the exploded box side
+Planning costs one grouped aggregation over the box side (size histogram,
+extent, row count; at most a few thousand rows reach the driver), plus a
+second one for the set of levels only when some box is larger than ``SPAN``
+base cells.  When the count from the first job proves the exploded box side
 small, it is broadcast and the point side is never shuffled; otherwise both
 sides are hash-partitioned on the cell and AQE splits hot cells.
 """
@@ -159,12 +159,40 @@ def _base(width_q: float | None, extent: float) -> float:
     return max(float(width_q), floor_w)
 
 
+BINS_PER_OCTAVE = 4  # size histogram resolution: bins of a factor 2**(1/4)
+
+
+def _size_bin(v: Column) -> Column:
+    """Histogram bin of a positive size (null for size 0).  Bins are bounded
+    by the double exponent range, so there are at most ~8,600 of them."""
+    return F.when(v > 0, F.floor(F.log2(v) * F.lit(float(BINS_PER_OCTAVE))))
+
+
+def _quantile_from_bins(bins: list, n: int, q: float) -> float | None:
+    """Largest size in the bin that holds the q-quantile (within a factor
+    2**(1/4) of the true quantile, never below it)."""
+    target = q * n
+    seen = 0
+    for b in sorted(bins, key=lambda r: (r["bin"] is not None, r["bin"] if r["bin"] is not None else 0)):
+        seen += b["n"]
+        if seen >= target:
+            return b["vmax"]
+    return bins[-1]["vmax"] if bins else None
+
+
 def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     """Size a grid for the union of the given box sides.
 
     Each side is ``(df, xmin, ymin, xmax, ymax)`` of valid, normalised
     boxes (points are boxes of size zero).  Returns ``None`` when all are
-    empty.  One or two aggregate jobs, each returning one row.
+    empty.
+
+    One grouped aggregation (a histogram of widths and heights on a log
+    scale, with extent and counts per bin) yields everything: it combines
+    map-side and finishes in parallel, and returns at most a few thousand
+    rows to the driver.  (A global ``percentile_approx`` would merge one
+    sketch per map task in a single task.)  A second small job collects the
+    set of levels only when some box is larger than ``SPAN`` base cells.
     """
     parts = []
     for i, (df, a, b, c, d) in enumerate(sides):
@@ -177,20 +205,32 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    row = u.agg(
-        F.min("_a").alias("x0"), F.min("_b").alias("y0"), F.max("_c").alias("x1"), F.max("_d").alias("y1"),
-        F.percentile_approx(F.col("_c") - F.col("_a"), QUANTILE).alias("qw"),
-        F.percentile_approx(F.col("_d") - F.col("_b"), QUANTILE).alias("qh"),
-        F.max(F.col("_c") - F.col("_a")).alias("mw"),
-        F.max(F.col("_d") - F.col("_b")).alias("mh"),
-        *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
-    ).first()
-    if row is None or row["x0"] is None:
+    w, h = F.col("_c") - F.col("_a"), F.col("_d") - F.col("_b")
+    per_axis = F.array(
+        F.struct(F.lit(0).alias("axis"), _size_bin(w).alias("bin"), w.alias("v")),
+        F.struct(F.lit(1).alias("axis"), _size_bin(h).alias("bin"), h.alias("v")),
+    )
+    hist = (
+        u.select("_s", "_a", "_b", "_c", "_d", F.inline(per_axis))
+        .groupBy("axis", "bin")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.max("v").alias("vmax"),
+            F.min("_a").alias("x0"), F.min("_b").alias("y0"), F.max("_c").alias("x1"), F.max("_d").alias("y1"),
+            *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
+        )
+        .collect()
+    )
+    xs = [r for r in hist if r["axis"] == 0]
+    ys = [r for r in hist if r["axis"] == 1]
+    if not xs:
         return None
-    x0, y0, x1, y1 = (float(row[k]) for k in ("x0", "y0", "x1", "y1"))
-    wx = _base(row["qw"], x1 - x0)
-    wy = _base(row["qh"], y1 - y0)
-    if max(row["mw"] / wx, row["mh"] / wy) <= SPAN:
+    x0, y0 = min(r["x0"] for r in xs), min(r["y0"] for r in xs)
+    x1, y1 = max(r["x1"] for r in xs), max(r["y1"] for r in xs)
+    n = sum(r["n"] for r in xs)
+    wx = _base(_quantile_from_bins(xs, n, QUANTILE), x1 - x0)
+    wy = _base(_quantile_from_bins(ys, n, QUANTILE), y1 - y0)
+    mw, mh = max(r["vmax"] for r in xs), max(r["vmax"] for r in ys)
+    if max(mw / wx, mh / wy) <= SPAN:
         # Every box fits the base level: no second pass.
         levels: tuple[int, ...] = (0,)
     else:
@@ -198,8 +238,8 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
         # At most ceil(log_BRANCH(MAX_CELLS / SPAN)) + 1 distinct values.
         found = u.agg(F.array_sort(F.collect_set(lvl)).alias("l")).first()["l"]
         levels = tuple(int(v) for v in found) or (0,)
-    counts = tuple(int(row[f"n{i}"]) for i in range(len(sides)))
-    return Grid(x0, y0, x1, y1, wx, wy, levels, counts)
+    counts = tuple(sum(r[f"n{i}"] for r in xs) for i in range(len(sides)))
+    return Grid(float(x0), float(y0), float(x1), float(y1), wx, wy, levels, counts)
 
 
 def _empty(a: DataFrame, b: DataFrame) -> DataFrame:
