@@ -44,7 +44,15 @@ def points_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = F.expr("timestampdiff(MINUTE, timestamp_ntz'2024-01-01 00:00:00', ts)")
+    # Whole minutes since 2024-01-01 00:00 from the fields of the
+    # TIMESTAMP_NTZ value: independent of the session time zone, and a floor
+    # (not a truncation) before that date, as in the SQL view.
+    ts = F.col("ts")
+    minutes = (
+        F.datediff(ts.cast("date"), F.lit("2024-01-01").cast("date")).cast("long") * 1440
+        + F.hour(ts) * 60
+        + F.minute(ts)
+    )
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         minutes.cast("double").alias("x"),
