@@ -61,3 +61,17 @@ def test_partition_bound_is_an_upper_bound(spark):
     pts = [(rnd.random(), rnd.random()) for _ in range(300)]
     bound = C._partition_bound(points_df(spark, pts).repartition(4))
     assert bound >= brute.closest(pts)[4]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_grid_step_with_tight_bound(spark, seed):
+    # The bound equals the true minimum, so the winning pair sits exactly at
+    # the reach margin; lattice points also sit on cell borders.
+    rnd = random.Random(seed)
+    step = [1.0, 0.5, 3.0, 0.125][seed]
+    pts = sorted({(rnd.randint(-30, 30) * step, rnd.randint(-30, 30) * step) for _ in range(500)})
+    want = brute.closest(pts)
+    x0, y0 = min(p[0] for p in pts), min(p[1] for p in pts)
+    span = max(max(p[0] for p in pts) - x0, max(p[1] for p in pts) - y0)
+    got = C._grid_pairs(points_df(spark, pts), want[4], x0, y0, span).first()
+    assert tuple(got) == want
