@@ -37,7 +37,7 @@ from planar.operators.hull import PAIR_SCHEMA
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans import cache
 
-BASE_ROWS = 32768   # most points ever solved inside one task
+BASE_ROWS = 1 << 16  # most points ever solved inside one task
 SLACK = 1.01
 _HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
