@@ -226,7 +226,10 @@ def _partial(eps: float):
             bufx.append(pdf["x"].to_numpy(dtype=float))
             bufy.append(pdf["y"].to_numpy(dtype=float))
             size += len(pdf)
-            if size >= CHUNK:
+            # Reduce once the buffer is CHUNK points and twice the last hull:
+            # when the hull keeps most points (points in convex position) the
+            # buffer doubles between reductions, so the work stays linear.
+            if size >= max(CHUNK, 2 * len(hx)):
                 hx, hy = hull_vertices(np.concatenate(bufx), np.concatenate(bufy), eps)
                 bufx, bufy, size = [hx], [hy], len(hx)
         x, y = np.concatenate(bufx), np.concatenate(bufy)
