@@ -134,3 +134,25 @@ def test_grid_placement_is_right_for_any_level_set(spark, levels):
             if a < x < e and c < y < d:
                 want.append((i, j))
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_box_box_join_crossings(spark, seed):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(seed)
+    vert = [(rnd.randint(0, 60), rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(120)]
+    vert = [(x, min(a, b), max(a, b)) for x, a, b in vert] + [(30, -50, 150)]  # one long edge
+    hor = [(rnd.randint(0, 60), rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(120)]
+    hor = [(y, min(a, b), max(a, b)) for y, a, b in hor] + [(31, -80, 200)]
+    v = spark.createDataFrame([tuple(map(float, t)) for t in vert], "vx double, vy0 double, vy1 double")
+    h = spark.createDataFrame([tuple(map(float, t)) for t in hor], "hy double, hx0 double, hx1 double")
+    vx, hy = F.col("vx"), F.col("hy")
+    cond = (vx >= F.col("hx0")) & (vx <= F.col("hx1")) & (hy >= F.col("vy0")) & (hy <= F.col("vy1"))
+    got = G.box_box_join(v, h, cond, vx, hy, ("vx", "vy0", "vx", "vy1"), ("hx0", "hy", "hx1", "hy"))
+    got = sorted((r.vx, r.vy0, r.vy1, r.hy, r.hx0, r.hx1) for r in got.collect())
+    want = sorted(
+        (float(x), float(a), float(b), float(y), float(c), float(d))
+        for (x, a, b) in vert for (y, c, d) in hor if c <= x <= d and a <= y <= b
+    )
+    assert got == want
