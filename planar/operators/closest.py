@@ -2,16 +2,17 @@
 
 Plan:
 
-1. Distinct valid points (copies collapse map-side), persisted because the
-   set is read three times.
-2. One aggregate job: count and extent.
-3. Upper bound: the exact closest pair of a uniform sample of about
-   ``n**(2/3)`` points, computed by the same procedure (recursively; at most
-   ``BASE_ROWS`` points are ever solved inside one task).  With that bound as
+1. One aggregate job over the valid rows: count and extent (no shuffle;
+   tiny partial buffers).
+2. Upper bound: the exact closest pair of a random sample of about
+   ``n**(2/3)`` rows, deduplicated and solved by the same procedure
+   (recursively; at most ``BASE_ROWS`` points are ever solved inside one
+   task).  With that bound as
    grid cell, the expected number of pairs compared is linear in ``n`` for
    any input distribution (Rabin's sampling argument), so hot regions do not
    turn quadratic.
-4. Cells of side ``w`` = twice the bound: every pair at distance <= bound
+3. Distinct points (copies collapse map-side; both sides of the self-join
+   share the exchange).  Cells of side ``w`` = twice the bound: every pair at distance <= bound
    lies in the same or an adjacent cell.  Each point meets its own cell and
    those of four neighbours (half of the 3x3 block, so each pair meets once)
    that lie within the bound of it, as a hash equi-join; the result is
@@ -39,6 +40,7 @@ from planar.plans import cache
 
 BASE_ROWS = 1 << 16  # most points ever solved inside one task
 SLACK = 1.01
+MAX_DEPTH = 6        # sampling levels; n**(2/3) per level reaches BASE_ROWS in 3 for any real n
 _HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
 
@@ -146,32 +148,39 @@ def _partition_bound(pts: DataFrame) -> float:
     return row["d2"]
 
 
-def _closest(pts: DataFrame, seed: int, depth: int) -> DataFrame:
-    st = pts.agg(
+def _closest(valid: DataFrame, seed: int, depth: int) -> DataFrame:
+    """Closest distinct pair of the (possibly repeated) points in ``valid``."""
+    st = valid.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
     ).first()
-    n = st["n"]
-    empty = pts.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    n = st["n"]  # rows, copies included: an upper bound of the distinct count
     if n < 2:
-        return empty
+        return valid.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    pts = valid.distinct()
     if n <= BASE_ROWS:
         return pts.repartition(1).mapInPandas(_local, PAIR_SCHEMA)
-    sample = pts.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
-    # Read up to three times by the level below (count, its own sample, its
-    # grid join); n**(2/3) rows, so small next to pts.
-    sample = cache.track(sample.persist(StorageLevel.MEMORY_AND_DISK))
-    found = _closest(sample, seed, depth + 1).first()
+    # A row sample: repeated points are drawn more often, which can only
+    # tighten the bound.  Small (about n**(2/3) rows) and read up to three
+    # times by the level below, so it is persisted.
+    found = None
+    if depth < MAX_DEPTH:
+        sample = valid.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
+        sample = cache.track(sample.distinct().persist(StorageLevel.MEMORY_AND_DISK))
+        found = _closest(sample, seed, depth + 1).first()
     bound = found["d2"] if found is not None else _partition_bound(pts)
+    dx, dy = st["x1"] - st["x0"], st["y1"] - st["y0"]
     if bound is None:
-        bound = 0.0
-    span = max(st["x1"] - st["x0"], st["y1"] - st["y0"])
+        # No partition holds two distinct points, so there are at most as
+        # many distinct points as partitions: the extent's diagonal is a
+        # bound and the grid holds them in a few cells.
+        bound = dx * dx + dy * dy
+    span = max(dx, dy)
     return _grid_pairs(pts, float(bound), st["x0"], st["y0"], span)
 
 
 def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42) -> DataFrame:
     """``(ax, ay, bx, by, d2)`` for the two distinct points closest together;
     empty with fewer than two distinct points."""
-    pts = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y")).distinct()
-    pts = cache.track(pts.persist(StorageLevel.MEMORY_AND_DISK))
-    return _closest(pts, seed, 0)
+    valid = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
+    return _closest(valid, seed, 0)

@@ -75,3 +75,16 @@ def test_grid_step_with_tight_bound(spark, seed):
     span = max(max(p[0] for p in pts) - x0, max(p[1] for p in pts) - y0)
     got = C._grid_pairs(points_df(spark, pts), want[4], x0, y0, span).first()
     assert tuple(got) == want
+
+
+def test_heavy_copies_few_distinct(spark, monkeypatch):
+    monkeypatch.setattr(C, "BASE_ROWS", 50)
+    pts = [(1.0, 1.0)] * 3000 + [(4.0, 5.0)] * 2 + [(9.0, 9.0)]
+    assert _pair(closest_pair(points_df(spark, pts).repartition(5))) == brute.closest(pts)
+
+
+def test_fallback_bound_with_points_spread_over_partitions(spark, monkeypatch):
+    monkeypatch.setattr(C, "BASE_ROWS", 1)
+    monkeypatch.setattr(C, "_partition_bound", lambda pts: None)  # force the extent fallback
+    pts = [(0.0, 0.0), (3.0, 4.0), (10.0, 0.0)]
+    assert _pair(closest_pair(points_df(spark, pts).repartition(3))) == brute.closest(pts)
