@@ -29,8 +29,10 @@ from planar.operators.joins import containment_join, containment_lists, heat_map
 from planar.operators.range_query import range_query
 from planar.operators.stats import distinct_points, extent
 from planar.operators.union import box_union_vertices
+from planar.plans.session import ensure_checkpoint_dir
 from planar.sources import fixtures as fx
 from planar.sources.fixtures import with_views
+from planar.sources.text import read_boxes, read_points, write_lines
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -58,6 +60,30 @@ def _ring(spark, d):
     )
 
 
+def _as_text(spark: SparkSession, d: str, view: str, cols: list[str]) -> str:
+    """Write a fixture view as comma-separated lines (field 0 unused, id in
+    field 1, then the coordinates, as the box and point files are laid out)
+    into the session's checkpoint folder; return the folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = d.rstrip("/").rsplit("/", 1)[-1]
+    path = f"{base}/planar-text/{tag}/{view}"
+    df = fx.VIEWS[view](spark, d)
+    fields = [F.lit("0"), F.col("id").cast("string")] + [F.col(c).cast("string") for c in cols]
+    write_lines(df.select(F.concat_ws(",", *fields).alias("line")), path)
+    return path
+
+
+def _text_range(spark, d):
+    boxes = read_boxes(spark, _as_text(spark, d, "boxes_part", ["x1", "y1", "x2", "y2"]))
+    return range_query(boxes, WINDOW_PART)
+
+
+def _text_heat(spark, d):
+    boxes = read_boxes(spark, _as_text(spark, d, "boxes_part", ["x1", "y1", "x2", "y2"]))
+    points = read_points(spark, _as_text(spark, d, "points_ev", ["x", "y"]))
+    return heat_map(boxes, points)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "range_query": lambda s, d: range_query(fx.boxes_part(s, d), WINDOW_PART),
@@ -99,6 +125,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"hull_chains_{name}"] = lambda s, d, v=view: hull_chains(v(s, d))
     q["farthest_pair_ord"] = lambda s, d: farthest_pair(fx.points_ord(s, d))
     q["point_in_box_join_dense"] = lambda s, d: point_in_box_join(fx.boxes_emb(s, d), fx.points_emb(s, d))
+    # Text round trip: the views written as delimited lines and parsed back.
+    q["text_range_query"] = _text_range
+    q["text_heat_map"] = _text_heat
     return q
 
 
@@ -282,4 +311,8 @@ def oracle_sql() -> dict[str, str]:
         with_views("boxes_emb", "points_emb")
         + f", {_B('boxes_emb')} select r.id box_id, p.id point_id from B r join points_emb p on {_POINT_IN}"
     )
+    o["text_range_query"] = (
+        f"select id::varchar id, x1, y1, x2, y2 from ({_range_sql('boxes_part', WINDOW_PART)})"
+    )
+    o["text_heat_map"] = f"select id::varchar id, n from ({_heat_sql('boxes_part', 'points_ev')})"
     return o

@@ -54,9 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(cur)
         return cur
     path = tempfile.mkdtemp(prefix="planar-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - some deployments reject setting core confs at runtime
+        pass
+    return spark.conf.get("spark.checkpoint.dir", None) or path
 
 
 def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
