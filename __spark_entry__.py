@@ -60,13 +60,13 @@ def _ring(spark, d):
     )
 
 
-def _as_text(spark: SparkSession, d: str, view: str, cols: list[str]) -> str:
+def _as_text(spark: SparkSession, d: str, query: str, view: str, cols: list[str]) -> str:
     """Write a fixture view as comma-separated lines (field 0 unused, id in
     field 1, then the coordinates, as the box and point files are laid out)
     into the session's checkpoint folder; return the folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = d.rstrip("/").rsplit("/", 1)[-1]
-    path = f"{base}/planar-text/{tag}/{view}"
+    path = f"{base}/planar-text/{tag}/{query}/{view}"
     df = fx.VIEWS[view](spark, d)
     fields = [F.lit("0"), F.col("id").cast("string")] + [F.col(c).cast("string") for c in cols]
     write_lines(df.select(F.concat_ws(",", *fields).alias("line")), path)
@@ -74,13 +74,13 @@ def _as_text(spark: SparkSession, d: str, view: str, cols: list[str]) -> str:
 
 
 def _text_range(spark, d):
-    boxes = read_boxes(spark, _as_text(spark, d, "boxes_part", ["x1", "y1", "x2", "y2"]))
+    boxes = read_boxes(spark, _as_text(spark, d, "text_range_query", "boxes_part", ["x1", "y1", "x2", "y2"]))
     return range_query(boxes, WINDOW_PART)
 
 
 def _text_heat(spark, d):
-    boxes = read_boxes(spark, _as_text(spark, d, "boxes_part", ["x1", "y1", "x2", "y2"]))
-    points = read_points(spark, _as_text(spark, d, "points_ev", ["x", "y"]))
+    boxes = read_boxes(spark, _as_text(spark, d, "text_heat_map", "boxes_part", ["x1", "y1", "x2", "y2"]))
+    points = read_points(spark, _as_text(spark, d, "text_heat_map", "points_ev", ["x", "y"]))
     return heat_map(boxes, points)
 
 
