@@ -33,6 +33,7 @@ from planar.operators.range_query import range_query
 from planar.operators.stats import distinct_points, extent
 from planar.operators.union import box_union_vertices
 from planar.sources.text import read_boxes, read_points, split_rejects, write_lines
+from planar.streaming import heat_map_stream, point_in_box_stream
 
 __all__ = [
     "box_in_box",
@@ -50,11 +51,13 @@ __all__ = [
     "farthest_pair",
     "finite",
     "heat_map",
+    "heat_map_stream",
     "hull_chains",
     "hull_closest_pair",
     "normalize_boxes",
     "point_in_box",
     "point_in_box_join",
+    "point_in_box_stream",
     "range_query",
     "read_boxes",
     "read_points",
