@@ -37,10 +37,14 @@ from planar.functions.geometry import dist2, finite
 from planar.operators.hull import PAIR_SCHEMA
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans import cache
+from planar.plans.session import conf_bytes
 
 BASE_ROWS = 1 << 16  # most points ever solved inside one task
 SLACK = 1.01
 MAX_DEPTH = 6        # sampling levels; n**(2/3) per level reaches BASE_ROWS in 3 for any real n
+CACHE_CONF = "spark.planar.cacheBytes"
+DEFAULT_CACHE = 1 << 30  # cache the distinct points only below this (bound: rows x _ROW_BYTES)
+_ROW_BYTES = 32
 _HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
 
@@ -160,12 +164,18 @@ def _closest(valid: DataFrame, seed: int, depth: int) -> DataFrame:
     pts = valid.distinct()
     if n <= BASE_ROWS:
         return pts.repartition(1).mapInPandas(_local, PAIR_SCHEMA)
+    source = valid
+    if n * _ROW_BYTES <= conf_bytes(valid.sparkSession, CACHE_CONF, DEFAULT_CACHE):
+        # Provably small (n rows bound the distinct set): cache the distinct
+        # points once and draw the sample from them.  Larger inputs are
+        # re-read instead of pinning an input-sized set in executor storage.
+        pts = source = cache.track(pts.persist(StorageLevel.MEMORY_AND_DISK))
     # A row sample: repeated points are drawn more often, which can only
     # tighten the bound.  Small (about n**(2/3) rows) and read up to three
     # times by the level below, so it is persisted.
     found = None
     if depth < MAX_DEPTH:
-        sample = valid.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
+        sample = source.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
         sample = cache.track(sample.distinct().persist(StorageLevel.MEMORY_AND_DISK))
         found = _closest(sample, seed, depth + 1).first()
     bound = found["d2"] if found is not None else _partition_bound(pts)

@@ -35,13 +35,18 @@ def test_lattice_ties_and_copies(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_distributed_path(spark, monkeypatch, seed):
+@pytest.mark.parametrize("cache_bytes", ["0", str(1 << 30)])  # re-read the source / cache the distinct set
+def test_distributed_path(spark, monkeypatch, seed, cache_bytes):
     # Force the sample bound + grid join (and one level of recursion).
     monkeypatch.setattr(C, "BASE_ROWS", 40)
+    spark.conf.set(C.CACHE_CONF, cache_bytes)
     rnd = random.Random(seed)
     pts = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(900)]
     pts += [(0.5 + rnd.random() * 1e-3, 0.5 + rnd.random() * 1e-3) for _ in range(300)]  # dense cluster
-    assert _pair(closest_pair(points_df(spark, pts).repartition(7))) == brute.closest(pts)
+    try:
+        assert _pair(closest_pair(points_df(spark, pts).repartition(7))) == brute.closest(pts)
+    finally:
+        spark.conf.unset(C.CACHE_CONF)
 
 
 def test_tiny_distances(spark, monkeypatch):
