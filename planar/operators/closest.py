@@ -7,12 +7,13 @@ Plan:
 2. Upper bound: the exact closest pair of a random sample of about
    ``n**(2/3)`` rows, deduplicated and solved by the same procedure
    (recursively; at most ``BASE_ROWS`` points are ever solved inside one
-   task).  With that bound as
-   grid cell, the expected number of pairs compared is linear in ``n`` for
-   any input distribution (Rabin's sampling argument), so hot regions do not
-   turn quadratic.
-3. Distinct points (copies collapse map-side; both sides of the self-join
-   share the exchange).  Cells of side ``w`` = twice the bound: every pair at distance <= bound
+   task).  With that bound as grid cell, the expected number of pairs
+   compared is linear in ``n`` for any input distribution (Rabin's sampling
+   argument), so hot regions do not turn quadratic.
+3. Distinct points (copies collapse map-side).  They are cached only when
+   the row count proves them small; otherwise they are computed inside the
+   final query, where both sides of the self-join share the exchange.
+4. Cells of side ``w`` = twice the bound: every pair at distance <= bound
    lies in the same or an adjacent cell.  Each point meets its own cell and
    those of four neighbours (half of the 3x3 block, so each pair meets once)
    that lie within the bound of it, as a hash equi-join; the result is
