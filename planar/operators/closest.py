@@ -38,14 +38,10 @@ from planar.functions.geometry import dist2, finite
 from planar.operators.hull import PAIR_SCHEMA
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans import cache
-from planar.plans.session import conf_bytes
 
 BASE_ROWS = 1 << 16  # most points ever solved inside one task
 SLACK = 1.01
 MAX_DEPTH = 6        # sampling levels; n**(2/3) per level reaches BASE_ROWS in 3 for any real n
-CACHE_CONF = "spark.planar.cacheBytes"
-DEFAULT_CACHE = 1 << 30  # cache the distinct points only below this (bound: rows x _ROW_BYTES)
-_ROW_BYTES = 32
 _HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
 
@@ -166,7 +162,7 @@ def _closest(valid: DataFrame, seed: int, depth: int) -> DataFrame:
     if n <= BASE_ROWS:
         return pts.repartition(1).mapInPandas(_local, PAIR_SCHEMA)
     source = valid
-    if n * _ROW_BYTES <= conf_bytes(valid.sparkSession, CACHE_CONF, DEFAULT_CACHE):
+    if cache.fits(valid.sparkSession, n):
         # Provably small (n rows bound the distinct set): cache the distinct
         # points once and draw the sample from them.  Larger inputs are
         # re-read instead of pinning an input-sized set in executor storage.

@@ -3,8 +3,8 @@
 A corner of the union is a crossing of a vertical and a horizontal box edge
 (box corners included).  Plan, fully distributed:
 
-1. Valid boxes of positive area, distinct (computed once in the final
-   query; its exchange is reused by every step).
+1. Valid boxes of positive area, distinct; cached when the planning job's
+   count proves them small.
 2. Vertical edges ``(x, y0, y1)`` and horizontal edges ``(y, x0, x1)``,
    distinct.  An edge lying strictly inside some box carries no corner and is
    dropped (left-anti grid join on its first end point, residual: both ends
@@ -24,10 +24,12 @@ The output is the set of distinct corner coordinates, unordered.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import normalize_boxes, point_in_box
+from planar.plans import cache
 from planar.plans.grid import box_box_join, box_point_join, plan_grid
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -42,11 +44,14 @@ def box_union_vertices(
         .select(*_BOX)
         .distinct()
     )
-    # Read by every step below: within the final query Spark computes it once
-    # and reuses the exchange, so nothing of input size is persisted.
     grid = plan_grid((r, *_BOX))
     if grid is None:
         return r.select(F.col("xmin").alias("x"), F.col("ymin").alias("y")).where(F.lit(False))
+    # r feeds every step below.  The planning job counted it: cache it when
+    # that count proves it small; larger box sets are recomputed per branch
+    # rather than pinned in executor storage.
+    if cache.fits(r.sparkSession, grid.counts[0]):
+        r = cache.track(r.persist(StorageLevel.MEMORY_AND_DISK))
     vert = r.select(
         F.explode(F.array(F.col("xmin"), F.col("xmax"))).alias("vx"),
         F.col("ymin").alias("vy0"), F.col("ymax").alias("vy1"),

@@ -1,18 +1,31 @@
 """Bookkeeping for frames an operator persists for its own re-reads.
 
 An operator that reads an intermediate result several times persists it
-(memory and disk; a lost executor's blocks are recomputed from lineage).
+(memory and disk; a lost executor's blocks are recomputed from lineage)
+when a count proves it small (``fits``).
 The DataFrame it returns is lazy, so the operator can not unpersist before
 the caller's action; ``release()`` frees everything tracked here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from planar.plans.session import conf_bytes
+
+CACHE_CONF = "spark.planar.cacheBytes"
+DEFAULT_CACHE = 1 << 30
 
 _TRACKED: list[DataFrame] = []
 
 
+def fits(spark: SparkSession, rows_bound: int, row_bytes: int = 32) -> bool:
+    """Whether an intermediate of at most ``rows_bound`` rows is small enough
+    to cache (``spark.planar.cacheBytes``, default 1 GiB).  Larger ones are
+    recomputed instead of being pinned in executor storage."""
+    return rows_bound * row_bytes <= conf_bytes(spark, CACHE_CONF, DEFAULT_CACHE)
+
+
 def track(df: DataFrame) -> DataFrame:
     _TRACKED.append(df)
     return df

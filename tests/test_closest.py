@@ -39,14 +39,14 @@ def test_lattice_ties_and_copies(spark, seed):
 def test_distributed_path(spark, monkeypatch, seed, cache_bytes):
     # Force the sample bound + grid join (and one level of recursion).
     monkeypatch.setattr(C, "BASE_ROWS", 40)
-    spark.conf.set(C.CACHE_CONF, cache_bytes)
+    spark.conf.set(cache.CACHE_CONF, cache_bytes)
     rnd = random.Random(seed)
     pts = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(900)]
     pts += [(0.5 + rnd.random() * 1e-3, 0.5 + rnd.random() * 1e-3) for _ in range(300)]  # dense cluster
     try:
         assert _pair(closest_pair(points_df(spark, pts).repartition(7))) == brute.closest(pts)
     finally:
-        spark.conf.unset(C.CACHE_CONF)
+        spark.conf.unset(cache.CACHE_CONF)
 
 
 def test_tiny_distances(spark, monkeypatch):
