@@ -38,6 +38,7 @@ from planar.functions.geometry import dist2, finite
 from planar.operators.hull import PAIR_SCHEMA
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans import cache
+from planar.plans.session import ship_package
 
 BASE_ROWS = 1 << 16  # most points ever solved inside one task
 SLACK = 1.01
@@ -189,5 +190,6 @@ def _closest(valid: DataFrame, seed: int, depth: int) -> DataFrame:
 def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42) -> DataFrame:
     """``(ax, ay, bx, by, d2)`` for the two distinct points closest together;
     empty with fewer than two distinct points."""
+    ship_package(points.sparkSession)
     valid = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
     return _closest(valid, seed, 0)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from planar.functions.geometry import finite
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
+from planar.plans.session import ship_package
 
 FANIN = 256          # partial hulls merged per task in the reduction tree
 CHUNK = 1 << 16      # points buffered per task before reducing to a hull
@@ -242,6 +243,7 @@ def _partial(eps: float):
 
 def _reduced(points: DataFrame, x: str, y: str, eps: float) -> DataFrame:
     """Partial hulls merged until one partition holds them all."""
+    ship_package(points.sparkSession)
     pts = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
     part = pts.mapInPandas(_partial(eps), "x double, y double")
     n = pts.rdd.getNumPartitions()

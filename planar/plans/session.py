@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +74,30 @@ def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
         if s.endswith(suffix):
             return int(float(s[: -len(suffix)]) * units[suffix])
     return int(float(s))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``planar`` importable in the Python workers of this application.
+
+    Stages that run Python (``mapInPandas``) pickle functions of this package
+    by reference, so workers must be able to import it.  When it is not
+    installed on the executors (a checkout run from elsewhere), a zip of the
+    package is added with ``addPyFile`` once per application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(tempfile.mkdtemp(prefix="planar-pkg-"), "planar.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
