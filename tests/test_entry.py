@@ -41,3 +41,16 @@ def test_matches_oracle_sf0001(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(rows, df.columns) == _canon(res.fetchall(), ocols)
+
+
+def test_package_is_shipped_once_per_application(spark):
+    from planar.plans import session
+
+    session.ship_package(spark)
+    before = set(spark.sparkContext.listFiles) if hasattr(spark.sparkContext, "listFiles") else None
+    session.ship_package(spark)  # second call is a no-op
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    if before is not None:
+        assert set(spark.sparkContext.listFiles) == before
+    # Python stages import the package on the workers.
+    assert E.queries()["convex_hull_part"](spark, SF).count() > 0
