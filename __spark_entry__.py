@@ -34,6 +34,17 @@ from planar.sources import fixtures as fx
 from planar.sources.fixtures import with_views
 from planar.sources.text import read_boxes, read_points, write_lines
 
+# The training-data operators are optional: without their folder (and the
+# pipeline built on it) everything else still works.
+try:
+    from planar.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # Query windows (fixed parameters of the registered queries).
@@ -128,6 +139,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # Text round trip: the views written as delimited lines and parsed back.
     q["text_range_query"] = _text_range
     q["text_heat_map"] = _text_heat
+    if llm is not None:
+        q |= llm.queries()
+    if corpus_pipeline is not None:
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -315,4 +330,8 @@ def oracle_sql() -> dict[str, str]:
         f"select id::varchar id, x1, y1, x2, y2 from ({_range_sql('boxes_part', WINDOW_PART)})"
     )
     o["text_heat_map"] = f"select id::varchar id, n from ({_heat_sql('boxes_part', 'points_ev')})"
+    if llm is not None:
+        o |= llm.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o
