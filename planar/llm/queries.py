@@ -8,20 +8,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from planar.llm.common import table
+from planar.llm.language import predict_languages
+from planar.llm.packing import pack_sequences
+from planar.llm.sharding import shard, shard_sql
 from planar.llm.simhash import simhash_near_dups
+from planar.llm.tokens import token_counts
+from planar.llm.topk import TOP_K_SQL, exact_top_k
+from planar.llm.winnow import DECONTAMINATE_SQL, decontaminate
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
+SHARD_BYTES = 1 << 20
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_sequences(table(spark, sf_dir, "documents"), byte_bpe_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), max_bytes=SHARD_BYTES)
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op3_language": op3_language,
+        "op4_token_counts": op4_token_counts,
+        "op5_packing": op5_packing,
+        "op6_decontamination": op6_decontamination,
+        "op8_sharding": op8_sharding,
+        "op9_topk": op9_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_decontamination": DECONTAMINATE_SQL,
+        "op8_sharding": shard_sql(SHARD_BYTES),
+        "op9_topk": TOP_K_SQL,
+    }
