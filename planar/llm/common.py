@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +70,34 @@ def pack_docs(bufs: list[bytes | None], limit: int = 1 << 21) -> Iterator[tuple[
         yield i, len(bufs)
 
 
-def segment_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of ``values[starts[i]:ends[i]]`` along axis 0 (empty ones are 0)."""
-    c = np.zeros((len(values) + 1,) + values.shape[1:], dtype=np.float64 if values.dtype.kind == "f" else np.int64)
-    np.cumsum(values, axis=0, out=c[1:])
-    return c[ends] - c[starts]
+class BitTable:
+    """A set of 64-bit hashes as a bit table of fixed size: 2^bits bits,
+    whatever the number of hashes.  Tests may pass hashes that are not in the
+    set, never refuse one that is, so it only thins out what a join checks."""
+
+    def __init__(self, hashes: DataFrame, col: str, bits: int):
+        self.bits = bits
+        words = (
+            hashes.groupBy(F.expr(f"cast(shiftrightunsigned({col}, {64 - bits + 6}) as int)").alias("w"))
+            .agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({col}, {64 - bits}) & 63 as int)))").alias("b"))
+            .toPandas()  # at most 2^(bits - 6) rows
+        )
+        table_ = np.zeros(1 << (bits - 6), np.int64)
+        table_[words["w"].to_numpy()] = words["b"].to_numpy()
+        self.held = hashes.sparkSession.sparkContext.broadcast(table_.view(np.uint64))
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        p = h.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.held.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    def column(self, col: Column) -> Column:
+        test = self.__call__
+
+        @F.pandas_udf("boolean")
+        def passes(h: pd.Series) -> pd.Series:
+            return pd.Series(test(np.ascontiguousarray(h.to_numpy(np.int64))))
+
+        return passes(col)
+
+    def __getstate__(self):
+        return {"bits": self.bits, "held": self.held}

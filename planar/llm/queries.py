@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from planar.llm.common import table
 from planar.llm.language import predict_languages
 from planar.llm.packing import pack_sequences
+from planar.llm.quality import predict_quality
 from planar.llm.sharding import shard, shard_sql
 from planar.llm.simhash import simhash_near_dups
+from planar.llm.suffix import remove_repeats
 from planar.llm.tokens import token_counts
 from planar.llm.topk import TOP_K_SQL, exact_top_k
+from planar.llm.toxicity import predict_toxicity
 from planar.llm.winnow import DECONTAMINATE_SQL, decontaminate
 
 
@@ -24,10 +27,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 SHARD_BYTES = 1 << 20
 
 
@@ -62,15 +73,22 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_quality": op2_quality,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
         "op5_packing": op5_packing,
         "op6_decontamination": op6_decontamination,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_sharding": op8_sharding,
         "op9_topk": op9_topk,
+        "op10_toxicity": op10_toxicity,
     }
 
 

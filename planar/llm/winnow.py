@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import pack_docs, prepare, text_key, utf8
+from planar.llm.common import BitTable, pack_docs, prepare, text_key, utf8
 
 BITS = 24  # positions of the filter: 2^24 bits, 2 MB, whatever the input
 
@@ -221,20 +221,8 @@ def decontaminate(
         .withColumn("item_ctx", F.substring(F.unhex(F.sha2(F.concat(F.concat_ws(",", "tag", "left").cast("binary"), F.lit(b","), F.col("ctx")), 256)), 1, 16))
         .checkpoint()
     )
-    slot = F.shiftrightunsigned("hash", 64 - BITS)
-    words = (
-        anchors.groupBy(F.shiftright(slot, 6).cast("int").alias("w"))
-        .agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITS}) & 63 as int)))").alias("b"))
-        .toPandas()
-    )
     tags = [r[0] for r in anchors.select("tag").distinct().collect()]  # at most `window` values
-    filter_ = np.zeros(1 << (BITS - 6), np.int64)
-    filter_[words["w"].to_numpy()] = words["b"].to_numpy()
-    held = spark.sparkContext.broadcast(filter_.view(np.uint64))
-
-    def passes(h: np.ndarray) -> np.ndarray:
-        p = h >> np.uint64(64 - BITS)
-        return (held.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+    passes = BitTable(anchors.select("hash"), "hash", BITS)
 
     @F.pandas_udf("n_words int, " + ANCHORS)
     def doc_anchors(bufs: pd.Series) -> pd.DataFrame:
