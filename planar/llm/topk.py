@@ -148,7 +148,7 @@ def exact_top_k(
     empty vector, or a null or non-finite component take no part.  Repeated
     rows count each: as candidates they take a place each, as queries they
     give a list each; only the query's own row is left out.  Scores beyond 64
-    bits saturate.  Other columns are ignored; an empty table gives no rows.
+    bits saturate (and tie).  Other columns are ignored; an empty table gives no rows.
 
     Candidate tiles are dealt to ``spread`` groups and query tiles sent to
     each group: a keyed join in which no side is broadcast or collected, and

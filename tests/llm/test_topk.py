@@ -5,6 +5,7 @@ from planar.llm.queries import op9_topk
 from planar.llm.topk import exact_top_k
 from tests.llm.helpers import clashing
 
+LIMIT = 1 << 63  # scores saturate
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
@@ -17,8 +18,8 @@ def brute(rows, k=5, every=50):
     for a, (q, x) in enumerate(ok):
         if q % every:
             continue
-        s = [(-sum(i * j for i, j in zip(x, y)), c) for b, (c, y) in enumerate(ok) if a != b and len(y) == len(x)]
-        out += [(q, r + 1, c, max(-(1 << 63), min((1 << 63) - 1, -t))) for r, (t, c) in enumerate(sorted(s)[:k])]
+        s = [(-max(-LIMIT, min(LIMIT - 1, sum(i * j for i, j in zip(x, y)))), c) for b, (c, y) in enumerate(ok) if a != b and len(y) == len(x)]
+        out += [(q, r + 1, c, -t) for r, (t, c) in enumerate(sorted(s)[:k])]
     return sorted(out)
 
 
