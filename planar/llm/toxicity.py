@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from planar.llm.common import fold, prepare, utf8
 from planar.llm.quality import bounded_sample
 
-WINDOW, STEP = 128, 112
+WINDOW, STEP, PAD = 128, 112, 48
 LEAST = 2  # bytes saved from which a window is evidence
 WORDS = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -93,10 +94,14 @@ def _compressors(ordinary: bytes, toxic: bytes):
 
 
 def window_savings(buf: bytes, ordinary: bytes, toxic: bytes) -> np.ndarray:
-    """Per window of a lower-cased text, the bytes the toxic dictionary saves."""
+    """Per window of a lower-cased text, the bytes the toxic dictionary saves.
+    Each window ends in a run of bytes that both dictionaries hold: without
+    it, a window that hardly compresses is stored as it is and savings within
+    it would not show."""
     plain, both = _compressors(ordinary, toxic)
     starts = range(0, max(1, len(buf) - WINDOW + STEP), STEP) if buf else ()
-    parts = (buf[i : i + WINDOW] for i in starts)
+    pad = ordinary[-PAD:]
+    parts = (buf[i : i + WINDOW] + pad for i in starts)
     return np.fromiter((len(plain(w)) - len(both(w)) for w in parts), np.int64)
 
 
@@ -143,9 +148,12 @@ def train_toxicity(
         return ToxicityModel(b"", b"", (0.0, 0.0, 0.0, 0.0), prior)
     plain = [t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)][:20_000]
     passages = [b" " + b" ".join([w] * 3) + b" " for t in toxic for w in WORDS.findall(t) if w in words]
-    passages = sorted(passages) * max(1, 3000 // len(passages))
+    passages = [p for _, p in sorted((xxhash.xxh64_intdigest(p, i), p) for i, p in enumerate(passages))]
+    passages *= max(1, 3000 // len(passages))
     d_plain = _dictionary(ordinary_bytes, plain)
     d_toxic = _dictionary(toxic_bytes, passages, k=16, d=6)
+    # The trainer weighs coverage and may leave out short passages.
+    d_toxic = b"".join(b" " + w + b" " for w in sorted(words) if b" " + w not in d_toxic) + d_toxic
     got = np.bincount(y, minlength=2)
     weight = np.array([counts.get(c, 0) / max(1, got[c]) for c in (0, 1)])[y]
     x = np.array([_evidence(t, d_plain, d_toxic) for t in texts])
