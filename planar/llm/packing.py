@@ -10,6 +10,8 @@ open at its end is closed in runs of a power of two, which need no padding.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +22,19 @@ from pyspark.sql import functions as F
 
 from planar.llm.common import prepare, utf8
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
 SPECIAL = "<|"
+UNSAFE = re.compile(r" (?:\s|$)")
+SAFE_CUT = re.compile(r" (?=\S)")
+
+
+def _byte_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for:
+    printable Latin-1 letters stand for themselves, the other bytes, in
+    order, for the letters from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
 class WordEncoder:
@@ -29,48 +42,46 @@ class WordEncoder:
 
     The tokenizer's pattern never joins a space to what stands before it, so
     a text may be cut before any space that a non-space follows; the ids of
-    the parts are remembered (up to ``MEMO_ENTRIES`` parts)."""
+    the parts are remembered (up to ``MEMO_ENTRIES`` parts).  New parts are
+    encoded with the tokenizer's own vocabulary and merges (ids of a
+    byte-level vocabulary are in merge order) by the faster of the two
+    installed encoders; texts that may hold a special token's string go
+    through the tokenizer whole."""
 
     def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        letters = _byte_letters()
+        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        ranks = {bytes(letters[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
+        self.encode = tiktoken.Encoding(
+            "parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
         self.memo: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.memo) + len(parts) > MEMO_ENTRIES:
-            self.memo.clear()
-        for i in range(0, len(parts), 256):
-            some = parts[i : i + 256]
-            for p, e in zip(some, self.tok.encode_batch(some, add_special_tokens=False)):
-                self.memo[p] = np.array(e.ids, "<u4").tobytes()
-
     def __call__(self, text: str) -> bytes:
-        if SPECIAL in text:  # may hold a special token's string: no cuts
+        if SPECIAL in text:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(self._parts(p) for p in _slices(text))
 
     def _parts(self, text: str) -> bytes:
-        words = text.split(" ")
-        parts = [words[0]]
-        for w in words[1:]:
-            if w and not w[0].isspace():
-                parts.append(" " + w)
-            else:  # a run of white space stays whole, with what precedes it
-                parts[-1] += " " + w
-        new = list({p for p in parts if p not in self.memo})
-        if new:
-            self._learn(new)
-        memo = self.memo
-        if len(new) > MEMO_ENTRIES:
-            return b"".join(memo[p] if p in memo else self._one(p) for p in parts)
-        try:
-            return b"".join(map(memo.__getitem__, parts))
-        except KeyError:  # the memo was emptied on the way
-            return b"".join(memo[p] if p in memo else self._one(p) for p in parts)
-
-    def _one(self, part: str) -> bytes:
-        return np.array(self.tok.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        if UNSAFE.search(text):
+            # A run of white space stays whole, with what precedes it.
+            words = SAFE_CUT.split(text)
+        else:
+            words = text.split(" ")
+        memo, encode = self.memo, self.encode
+        rest = words[1:]  # each stands for itself after a space
+        new = set(rest).difference(memo)
+        if len(memo) + len(new) > MEMO_ENTRIES:
+            memo.clear()
+            new = set(rest)
+        for w in new:
+            memo[w] = array("I", encode(" " + w)).tobytes()
+        return array("I", encode(words[0])).tobytes() + b"".join(map(memo.__getitem__, rest))
 
 
 def _slices(text: str, size: int = 1 << 19) -> Iterator[str]:
