@@ -15,12 +15,13 @@ Why nothing is lost: let the string begin at ``s``.  Whether a place is a
 border depends on ``WINDOW - 1`` bytes before it and ``WINDOW - 1 + GRAM``
 after, so borders from ``s + WINDOW - 1`` to ``s + length - WINDOW - GRAM + 1``
 are the same in both occurrences.  The first of them, the string's owner, is
-at most ``s + 2 * WINDOW - 2``, and the phrases that end within ``REACH``
-bytes of the owner lie inside the string.
+at most ``s + 2 * WINDOW - 2``, and the phrases that end within
+``reach(length)`` bytes of the owner, three at least, lie inside the string.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -112,18 +113,14 @@ def _spread(x: Column) -> Column:
     return F.xxhash64(x)
 
 
-RUN_COLUMNS = ["uid", "b", "i", "c", "before", "pos", "prefix", "three", "six"]
-
-
 def _runs(seen: BitTable, length: int):
-    """Rows of the phrases in runs that may hold a passage."""
-    need, span = reach(length), length - 4 * WINDOW - GRAM + 3
-    digest = xxhash.xxh3_64_intdigest
+    """Runs of repeated phrases that may hold a passage: their names, borders
+    and the border before the run."""
+    span = length - 4 * WINDOW - GRAM + 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uid = batch.column(0).to_pylist()
-            cols: list[list] = [[] for _ in range(9)]
+            key, out = batch.column(0).to_pylist(), [[], [], [], []]
             for r in range(batch.num_rows):
                 name = batch.column(2)[r].values.to_numpy()
                 if len(name) == 0:
@@ -133,29 +130,11 @@ def _runs(seen: BitTable, length: int):
                 edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
                 starts, ends = edge[::2], edge[1::2]
                 long = pos[ends] - pos[starts] >= span
-                # Last phrase that ends within reach of each border.
-                upto = np.searchsorted(pos, pos[:-1] + need, side="right") - 1
-                for b, (i, j) in enumerate(zip(starts[long].tolist(), ends[long].tolist())):
-                    k = j - i
-                    raw = name[i:j].tobytes()
-                    # How many phrases of each border lie within reach, if all are in the run.
-                    have = [int(u) - i - t if u <= j else 0 for t, u in enumerate(upto[i:j])]
-                    own = [digest(raw[8 * t : 8 * (t + m)]) >> 1 if m >= 3 else None for t, m in enumerate(have)]
-                    three = [digest(raw[8 * t : 8 * t + 24]) >> 1 if m >= 3 else None for t, m in enumerate(have)]
-                    six = [digest(raw[8 * t : 8 * t + 48]) >> 1 if m >= 6 else None for t, m in enumerate(have)]
-                    cols[0] += [uid[r]] * k
-                    cols[1] += [b] * k
-                    cols[2] += range(k)
-                    cols[3] += name[i:j].tolist()
-                    before = pos[i - 1 : j - 1] if i else np.r_[-1, pos[: j - 1]]
-                    cols[4] += before.tolist()
-                    cols[5] += pos[i:j].tolist()
-                    cols[6] += own
-                    cols[7] += three
-                    cols[8] += six
-            long_, int_ = pa.int64(), pa.int32()
-            kinds = [long_, long_, long_, long_, int_, int_, long_, long_, long_]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=RUN_COLUMNS)
+                for i, j in zip(starts[long].tolist(), ends[long].tolist()):
+                    for col, v in zip(out, (key[r], name[i:j], pos[i : j + 1], pos[i - 1] if i else -1)):
+                        col.append(v)
+            kinds = (pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["key", "name", "pos", "before"])
 
     return run
 
@@ -163,62 +142,81 @@ def _runs(seen: BitTable, length: int):
 # --- difference cover -------------------------------------------------------
 def _ranks(rows: DataFrame, keys: list[str], counts: dict[str, Column], names: dict[str, str]) -> DataFrame:
     """Per distinct key, for each count the number of rows with smaller keys:
-    one sort of the distinct keys, sums within its partitions, and the
+    one sort of the distinct keys, running sums within its partitions, and the
     partitions' totals (as many as there are partitions) as offsets."""
-    spark = rows.sparkSession
     groups = rows.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(n) for n, c in counts.items()])
     s = groups.sort(*keys).withColumn("_p", F.spark_partition_id()).checkpoint()
     totals = sorted(s.groupBy("_p").agg(*[F.sum(n).alias(n) for n in counts]).collect(), key=lambda r: r["_p"])
-    at, offsets = {n: 0 for n in counts}, []
+    at, offsets = {n: 0 for n in counts}, {}
     for r in totals:
-        offsets.append((r["_p"], *at.values()))
+        offsets[r["_p"]] = tuple(at.values())
         at = {n: at[n] + r[n] for n in at}
-    table = spark.createDataFrame(offsets, "_p int, " + ", ".join(f"_{n} long" for n in counts))
-    w = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    return s.join(F.broadcast(table), "_p").select(
-        *keys, *[(F.col(f"_{n}") + F.coalesce(F.sum(n).over(w), F.lit(0))).alias(names[n]) for n in counts]
-    )
+    width, out = len(keys), [*keys, *(names[n] for n in counts)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: list[int] | None = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if before is None:
+                before = list(offsets[batch.column(batch.num_columns - 1)[0].as_py()])
+            cols = [batch.column(i) for i in range(width)]
+            for k in range(len(before)):
+                n = batch.column(width + k).to_numpy()
+                total = np.cumsum(n)
+                cols.append(pa.array(before[k] + total - n))
+                before[k] += int(total[-1])
+            yield pa.RecordBatch.from_arrays(cols, names=out)
 
+    return s.mapInArrow(run, ", ".join(f"{c} long" for c in out))
 
-def suffix_ranks(strings: DataFrame, levels: int = 1) -> DataFrame:
-    """``(uid, b, i, rank)`` for strings ``(uid, b)`` of symbols ``c > 0`` at
-    ``i = 0, 1, ...``: one plus the number of smaller suffixes.
+
+def _led(strings: DataFrame) -> DataFrame:
+    """Symbols with the two that follow (0 past the end)."""
+    w = Window.partitionBy("sid", "b").orderBy("i")
+    return strings.select("sid", "b", "i", "c", F.lead("c", 1, 0).over(w).alias("c1"), F.lead("c", 2, 0).over(w).alias("c2"))
+
+
+TRIPLE = ["c", "c1", "c2"]
+
+
+def suffix_ranks(triples: DataFrame, levels: int = 1) -> DataFrame:
+    """``(sid, b, i, rank)`` for strings ``(sid, b)`` given as ``(sid, b, i, c,
+    c1, c2)``: each symbol ``c > 0`` at ``i = 0, 1, ...`` with the two that
+    follow (0 past the end).  The rank is one plus the number of smaller
+    suffixes.
 
     Suffixes are told apart over ``3 ** (levels + 1)`` symbols and more; equal
     ones share a rank, and so may some that differ only further on.
+    ``triples`` is read several times and should be cheap to read again.
     """
-    w = Window.partitionBy("uid", "b").orderBy("i")
-    t = strings.select("uid", "b", "i", "c", F.lead("c", 1, 0).over(w).alias("c1"), F.lead("c", 2, 0).over(w).alias("c2"))
     one = {"n": F.lit(1)}
-    triple = ["c", "c1", "c2"]
     if levels == 0:
-        t = t.checkpoint()
-        order = _ranks(t, triple, one, {"n": "rank"})
-        return t.join(order, triple).select("uid", "b", "i", (F.col("rank") + 1).alias("rank"))
-    t = t.checkpoint()
-    sample = t.where("i % 3 <> 0")
-    named = sample.join(_ranks(sample, triple, one, {"n": "name"}), triple)
+        order = _ranks(triples, TRIPLE, one, {"n": "rank"})
+        return triples.join(order, TRIPLE).select("sid", "b", "i", (F.col("rank") + 1).alias("rank"))
+    sample = triples.where("i % 3 <> 0")
+    named = sample.join(_ranks(sample, TRIPLE, one, {"n": "name"}), TRIPLE)
     # Each residue's triples are a string of names of its own.
-    upper = named.select("uid", F.expr("3 * b + i % 3").alias("b"), F.expr("i div 3").alias("i"), (F.col("name") + 1).alias("c"))
+    upper = named.select("sid", F.expr("3 * b + i % 3").alias("b"), F.expr("i div 3").alias("i"), (F.col("name") + 1).alias("c"))
+    upper = _release(_led(upper))
+    del sample, named
     r = suffix_ranks(upper, levels - 1).select(
-        "uid", F.expr("b div 3").alias("b"), F.expr("3 * i + b % 3").alias("i"), F.col("rank").alias("r")
+        "sid", F.expr("b div 3").alias("b"), F.expr("3 * i + b % 3").alias("i"), F.col("rank").alias("r")
+    )
+    w = Window.partitionBy("sid", "b").orderBy("i")
+    u = _release(
+        triples.drop("c2").join(r, ["sid", "b", "i"], "left")
+        .select("*", F.lead("r", 1, 0).over(w).alias("r1"), F.lead("r", 2, 0).over(w).alias("r2"))
     )
-    u = t.join(r, ["uid", "b", "i"], "left")
-    u = u.select(
-        "uid", "b", "i", "c", "c1", "r", F.expr("i % 3").alias("m"),
-        F.lead("r", 1, 0).over(w).alias("r1"), F.lead("r", 2, 0).over(w).alias("r2"),
-    ).checkpoint()
-    zero, first, second = u.where("m = 0"), u.where("m = 1"), u.where("m = 2")
+    del r, upper
+    m = F.col("i") % 3
+    zero, first, second = u.where(m == 0), u.where(m == 1), u.where(m == 2)
     # Merge by counting.  A suffix at residue 0 meets residue 1 by its symbol
     # and the next rank, residue 2 by two symbols and the rank after.
     k1, k2 = ["c", "r1"], ["c", "c1", "r2"]
-    g1 = _ranks(
-        u.where("m <> 2"), k1, {"n0": (F.col("m") == 0).cast("int"), "n1": (F.col("m") == 1).cast("int")}, {"n0": "z", "n1": "o"}
-    )
-    g2 = _ranks(
-        u.where("m <> 1"), k2, {"n0": (F.col("m") == 0).cast("int"), "n2": (F.col("m") == 2).cast("int")}, {"n0": "z2", "n2": "s"}
-    )
-    out = ["uid", "b", "i"]
+    g1 = _ranks(u.where(m != 2), k1, {"n0": (m == 0).cast("int"), "n1": (m == 1).cast("int")}, {"n0": "z", "n1": "o"})
+    g2 = _ranks(u.where(m != 1), k2, {"n0": (m == 0).cast("int"), "n2": (m == 2).cast("int")}, {"n0": "z2", "n2": "s"})
+    out = ["sid", "b", "i"]
     return (
         zero.join(g1, k1).join(g2, k2).select(*out, (F.col("z") + F.col("o") + F.col("s") + 1).alias("rank"))
         .unionByName(first.join(g1, k1).select(*out, (F.col("r") + F.col("z")).alias("rank")))
@@ -226,39 +224,94 @@ def suffix_ranks(strings: DataFrame, levels: int = 1) -> DataFrame:
     )
 
 
-def _neighbours(ranked: DataFrame) -> DataFrame:
-    """Owners whose neighbour in suffix order begins with the same phrases:
-    three, or six where six lie within reach.  All suffixes that begin with
-    an owner's phrases stand together in the order, so an owner without such
-    a neighbour has no partner.  The rows at a partition's ends stay."""
-    s = ranked.sort("rank", "prefix").withColumn("_p", F.spark_partition_id()).checkpoint()
-    w = Window.partitionBy("_p").orderBy("rank", "prefix")
-    s = s.withColumns({f"_{c}{k}": f(c).over(w) for c in ("three", "six") for k, f in enumerate((F.lag, F.lead))})
-    same = "if(six is null, three = _three0 or three = _three1, six = _six0 or six = _six1)"
-    return s.where(f"_three0 is null or _three1 is null or coalesce({same}, false)").select("uid", "before", "pos", "prefix")
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in suffix order whose neighbour begins with the same phrases.  The
+    rows at a partition's ends have unseen neighbours and stay."""
+    held = None  # the last row, not yet compared with the next
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        sid, i, three = (batch.column(k).to_numpy() for k in (0, 1, 3))
+        first = held is None
+        if not first:
+            sid, i, three = (np.r_[h, x] for h, x in zip(held[:3], (sid, i, three)))
+        same = three[1:] == three[:-1]
+        keep = np.r_[True if first else held[3], same] | np.r_[same, True]
+        ahead = bool(same[-1]) if len(same) else bool(keep[0])
+        held = (sid[-1:], i[-1:], three[-1:], ahead or (first and len(sid) == 1))
+        keep[-1] = False
+        yield pa.RecordBatch.from_arrays([pa.array(sid[keep]), pa.array(i[keep])], names=["sid", "i"])
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["sid", "i"])
+
+
+def _release(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` and let Spark's cleaner take the shuffle and
+    checkpoint files that nothing refers to any more (it only learns of them
+    when the driver collects garbage)."""
+    df = df.checkpoint()
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
+def candidates(runs: DataFrame, length: int, levels: int) -> DataFrame:
+    """``(key, cands)``: the borders whose neighbour in suffix order begins
+    with the same phrases, as ``(before, pos)``."""
+    need = reach(length)
+    symbols = runs.select(
+        "sid", "pos", F.posexplode(F.arrays_zip(
+            F.col("name").alias("c"), F.expr("slice(name, 2, size(name))").alias("c1"), F.expr("slice(name, 3, size(name))").alias("c2"),
+        )).alias("i", "t"),
+    )
+    triples = symbols.select(
+        "sid", F.lit(0).cast("long").alias("b"), F.col("i").cast("long").alias("i"), "t.c",
+        F.coalesce("t.c1", F.lit(0).cast("long")).alias("c1"), F.coalesce("t.c2", F.lit(0).cast("long")).alias("c2"),
+    )
+    ranked = suffix_ranks(triples, levels)
+    # Three phrases lie within reach of every owner.
+    three = symbols.where(f"get(pos, i + 3) - get(pos, i) <= {need}").select(
+        "sid", F.col("i").cast("long").alias("i"), F.xxhash64("t.c", "t.c1", "t.c2").alias("three")
+    )
+    near = (
+        three.join(ranked.drop("b"), ["sid", "i"]).select("sid", "i", "rank", "three").sort("rank", "sid")
+        .mapInArrow(_near, "sid long, i long")
+    )
+    at = (
+        near.groupBy("sid").agg(F.collect_list("i").alias("at")).join(runs.select("sid", "key", "pos", "before"), "sid")
+        .select("key", F.transform("at", lambda i: F.struct(
+            F.when(i > 0, F.get("pos", (i - 1).cast("int"))).otherwise(F.col("before")).alias("before"),
+            F.get("pos", i.cast("int")).alias("pos"),
+        )).alias("cands"))
+    )
+    return _release(at.groupBy("key").agg(F.flatten(F.collect_list("cands")).alias("cands")))
 
 
 # --- passages ---------------------------------------------------------------
 def _strings(length: int):
-    """Per candidate: the strings it owns, ``lo .. hi``, and the hash of all
-    bytes that they cover together."""
+    """Per candidate: the strings it owns, ``lo .. hi``, the hash of all bytes
+    that they cover together, and of the bytes that each of them covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide, narrow = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
         for batch in batches:
-            key, bufs, cands = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            uid, bufs, cands = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             cols: list[list] = [[] for _ in range(5)]
             for r in range(batch.num_rows):
                 buf = bufs[r].as_py()
                 for c in cands[r].as_py():
+                    at = c["pos"]
                     lo = max(0, c["before"] - WINDOW + 2) if c["before"] >= 0 else 0
-                    hi = min(len(buf) - length, c["pos"] - WINDOW + 1)
+                    hi = min(len(buf) - length, at - WINDOW + 1)
                     if hi < lo:
                         continue
-                    whole = xxhash.xxh3_128_digest(buf[lo : hi + length]) + (hi - lo).to_bytes(4, "little")
-                    for col, v in zip(cols, (key[r], lo, hi, c["prefix"], whole)):
-                        col.append(v)
-            kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "lo", "hi", "prefix", "whole"])
+                    cols[0].append(uid[r])
+                    cols[1].append(lo)
+                    cols[2].append(hi)
+                    cols[3].append(narrow(buf[at - WINDOW + 1 : at + length - 2 * WINDOW + 2]) >> 1)
+                    cols[4].append(wide(buf[lo : hi + length], hi - lo))
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["uid", "lo", "hi", "core", "whole"])
 
     return run
 
@@ -268,7 +321,7 @@ def _each(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, bufs, spans = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            uid, bufs, spans = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
             for r in range(batch.num_rows):
                 buf = bufs[r].as_py()
                 at, alone = [], []
@@ -279,11 +332,11 @@ def _each(length: int):
                     part = at[i : i + 20_000]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([key[r]] * len(part), pa.binary()), pa.array(part, pa.int32()),
+                            pa.array([uid[r]] * len(part), pa.int64()), pa.array(part, pa.int32()),
                             pa.array(alone[i : i + 20_000], pa.bool_()),
                             pa.array([xxhash.xxh3_128_digest(buf[s : s + length]) for s in part], pa.binary()),
                         ],
-                        names=["key", "s", "alone", "h"],
+                        names=["uid", "s", "alone", "h"],
                     )
 
     return run
@@ -336,53 +389,48 @@ def repeated_passages(texts: DataFrame, length: int, levels: int = 1) -> tuple[D
     one = flagged.where("not maybe").select("key", "bytes").unionByName(
         flagged.where("maybe").select("key", "bytes").dropDuplicates(["key"])
     )
-    phrases = (
-        one.mapInArrow(_parse, "key binary, pos array<int>, name array<long>").withColumn("uid", F.monotonically_increasing_id()).checkpoint()
-    )
+    phrases = one.mapInArrow(_parse, "key binary, pos array<int>, name array<long>").checkpoint()
     names = phrases.select(F.explode("name").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     seen = BitTable(names.select(_spread(F.col("c")).alias("h")), "h", NAME_BITS)
-    runs = phrases.select("uid", "pos", "name", F.transform("name", _spread).alias("h")).mapInArrow(
-        _runs(seen, length), "uid long, b long, i long, c long, before int, pos int, prefix long, three long, six long"
-    ).checkpoint()
-    ranked = suffix_ranks(runs.select("uid", "b", "i", "c"), levels)
-    owners = runs.where("prefix is not null").drop("c").join(ranked, ["uid", "b", "i"]).drop("b", "i")
-    near = _neighbours(owners)
-    cands = (
-        near.groupBy("uid").agg(F.collect_list(F.struct("before", "pos", "prefix")).alias("cands"))
-        .join(phrases.select("uid", "key"), "uid").select("key", "cands").checkpoint()
-    )
+    runs = phrases.select("key", "pos", "name", F.transform("name", _spread).alias("h")).mapInArrow(
+        _runs(seen, length), "key binary, name array<long>, pos array<int>, before int"
+    ).withColumn("sid", F.monotonically_increasing_id())
+    del phrases, names
+    runs = _release(runs)
+    cands = candidates(runs, length, levels)
     wanted = BitTable(cands.select(_slot(F.col("key")).alias("h")), "h", TEXT_BITS)
-    held = (
+    held = _release(
         texts.where(wanted.column(_slot(F.col("key")))).select("key", "bytes").dropDuplicates(["key"])
-        .join(cands, "key").select("key", "bytes", "cands").checkpoint()
+        .join(cands, "key").select("key", "bytes", "cands", F.monotonically_increasing_id().alias("uid"))
+    )
+    owned = held.select("uid", "bytes", "cands").mapInArrow(
+        _strings(length), "uid long, lo int, hi int, core long, whole binary"
     )
-    owned = held.mapInArrow(_strings(length), "key binary, lo int, hi int, prefix long, whole binary").checkpoint()
     # Ranges that occur whole elsewhere are settled; of the others every
-    # string is compared with those of the ranges under the same prefix, one
-    # of each kind.
-    kinds = owned.groupBy("prefix", "whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("x")
+    # string is compared with those of the ranges with the same core, one of
+    # each kind.  (Equal strings have owners of their own, so none repeats
+    # within a range.)
+    kinds = owned.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "lo", "hi", "core")).alias("x"))
+    kinds = _release(kinds.select("whole", "n", "x.uid", "x.lo", "x.hi", "x.core"))
+    mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("core")
+    spans = (
+        kinds.join(mixed, "core", "left_semi")
+        .groupBy("uid").agg(F.collect_list(F.struct("lo", "hi", (F.col("n") == 1).alias("alone"))).alias("spans"))
     )
-    open_ = kinds.where("n = 1").select("prefix").distinct()
-    several = kinds.groupBy("prefix").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("prefix")
-    todo = (
-        kinds.join(open_, "prefix", "left_semi").join(several, "prefix", "left_semi")
-        .select("x.key", "x.lo", "x.hi", (F.col("n") == 1).alias("alone"))
+    each = _release(
+        held.select("uid", "bytes").join(spans, "uid").select("uid", "bytes", "spans").mapInArrow(
+            _each(length), "uid long, s int, alone boolean, h binary"
+        )
     )
-    # (Equal strings have different owners, so none repeats within a range.)
-    spans = todo.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "alone")).alias("spans"))
-    each = held.select("key", "bytes").join(spans, "key").select("key", "bytes", "spans").mapInArrow(
-        _each(length), "key binary, s int, alone boolean, h binary"
-    ).checkpoint()
+    del mixed, spans
     twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    single = each.where("alone").join(twice, "h", "left_semi").select("key", F.col("s"), (F.col("s") + length).alias("e"))
-    whole = owned.join(kinds.where("n > 1").select("prefix", "whole"), ["prefix", "whole"], "left_semi").select(
-        "key", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")
+    single = each.where("alone").join(twice, "h", "left_semi").select("uid", "s", (F.col("s") + length).alias("e"))
+    whole = owned.join(kinds.where("n > 1").select("whole"), "whole", "left_semi").select(
+        "uid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")
     )
-    cut = (
-        held.select("key", "bytes")
-        .join(whole.unionByName(single).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("runs")), "key")
-        .select("key", "bytes", "runs").mapInArrow(_cut, "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    found = whole.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
+    cut = held.select("uid", "key", "bytes").join(found, "uid").select("key", "bytes", "runs").mapInArrow(
+        _cut, "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     return cut, copied
 
@@ -441,5 +489,6 @@ def _long(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _check(length: int) -> None:
-    if length < 4 * WINDOW + GRAM:
-        raise ValueError(f"length must be at least {4 * WINDOW + GRAM}")
+    least = 6 * WINDOW + GRAM - 3  # three phrases within reach
+    if length < least:
+        raise ValueError(f"length must be at least {least}")

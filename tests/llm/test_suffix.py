@@ -54,8 +54,8 @@ def test_borders_in_slices(monkeypatch):
 
 
 def strings_df(spark, strings):
-    rows = [(u, 0, i, c) for u, s in enumerate(strings) for i, c in enumerate(s)]
-    return spark.createDataFrame(rows, "uid long, b long, i long, c long")
+    rows = [(u, 0, i, *(s[i:] + [0, 0])[:3]) for u, s in enumerate(strings) for i in range(len(s))]
+    return spark.createDataFrame(rows, "sid long, b long, i long, c long, c1 long, c2 long")
 
 
 @pytest.mark.parametrize("levels", [0, 1, 2])
@@ -63,7 +63,7 @@ def test_suffix_ranks(spark, levels):
     rng = random.Random(levels)
     strings = [[rng.randrange(1, 4) for _ in range(rng.randrange(1, 30))] for _ in range(12)]
     strings += [strings[0], strings[1][3:], [1] * 20, [1] * 23]
-    got = {(r["uid"], r["i"]): r["rank"] for r in sx.suffix_ranks(strings_df(spark, strings), levels).collect()}
+    got = {(r["sid"], r["i"]): r["rank"] for r in sx.suffix_ranks(strings_df(spark, strings), levels).collect()}
     suffixes = {(u, i): tuple(s[i:]) for u, s in enumerate(strings) for i in range(len(s))}
     assert got.keys() == suffixes.keys()
     depth = 3 ** (levels + 1)
