@@ -8,6 +8,8 @@ costs one row in the join instead of one per copy.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from planar.functions.geometry import box_in_box, finite, normalize_boxes, point
 from planar.plans.grid import SPAN, box_point_join, fits_broadcast, plan_grid
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
+_EXTENT_BYTES = 64  # four doubles and their cell key
 
 
 def _boxes(boxes: DataFrame, x1: str, y1: str, x2: str, y2: str) -> DataFrame:
@@ -64,13 +67,13 @@ def heat_map(
     if grid is None:
         return b.select("id", F.lit(0).cast("long").alias("n"))
     bound = grid.counts[0] * (SPAN + 1) ** 2
-    if fits_broadcast(ub, bound):
+    if fits_broadcast(ub, bound, _EXTENT_BYTES):
         weighted = p.withColumn("w", F.lit(1).cast("long"))
     else:
         weighted = p.groupBy("px", "py").agg(F.count(F.lit(1)).alias("w"))
-    pairs = box_point_join(ub, weighted, point_in_box("px", "py", *_BOX), grid=grid)
+    pairs = box_point_join(ub, weighted, point_in_box("px", "py", *_BOX), grid=replace(grid, row_bytes=_EXTENT_BYTES))
     counts = pairs.groupBy(*_BOX).agg(F.sum("w").alias("n"))
-    if fits_broadcast(counts, grid.counts[0]):
+    if fits_broadcast(counts, grid.counts[0], _EXTENT_BYTES + 8):
         counts = F.broadcast(counts)
     return b.join(counts, list(_BOX), "left").select(
         "id", F.coalesce(F.col("n"), F.lit(0).cast("long")).alias("n")

@@ -1 +1 @@
-"""Planning helpers: multi-level grid, session settings, cached frames."""
+"""Planning helpers: multi-level grid and session settings."""

@@ -1,22 +1,25 @@
-"""Multi-level uniform grid: 2-D range joins planned as equi-joins.
+"""Multi-level grid: 2-D range joins planned as equi-joins.
 
 Spark plans a pure range condition as a nested loop (``CartesianProduct`` or
 ``BroadcastNestedLoopJoin``).  Adding a cell key turns it into a hash or
 sort-merge equi-join with the range test as residual condition.
 
-Level ``l`` has cells of ``wx * BRANCH**l`` by ``wy * BRANCH**l``.  The base
-cell ``(wx, wy)`` is about the 90th percentile of box widths and heights
-(from a log-scale histogram; never finer than ``extent / 2**20``).  A box lives on the finest level where it is
-at most ``SPAN`` cells wide and high, so it covers at most
-``(SPAN + 1)**2`` cells however large it is: a few huge boxes can not blow up
-the join.  A point gets one cell on each level that holds boxes.  A box and
-a point inside it therefore meet in exactly one cell: no duplicates, no
-``distinct`` afterwards.
-
-Planning costs one grouped aggregation over the box side (size histogram,
-extent, row count; at most a few thousand rows reach the driver), plus a
-second one for the set of levels only when some box is larger than ``SPAN``
-base cells.  When the count from the first job proves the exploded box side
+Cell sides are powers of ``BRANCH`` on an absolute scale, chosen per axis
+from a box's own size: level ``(lx, ly)`` has cells of ``BRANCH**lx`` by
+``BRANCH**ly``, and a box lives on the finest level where it is at most
+``SPAN`` cells wide and high, so it covers at most ``(SPAN + 1)**2`` cells.
+Neither the extent nor the other boxes' sizes matter: a far-off box, large
+boxes among small ones, and long thin boxes each get cells of their own size.
+A point gets one cell on each level that holds boxes.  A box and a point
+inside it therefore meet in exactly one cell: no duplicates, no ``distinct``
+afterwards.
+
+Which levels hold boxes comes from one grouped aggregation over the box side
+(a row per level).  Where that gives more than ``MAX_LEVELS`` levels, they
+are rounded up to every second, fourth, ... power, which bounds the copies of
+a point; cells then are larger by a constant factor.
+
+When the planning job's row count and widest row prove the exploded box side
 small, it is broadcast and the point side is never shuffled; otherwise both
 sides are hash-partitioned on the cell and AQE splits hot cells.
 """
@@ -28,14 +31,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from planar.plans.session import conf_bytes
 
 BRANCH = 4          # cell side factor between levels (power of two: exact scaling)
 SPAN = 2            # a box is at most SPAN cells wide on its level
-MAX_CELLS = 1 << 20  # finest level has at most this many cells per axis
-QUANTILE = 0.9
+MAX_LEVELS = 24     # most copies of a point
 
 BROADCAST_CONF = "spark.planar.broadcastBytes"
 DEFAULT_BROADCAST = 32 << 20
@@ -43,203 +45,164 @@ DEFAULT_BROADCAST = 32 << 20
 
 @dataclass(frozen=True)
 class Grid:
+    """Levels ``(lx, ly)`` that hold boxes; ``low``: the finest level of each
+    axis (boxes of size zero live there); ``step``: levels are multiples of
+    it; the extent; rows of each planned side and the widest of all rows."""
+
     x0: float
     y0: float
     x1: float
     y1: float
-    wx: float
-    wy: float
-    levels: tuple[int, ...]
+    low: tuple[int, int]
+    step: tuple[int, int]
+    levels: tuple[tuple[int, int], ...]
     counts: tuple[int, ...]
-
-    # ---- widths -------------------------------------------------------------
-    def cw(self, level: int) -> float:
-        return self.wx * BRANCH**level
-
-    def ch(self, level: int) -> float:
-        return self.wy * BRANCH**level
-
-    def _by_level(self, lvl: Column, fn) -> Column:
-        expr = None
-        for lv in self.levels:
-            expr = F.when(lvl == lv, F.lit(fn(lv))) if expr is None else expr.when(lvl == lv, F.lit(fn(lv)))
-        return expr
-
-    def cell_x(self, x: Column, lvl: Column | int) -> Column:
-        w = F.lit(self.cw(lvl)) if isinstance(lvl, int) else self._by_level(lvl, self.cw)
-        return F.floor((x - F.lit(self.x0)) / w)
-
-    def cell_y(self, y: Column, lvl: Column | int) -> Column:
-        w = F.lit(self.ch(lvl)) if isinstance(lvl, int) else self._by_level(lvl, self.ch)
-        return F.floor((y - F.lit(self.y0)) / w)
-
-    # ---- levels -------------------------------------------------------------
-    def level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-        return level_expr(self.wx, self.wy, xmin, ymin, xmax, ymax)
+    row_bytes: int = 64
 
     def inside(self, x: Column, y: Column) -> Column:
         return (x >= F.lit(self.x0)) & (x <= F.lit(self.x1)) & (y >= F.lit(self.y0)) & (y <= F.lit(self.y1))
 
-    # ---- cell assignment ----------------------------------------------------
-    def point_cells(self, df: DataFrame, x: str, y: str, prefix: str = "_p", levels=None) -> DataFrame:
-        """One row per (point, level) with ``{prefix}l, {prefix}x, {prefix}y`` keys.
+    def level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> tuple[Column, Column]:
+        return (
+            _level(xmax - xmin, self.low[0], self.step[0]),
+            _level(ymax - ymin, self.low[1], self.step[1]),
+        )
 
-        Points outside the grid extent are dropped (they can meet no box).
-        """
-        levels = self.levels if levels is None else levels
+    def point_cells(self, df: DataFrame, x: str, y: str, prefix: str = "_p") -> DataFrame:
+        """One row per (point, level) with ``{prefix}l, {prefix}m, {prefix}x,
+        {prefix}y`` keys.  Points outside the boxes' extent are dropped (they
+        can meet no box)."""
         X, Y = F.col(x), F.col(y)
         df = df.where(self.inside(X, Y))
-        kl, kx, ky = f"{prefix}l", f"{prefix}x", f"{prefix}y"
-        if len(levels) == 1:
-            lv = levels[0]
-            return df.withColumns(
-                {kl: F.lit(lv), kx: self.cell_x(X, lv), ky: self.cell_y(Y, lv)}
+        keys = [
+            F.struct(
+                F.lit(lx).alias(f"{prefix}l"), F.lit(ly).alias(f"{prefix}m"),
+                _cell(X, lx).alias(f"{prefix}x"), _cell(Y, ly).alias(f"{prefix}y"),
             )
-        cells = F.array(
-            *[
-                F.struct(F.lit(lv).alias(kl), self.cell_x(X, lv).alias(kx), self.cell_y(Y, lv).alias(ky))
-                for lv in levels
-            ]
-        )
-        return df.select("*", F.inline(cells))
+            for lx, ly in self.levels
+        ]
+        return df.select("*", F.inline(F.array(*keys)))
 
     def box_cells(
-        self,
-        df: DataFrame,
-        xmin: str,
-        ymin: str,
-        xmax: str,
-        ymax: str,
-        prefix: str = "_b",
-        coarser: bool = False,
+        self, df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, prefix: str = "_b", coarser: bool = False
     ) -> DataFrame:
         """One row per (box, covered cell) on the box's own level.
 
-        With ``coarser`` the box is also placed on every coarser level (used
-        by box-box joins, where a pair meets on the coarser of both levels);
-        the native level is kept in ``{prefix}n``.
+        With ``coarser`` the box is also placed on every combination of
+        coarser levels of the two axes (box-box joins: a pair meets on the
+        coarser level of both, per axis); its own is kept in ``{prefix}n``
+        and ``{prefix}o``.
         """
-        kl, kx, ky, kn = f"{prefix}l", f"{prefix}x", f"{prefix}y", f"{prefix}n"
+        kl, km, kx, ky = (f"{prefix}{c}" for c in "lmxy")
         a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
-        if len(self.levels) == 1:
-            # One level: every box is placed on it (a box larger than the
-            # planning pass saw would only cover more cells).
-            lvl = self.levels[0]
-            df = df.withColumn(kl, F.lit(lvl))
-            if coarser:
-                df = df.withColumn(kn, F.lit(lvl))
+        lx, ly = self.level_of(a, b, c, d)
+        if coarser:
+            kn, ko = f"{prefix}n", f"{prefix}o"
+            axes = [sorted({lv[k] for lv in self.levels} | {self.low[k]}) for k in (0, 1)]
+            df = df.withColumns({kn: lx, ko: ly})
+            for col, own, present in ((kl, kn, axes[0]), (km, ko, axes[1])):
+                df = df.withColumn(col, F.explode(_at_least(present, F.col(own))))
         else:
-            # Levels present at or above the box's own one; the first is
-            # where the box lives (past the coarsest present level the box
-            # just covers more cells), so placement is right for any level
-            # set and the set only decides how much work is done.
-            native = self.level_of(a, b, c, d)
-            present = F.array(*[F.lit(v) for v in self.levels])
-            ge = F.filter(present, lambda v: v >= native)
-            ge = F.when(F.size(ge) > 0, ge).otherwise(F.array(F.lit(self.levels[-1])))
-            if coarser:
-                df = df.withColumn(kn, ge).withColumn(kl, F.explode(kn)).withColumn(kn, F.element_at(kn, 1))
-            else:
-                df = df.withColumn(kl, F.element_at(ge, 1))
-            lvl = F.col(kl)
-        df = df.withColumn(kx, F.explode(F.sequence(self.cell_x(a, lvl), self.cell_x(c, lvl))))
-        return df.withColumn(ky, F.explode(F.sequence(self.cell_y(b, lvl), self.cell_y(d, lvl))))
+            df = df.withColumns({kl: lx, km: ly})
+        df = df.withColumn(kx, F.explode(F.sequence(_cell(a, F.col(kl)), _cell(c, F.col(kl)))))
+        return df.withColumn(ky, F.explode(F.sequence(_cell(b, F.col(km)), _cell(d, F.col(km)))))
 
 
-def level_expr(wx: float, wy: float, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    r = F.greatest((xmax - xmin) / F.lit(wx), (ymax - ymin) / F.lit(wy))
-    up = F.ceil(F.log(float(BRANCH), r / F.lit(float(SPAN))))
-    return F.when(r <= F.lit(float(SPAN)), F.lit(0)).otherwise(up).cast("int")
+def _at_least(levels: list[int], own: Column) -> Column:
+    return F.filter(F.array(*map(F.lit, levels)), lambda v: v >= own)
 
 
-def _base(width_q: float | None, extent: float) -> float:
-    floor_w = extent / MAX_CELLS if extent > 0 else 1.0
-    if width_q is None or not math.isfinite(width_q) or width_q <= 0:
-        return floor_w
-    return max(float(width_q), floor_w)
+def _cell(v: Column, level: Column | int) -> Column:
+    """Cell index; the side is a power of two, so the division is exact."""
+    return F.floor(v / F.pow(F.lit(float(BRANCH)), F.lit(level) if isinstance(level, int) else level))
 
 
-BINS_PER_OCTAVE = 4  # size histogram resolution: bins of a factor 2**(1/4)
+def _level(size: Column, low: int, step: int) -> Column:
+    """Finest level (a multiple of ``step``, not below ``low``) on which
+    ``size`` spans at most ``SPAN`` cells; rounding of the logarithm can only
+    add a cell or pick the next level."""
+    up = F.ceil(F.least(F.log2(size / F.lit(float(SPAN))), F.lit(1024.0)) / F.lit(math.log2(BRANCH) * step)) * F.lit(step)
+    return F.when(size > 0, F.greatest(up, F.lit(low))).otherwise(F.lit(low)).cast("int")
 
 
-def _size_bin(v: Column) -> Column:
-    """Histogram bin of a positive size (null for size 0).  Bins are bounded
-    by the double exponent range, so there are at most ~8,600 of them."""
-    return F.when(v > 0, F.floor(F.log2(v) * F.lit(float(BINS_PER_OCTAVE))))
+def _round_up(level: int, step: int) -> int:
+    return -(-level // step) * step
 
 
-def _quantile_from_bins(bins: list, n: int, q: float) -> float | None:
-    """Largest size in the bin that holds the q-quantile (within a factor
-    2**(1/4) of the true quantile, never below it)."""
-    target = q * n
-    seen = 0
-    for b in sorted(bins, key=lambda r: (r["bin"] is not None, r["bin"] if r["bin"] is not None else 0)):
-        seen += b["n"]
-        if seen >= target:
-            return b["vmax"]
-    return bins[-1]["vmax"] if bins else None
+def _width(df: DataFrame, skip: set[str]) -> Column:
+    """Bytes of a row's columns: 8 for a fixed-width one, the length in bytes
+    of a string or binary, the text form of anything nested."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        if f.name in skip or not isinstance(f.dataType, (StringType, BinaryType, ArrayType, MapType, StructType)):
+            total = total + F.lit(8)
+        else:
+            c = F.col(f"`{f.name}`")
+            text = c if isinstance(f.dataType, (StringType, BinaryType)) else F.to_json(c)
+            total = total + F.lit(8) + F.coalesce(F.octet_length(text), F.lit(0))
+    return total
 
 
 def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     """Size a grid for the union of the given box sides.
 
-    Each side is ``(df, xmin, ymin, xmax, ymax)`` of valid, normalised
-    boxes (points are boxes of size zero).  Returns ``None`` when all are
-    empty.
+    Each side is ``(df, xmin, ymin, xmax, ymax)`` of valid, normalised boxes
+    (points are boxes of size zero).  Returns ``None`` when all are empty.
 
-    One grouped aggregation (a histogram of widths and heights on a log
-    scale, with extent and counts per bin) yields everything: it combines
-    map-side and finishes in parallel, and returns at most a few thousand
-    rows to the driver.  (A global ``percentile_approx`` would merge one
-    sketch per map task in a single task.)  A second small job collects the
-    set of levels only when some box is larger than ``SPAN`` base cells.
+    One aggregation grouped by level yields everything: it combines map-side,
+    finishes in parallel, and returns a row per level (levels follow the
+    exponents of doubles, so their number is bounded whatever the input).
     """
-    parts = []
+    u = None
     for i, (df, a, b, c, d) in enumerate(sides):
-        parts.append(
-            df.select(
-                F.lit(i).alias("_s"),
-                F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(c).alias("_c"), F.col(d).alias("_d"),
-            )
+        part = df.select(
+            F.lit(i).alias("_s"), F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(c).alias("_c"), F.col(d).alias("_d"),
+            _width(df, {a, b, c, d}).alias("_w"),
         )
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    w, h = F.col("_c") - F.col("_a"), F.col("_d") - F.col("_b")
-    per_axis = F.array(
-        F.struct(F.lit(0).alias("axis"), _size_bin(w).alias("bin"), w.alias("v")),
-        F.struct(F.lit(1).alias("axis"), _size_bin(h).alias("bin"), h.alias("v")),
-    )
-    hist = (
-        u.select("_s", "_a", "_b", "_c", "_d", F.inline(per_axis))
-        .groupBy("axis", "bin")
+        u = part if u is None else u.unionByName(part)
+    # Levels of positive sizes; null for size zero.
+    raw = lambda v: F.when(v > 0, _level(v, -1000, 1))
+    found = (
+        u.groupBy(raw(F.col("_c") - F.col("_a")).alias("lx"), raw(F.col("_d") - F.col("_b")).alias("ly"))
         .agg(
-            F.count(F.lit(1)).alias("n"), F.max("v").alias("vmax"),
             F.min("_a").alias("x0"), F.min("_b").alias("y0"), F.max("_c").alias("x1"), F.max("_d").alias("y1"),
-            *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
+            F.max("_w").alias("w"), *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
         )
         .collect()
     )
-    xs = [r for r in hist if r["axis"] == 0]
-    ys = [r for r in hist if r["axis"] == 1]
-    if not xs:
+    if not found:
         return None
-    x0, y0 = min(r["x0"] for r in xs), min(r["y0"] for r in xs)
-    x1, y1 = max(r["x1"] for r in xs), max(r["y1"] for r in xs)
-    n = sum(r["n"] for r in xs)
-    wx = _base(_quantile_from_bins(xs, n, QUANTILE), x1 - x0)
-    wy = _base(_quantile_from_bins(ys, n, QUANTILE), y1 - y0)
-    mw, mh = max(r["vmax"] for r in xs), max(r["vmax"] for r in ys)
-    if max(mw / wx, mh / wy) <= SPAN:
-        # Every box fits the base level: no second pass.
-        levels: tuple[int, ...] = (0,)
-    else:
-        lvl = level_expr(wx, wy, F.col("_a"), F.col("_b"), F.col("_c"), F.col("_d"))
-        # At most ceil(log_BRANCH(MAX_CELLS / SPAN)) + 1 distinct values.
-        found = u.agg(F.array_sort(F.collect_set(lvl)).alias("l")).first()["l"]
-        levels = tuple(int(v) for v in found) or (0,)
-    counts = tuple(sum(r[f"n{i}"] for r in xs) for i in range(len(sides)))
-    return Grid(float(x0), float(y0), float(x1), float(y1), wx, wy, levels, counts)
+    box = [min(r["x0"] for r in found), min(r["y0"] for r in found), max(r["x1"] for r in found), max(r["y1"] for r in found)]
+    counts = tuple(sum(r[f"n{i}"] for r in found) for i in range(len(sides)))
+    low, step = [], [1, 1]
+    for k, name in enumerate(("lx", "ly")):
+        seen = [r[name] for r in found if r[name] is not None]
+        reach = max(abs(box[k]), abs(box[k + 2]))
+        # Indices stay below 2**50: doubles and longs hold them exactly.
+        safe = math.ceil(math.log(reach, BRANCH)) - 25 if reach > 0 else -500
+        # Sizes of zero only: about one box per cell if they were spread out.
+        spread = box[k + 2] - box[k]
+        even = math.ceil(math.log(spread / max(1, sum(counts)), BRANCH)) if spread > 0 else safe
+        low.append(max(safe, min(seen) if seen else even, -500))
+
+    def rounded() -> set[tuple[int, int]]:
+        out = set()
+        for r in found:
+            out.add(tuple(
+                max(_round_up(low[k], step[k]), _round_up(r[n], step[k])) if r[n] is not None else _round_up(low[k], step[k])
+                for k, n in enumerate(("lx", "ly"))
+            ))
+        return out
+
+    levels = rounded()
+    while len(levels) > max(4, MAX_LEVELS):  # steps wide enough leave two per axis
+        k = 0 if len({lv[0] for lv in levels}) >= len({lv[1] for lv in levels}) else 1
+        step[k] *= 2
+        levels = rounded()
+    return Grid(
+        *map(float, box), tuple(_round_up(v, s) for v, s in zip(low, step)), tuple(step), tuple(sorted(levels)), counts,
+        max(r["w"] for r in found),
+    )
 
 
 def _empty(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -252,13 +215,14 @@ def _max_broadcast(spark) -> int:
     return conf_bytes(spark, BROADCAST_CONF, DEFAULT_BROADCAST)
 
 
-def fits_broadcast(df: DataFrame, rows_bound: int) -> bool:
-    """Whether ``rows_bound`` rows of ``df``'s width fit the broadcast budget."""
+def fits_broadcast(df: DataFrame, rows_bound: int, row_bytes: int) -> bool:
+    """Whether ``rows_bound`` rows of at most ``row_bytes`` bytes (plus the
+    cell key and row overhead) fit the broadcast budget."""
     limit = _max_broadcast(df.sparkSession)
-    if limit <= 0:
-        return False
-    width = 16 + 8 * (len(df.columns) + 3)
-    return rows_bound * width <= limit
+    return limit > 0 and rows_bound * (row_bytes + 64) <= limit
+
+
+HELPERS = ["_bl", "_bm", "_bx", "_by", "_pl", "_pm", "_px", "_py"]
 
 
 def box_point_join(
@@ -275,7 +239,7 @@ def box_point_join(
 
     ``boxes`` and ``points`` must have disjoint column names.  ``how`` is
     ``inner`` (box columns + point columns) or ``left_anti`` (points with no
-    matching box).
+    matching box; ``points`` must be distinct rows).
     """
     if grid is None:
         grid = plan_grid((boxes, *box))
@@ -284,32 +248,20 @@ def box_point_join(
             return points
         return _empty(boxes, points)
     bc = grid.box_cells(boxes, *box, prefix="_b")
-    helper = ["_bl", "_bx", "_by", "_pl", "_px", "_py"]
-
-    def keys():
-        return (F.col("_bl") == F.col("_pl")) & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
-
-    bound = grid.counts[0] * (SPAN + 1) ** 2 if grid.counts else None
-    small = bound is not None and fits_broadcast(boxes, bound)
-    if small:
+    keys = (
+        (F.col("_bl") == F.col("_pl")) & (F.col("_bm") == F.col("_pm"))
+        & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
+    )
+    if grid.counts and fits_broadcast(boxes, grid.counts[0] * (SPAN + 1) ** 2, grid.row_bytes):
         bc = F.broadcast(bc)
-
+    pc = grid.point_cells(points, *point, prefix="_p")
     if how == "inner":
-        pc = grid.point_cells(points, *point, prefix="_p")
-        return pc.join(bc, keys() & residual, "inner").drop(*helper)
+        return pc.join(bc, keys & residual, "inner").drop(*HELPERS)
     if how == "left_anti":
-        X, Y = F.col(point[0]), F.col(point[1])
-        outside = points.where(~F.coalesce(grid.inside(X, Y), F.lit(False)))
-        kept = points.where(grid.inside(X, Y))
-        # A point has one copy per level, so "no match on any level" is a
-        # chain of per-level anti joins.
-        for lv in grid.levels:
-            pc = grid.point_cells(kept, *point, prefix="_p", levels=(lv,))
-            # With one level the filter is a no-op; leaving it out keeps the
-            # box side identical across calls so its exchange is reused.
-            side = bc if len(grid.levels) == 1 else bc.where(F.col("_bl") == lv)
-            kept = pc.join(side, keys() & residual, "left_anti").drop("_pl", "_px", "_py")
-        return kept.unionByName(outside)
+        # A point has a copy per level: those that match on any level first,
+        # then one join takes them out, however many levels there are.
+        hit = pc.join(bc, keys & residual, "left_semi").select(*points.columns).distinct()
+        return points.join(hit, list(points.columns), "left_anti")
     raise ValueError(f"unsupported join type {how!r}")
 
 
@@ -328,7 +280,7 @@ def box_box_join(
 
     ``ref_x, ref_y`` name one point of the intersection (e.g. its lower left
     corner); the pair is kept only in the cell holding it, on the coarser of
-    the two boxes' levels, so each pair is produced once.
+    the two boxes' levels (per axis), so each pair is produced once.
     """
     if grid is None:
         grid = plan_grid((a, *abox), (b, *bbox))
@@ -336,15 +288,13 @@ def box_box_join(
         return _empty(a, b)
     ac = grid.box_cells(a, *abox, prefix="_a", coarser=True)
     bc = grid.box_cells(b, *bbox, prefix="_b", coarser=True)
-    lvl = F.col("_al")
-    ref_lvl = grid.levels[0] if len(grid.levels) == 1 else lvl
+    same = F.lit(True)
+    for k in "lmxy":
+        same = same & (F.col(f"_a{k}") == F.col(f"_b{k}"))
     cond = (
-        (F.col("_al") == F.col("_bl"))
-        & (F.col("_ax") == F.col("_bx"))
-        & (F.col("_ay") == F.col("_by"))
-        & (lvl == F.greatest(F.col("_an"), F.col("_bn")))
+        same
+        & (F.col("_al") == F.greatest("_an", "_bn")) & (F.col("_am") == F.greatest("_ao", "_bo"))
         & residual
-        & (grid.cell_x(ref_x, ref_lvl) == F.col("_ax"))
-        & (grid.cell_y(ref_y, ref_lvl) == F.col("_ay"))
+        & (_cell(ref_x, F.col("_al")) == F.col("_ax")) & (_cell(ref_y, F.col("_am")) == F.col("_ay"))
     )
-    return ac.join(bc, cond, "inner").drop("_al", "_ax", "_ay", "_an", "_bl", "_bx", "_by", "_bn")
+    return ac.join(bc, cond, "inner").drop(*[f"_{s}{k}" for s in "ab" for k in "lmxyno"])

@@ -45,22 +45,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared folder set by whoever runs the job; it is
-    only filled in here when unset (local runs and tests), with a fresh
-    scratch folder.
+    On a cluster this is a shared folder set by whoever runs the job; without
+    it a cluster job fails here, with a clear message, rather than write to
+    folders that other machines cannot see.  A local session (tests, bench)
+    gets a fresh scratch folder.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if cur:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(cur)
         return cur
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="planar-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001 - some deployments reject setting core confs at runtime
-        pass
-    return spark.conf.get("spark.checkpoint.dir", None) or path
+    return spark.sparkContext.getCheckpointDir() or path
 
 
 def conf_bytes(spark: SparkSession, key: str, default: int) -> int:

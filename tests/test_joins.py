@@ -113,18 +113,18 @@ def test_invalid_rows_are_ignored(spark):
     assert sorted((r.id, r.n) for r in heat_map(b, p).collect()) == [(0, 1)]
 
 
-@pytest.mark.parametrize("levels", [(0,), (1,), (0, 2), (1, 3), (0, 1, 2, 3, 4)])
-def test_grid_placement_is_right_for_any_level_set(spark, levels):
-    from dataclasses import replace
-
+@pytest.mark.parametrize("most", [4, 6, 24])
+def test_grid_is_right_for_any_number_of_levels(spark, monkeypatch, most):
     from planar.functions.geometry import normalize_boxes, point_in_box
 
+    monkeypatch.setattr(G, "MAX_LEVELS", most)
     rnd = random.Random(21)
     boxes = _random_boxes(rnd, 60, 6)
     pts = [(rnd.uniform(-5, 110), rnd.uniform(-5, 110)) for _ in range(700)]
     b = normalize_boxes(boxes_df(spark, boxes)).select("id", "xmin", "ymin", "xmax", "ymax")
     p = points_df(spark, pts, with_id=True).selectExpr("id as pid", "x as px", "y as py")
-    grid = replace(G.plan_grid((b, "xmin", "ymin", "xmax", "ymax")), levels=levels)
+    grid = G.plan_grid((b, "xmin", "ymin", "xmax", "ymax"))
+    assert len(grid.levels) <= most
     got = G.box_point_join(b, p, point_in_box("px", "py", "xmin", "ymin", "xmax", "ymax"), grid=grid)
     got = sorted((r.pid, r.id) for r in got.collect())
     want = []
@@ -156,3 +156,52 @@ def test_box_box_join_crossings(spark, seed):
         for (x, a, b) in vert for (y, c, d) in hor if c <= x <= d and a <= y <= b
     )
     assert got == want
+
+
+def _candidates(spark, boxes, pts):
+    """Rows the cell join compares, and how many match."""
+    from pyspark.sql import functions as F
+
+    from planar.functions.geometry import normalize_boxes, point_in_box
+
+    b = normalize_boxes(boxes_df(spark, boxes)).select("id", "xmin", "ymin", "xmax", "ymax")
+    p = points_df(spark, pts, with_id=True).selectExpr("id as pid", "x as px", "y as py")
+    pairs = G.box_point_join(b, p, F.lit(True))
+    inside = pairs.where(point_in_box("px", "py", "xmin", "ymin", "xmax", "ymax")).count()
+    return pairs.count(), inside
+
+
+def _spread(rnd, n, side):
+    return [(x, y, x + side * rnd.random(), y + side * rnd.random()) for x, y in ((rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(n))]
+
+
+def test_candidates_with_one_far_off_box(spark):
+    rnd = random.Random(1)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(5000)]
+    boxes = _spread(rnd, 2000, 0.05) + [(1e7, 1e7, 1e7 + 0.01, 1e7 + 0.01)]
+    n, inside = _candidates(spark, boxes, pts)
+    assert n <= 20 * (inside + len(boxes) + len(pts))
+    assert n <= 3000  # all pairs: 10 million
+
+
+def test_candidates_with_large_and_small_boxes(spark):
+    rnd = random.Random(2)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(5000)]
+    boxes = _spread(rnd, 1760, 0.05) + _spread(rnd, 240, 25.0)
+    n, inside = _candidates(spark, boxes, pts)
+    assert n <= 12 * (inside + len(boxes) + len(pts))
+
+
+def test_candidates_with_thin_boxes(spark):
+    rnd = random.Random(3)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(5000)]
+    strips = [(x, y, x + 0.3, y + 0.0005) for x, y in pts[:1000]] + [(x, y, x + 0.0005, y + 0.3) for x, y in pts[1000:2000]]
+    n, inside = _candidates(spark, strips, pts)
+    assert n <= 20 * (inside + len(strips) + len(pts))
+    assert n <= 20_000
+
+
+def test_wide_ids_are_not_broadcast(spark):
+    b = boxes_df(spark, [(0, 0, 1, 1), (2, 2, 3, 3)]).selectExpr("repeat('x', 40000000 * int(id = 0) + 1) as id", "x1", "y1", "x2", "y2")
+    df = point_in_box_join(b, points_df(spark, [(0.5, 0.5)], with_id=True))
+    assert "Broadcast" not in df._jdf.queryExecution().toString().split("== Physical Plan ==")[0]
