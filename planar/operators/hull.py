@@ -4,10 +4,12 @@ Plan: every input partition reduces its points to their hull in
 ``mapInPandas`` (Arrow batches are folded in, so memory is one chunk plus a
 hull; a vectorised interior filter discards most points before the Python
 chain scan).  The hull of the union of partial hulls is the hull of all
-points, so partial hulls are merged in a tree: ``repartition(ceil(n/FANIN))``
-and the same reduction, until one partition is left for the final step.  The
-last task therefore receives at most ``FANIN`` partial hulls, never raw
-points, and the only shuffles move hull vertices.
+points, so partial hulls are merged in a middle round and then brought
+together: the only shuffles move hull vertices.  The last task holds all
+hull vertices (few, unless the points are in convex position).
+
+Turn tests are exact (a rounded test where it is certain, rational numbers
+where not), so the vertices do not depend on how the points are split.
 
 The hull is strict: points on an edge are not vertices.  The upper chain runs
 over the highest point of each x column, from the leftmost to the rightmost
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,7 @@ from planar.functions.geometry import finite
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
 from planar.plans.session import ship_package
 
-FANIN = 256          # partial hulls merged per task in the reduction tree
+MERGE_TASKS = 64     # most tasks of the middle merge
 CHUNK = 1 << 16      # points buffered per task before reducing to a hull
 
 PAIR_SCHEMA = "ax double, ay double, bx double, by double, d2 double"
@@ -49,14 +52,37 @@ def _columns(x: np.ndarray, y: np.ndarray):
     return xs[first], ys[first], ys[last]
 
 
+# A cross product of rounded differences has the sign it shows when it
+# exceeds this share of its two products' magnitudes (and these are far from
+# underflow); otherwise the sign is worked out in rational numbers.
+TURN_ERROR = 3.3306690738754716e-16 * 1.01
+TINY = 1e-280
+
+
+def turn(ox: float, oy: float, ax: float, ay: float, bx: float, by: float) -> float:
+    """A number with the exact sign of ``(A - O) x (B - O)``."""
+    l, r = (ax - ox) * (by - oy), (ay - oy) * (bx - ox)
+    c, size = l - r, abs(l) + abs(r)
+    if TINY < size < math.inf and abs(c) > TURN_ERROR * size:
+        return c
+    ox, oy, ax, ay, bx, by = map(Fraction, (ox, oy, ax, ay, bx, by))
+    exact = (ax - ox) * (by - oy) - (ay - oy) * (bx - ox)
+    return float((exact > 0) - (exact < 0))
+
+
 def _chain(xs: list, ys: list, upper: bool, eps: float) -> list[int]:
-    """Monotone chain over points sorted by x (one point per x)."""
+    """Monotone chain over points sorted by x (one point per x).  The turn
+    test is exact; with ``eps`` it is the rounded cross product against the
+    tolerance."""
     st: list[int] = []
     for i in range(len(xs)):
         px, py = xs[i], ys[i]
         while len(st) >= 2:
             o, a = st[-2], st[-1]
-            c = (xs[a] - xs[o]) * (py - ys[o]) - (ys[a] - ys[o]) * (px - xs[o])
+            if eps:
+                c = (xs[a] - xs[o]) * (py - ys[o]) - (ys[a] - ys[o]) * (px - xs[o])
+            else:
+                c = turn(xs[o], ys[o], xs[a], ys[a], px, py)
             if (c >= -eps) if upper else (c <= eps):
                 st.pop()
             else:
@@ -66,14 +92,18 @@ def _chain(xs: list, ys: list, upper: bool, eps: float) -> list[int]:
 
 
 def chains(x: np.ndarray, y: np.ndarray, eps: float = 0.0):
-    """Upper and lower chains as ``(xs, ys)`` array pairs, left to right."""
-    if eps == 0.0:
-        x, y = _prefilter(x, y)
+    """Upper and lower chains as ``(xs, ys)`` array pairs, left to right.
+    ``eps`` thins the exact hull's chains, so it sees the same vertices
+    however the points were split."""
+    x, y = _prefilter(x, y)
     xs, lo_y, hi_y = _columns(x, y)
-    xl, lol, hil = xs.tolist(), lo_y.tolist(), hi_y.tolist()
-    up = _chain(xl, hil, True, eps)
-    lo = _chain(xl, lol, False, eps)
-    return (xs[up], hi_y[up]), (xs[lo], lo_y[lo])
+    up = _chain(xs.tolist(), hi_y.tolist(), True, 0.0)
+    lo = _chain(xs.tolist(), lo_y.tolist(), False, 0.0)
+    (ux, uy), (lx, ly) = (xs[up], hi_y[up]), (xs[lo], lo_y[lo])
+    if eps:
+        up, lo = _chain(ux.tolist(), uy.tolist(), True, eps), _chain(lx.tolist(), ly.tolist(), False, eps)
+        return (ux[up], uy[up]), (lx[lo], ly[lo])
+    return (ux, uy), (lx, ly)
 
 
 def _ring_ccw(upper, lower) -> np.ndarray:
@@ -90,7 +120,8 @@ def _ring_ccw(upper, lower) -> np.ndarray:
 
 
 def _prefilter(x: np.ndarray, y: np.ndarray):
-    """Drop points strictly inside the polygon of the eight extreme points."""
+    """Drop points that are certainly inside the polygon of the eight extreme
+    points (beyond any rounding of the test)."""
     if len(x) < 64:
         return x, y
     s, d = x + y, x - y
@@ -104,9 +135,13 @@ def _prefilter(x: np.ndarray, y: np.ndarray):
     if len(poly) < 3:
         return x, y
     inside = np.ones(len(x), dtype=bool)
+    old = np.seterr(over="ignore", invalid="ignore")
     for i in range(len(poly)):
         (ox, oy), (ax, ay) = poly[i], poly[(i + 1) % len(poly)]
-        inside &= (ax - ox) * (y - oy) - (ay - oy) * (x - ox) > 0
+        l, r = (ax - ox) * (y - oy), (ay - oy) * (x - ox)
+        size = np.abs(l) + np.abs(r)
+        inside &= (l - r > TURN_ERROR * size) & (size > TINY) & (size < np.inf)
+    np.seterr(**old)
     keep = ~inside
     return x[keep], y[keep]
 
@@ -218,7 +253,7 @@ def closest_on_axes_from_hull(upper, lower):
 # ---------------------------------------------------------------------------
 # Spark plumbing
 # ---------------------------------------------------------------------------
-def _partial(eps: float):
+def _partial():
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hx = np.empty(0)
         hy = np.empty(0)
@@ -231,26 +266,27 @@ def _partial(eps: float):
             # when the hull keeps most points (points in convex position) the
             # buffer doubles between reductions, so the work stays linear.
             if size >= max(CHUNK, 2 * len(hx)):
-                hx, hy = hull_vertices(np.concatenate(bufx), np.concatenate(bufy), eps)
+                hx, hy = hull_vertices(np.concatenate(bufx), np.concatenate(bufy))
                 bufx, bufy, size = [hx], [hy], len(hx)
         x, y = np.concatenate(bufx), np.concatenate(bufy)
         if len(x):
-            hx, hy = hull_vertices(x, y, eps)
+            hx, hy = hull_vertices(x, y)
             yield pd.DataFrame({"x": hx, "y": hy})
 
     return run
 
 
-def _reduced(points: DataFrame, x: str, y: str, eps: float) -> DataFrame:
-    """Partial hulls merged until one partition holds them all."""
-    ship_package(points.sparkSession)
+def _reduced(points: DataFrame, x: str, y: str) -> DataFrame:
+    """Partial hulls, merged in a middle round of at most ``MERGE_TASKS``
+    tasks (no more than the cluster has cores), then brought together.  The
+    number of input partitions is never asked for, so building the plan runs
+    nothing."""
+    spark = points.sparkSession
+    ship_package(spark)
     pts = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
-    part = pts.mapInPandas(_partial(eps), "x double, y double")
-    n = pts.rdd.getNumPartitions()
-    while n > FANIN:
-        n = math.ceil(n / FANIN)
-        part = part.repartition(n).mapInPandas(_partial(eps), "x double, y double")
-    return part.repartition(1)
+    part = pts.mapInPandas(_partial(), "x double, y double")
+    middle = max(1, min(MERGE_TASKS, spark.sparkContext.defaultParallelism))
+    return part.repartition(middle).mapInPandas(_partial(), "x double, y double").repartition(1)
 
 
 def _final(mode: str, eps: float):
@@ -294,7 +330,7 @@ _SCHEMAS = {
 
 
 def _hull(points: DataFrame, mode: str, x: str, y: str, eps: float) -> DataFrame:
-    return _reduced(points, x, y, eps).mapInPandas(_final(mode, eps), _SCHEMAS[mode])
+    return _reduced(points, x, y).mapInPandas(_final(mode, eps), _SCHEMAS[mode])
 
 
 def convex_hull(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0) -> DataFrame:
@@ -323,6 +359,6 @@ def farthest_pair(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 
 def hull_closest_pair(points: DataFrame, x: str = "x", y: str = "y", eps: float = 1e-9) -> DataFrame:
     """Closest pair among hull vertices that differ in both x and y (a has
-    the smaller x); the hull is built with tolerance ``eps`` on the turn
-    test."""
+    the smaller x); ``eps`` is a tolerance on the turn test that thins the
+    exact hull in the final step."""
     return _hull(points, "closest_axes", x, y, eps)

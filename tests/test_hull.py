@@ -83,7 +83,7 @@ def test_chains(spark):
 
 
 def test_tree_reduction(spark, monkeypatch):
-    monkeypatch.setattr(H, "FANIN", 3)
+    monkeypatch.setattr(H, "MERGE_TASKS", 3)
     rnd = random.Random(5)
     pts = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(2000)]
     got = _set(convex_hull(points_df(spark, pts).repartition(20)))
@@ -130,3 +130,54 @@ def test_hull_closest_rectangle(spark):
     pts = [(0, 0), (0, 1), (1, 0), (1, 1)]
     assert _pair(hull_closest_pair(points_df(spark, pts))) == (0.0, 0.0, 1.0, 1.0, 2.0)
     assert hull_closest_pair(points_df(spark, [(0, 0), (0, 5)])).count() == 0
+
+
+def _exact_hull(pts):
+    """Strict hull in rational numbers."""
+    from fractions import Fraction
+
+    pts = sorted(set(pts))
+    if len(pts) < 3:
+        return set(pts)
+
+    def half(seq):
+        st = []
+        for p in seq:
+            while len(st) >= 2:
+                (ox, oy), (ax, ay) = st[-2], st[-1]
+                ox, oy, ax, ay, bx, by = map(Fraction, (ox, oy, ax, ay, *p))
+                if (ax - ox) * (by - oy) - (ay - oy) * (bx - ox) > 0:
+                    break
+                st.pop()
+            st.append(p)
+        return st
+
+    return set(half(pts)) | set(half(pts[::-1]))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_nearly_collinear_doubles(spark, seed):
+    rnd = random.Random(seed)
+    pts = [(k * 0.1, k * 0.3) for k in (rnd.randrange(400) * 0.1 for _ in range(200))]
+    want = _exact_hull(pts)
+    for parts in (1, 4, 8, 17):
+        assert _set(convex_hull(points_df(spark, pts).repartition(parts))) == want
+
+
+def test_tolerance_does_not_depend_on_partitions(spark):
+    import math
+
+    pts = [(1e-3 * math.cos(i * math.tau / 400), 1e-3 * math.sin(i * math.tau / 400)) for i in range(400)]
+    got = {_pair(hull_closest_pair(points_df(spark, pts).repartition(p))) for p in (1, 4, 8, 17)}
+    assert len(got) == 1
+
+
+def test_building_a_hull_runs_nothing(spark):
+    df = points_df(spark, [(i % 7, i % 11) for i in range(100)]).groupBy("x").agg({"y": "max"}).toDF("x", "y")
+    sc = spark.sparkContext
+    sc.setJobGroup("hull-build", "nothing should run")
+    try:
+        convex_hull(df)
+        assert list(sc.statusTracker().getJobIdsForGroup("hull-build")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

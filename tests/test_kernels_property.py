@@ -33,6 +33,19 @@ def test_hull_vertices(pts):
     assert set(zip(hx.tolist(), hy.tolist())) == {(float(a), float(b)) for a, b in brute.hull(pts)}
 
 
+anything = st.floats(-1e6, 1e6, allow_nan=False) | st.integers(0, 40).map(lambda k: k * 0.1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(anything, anything), min_size=1, max_size=120), st.integers(1, 7))
+def test_hull_of_any_doubles_in_any_pieces(pts, pieces):
+    from tests.test_hull import _exact_hull
+
+    parts = [H.hull_vertices(*_arr(pts[i::pieces])) for i in range(pieces) if pts[i::pieces]]
+    hx, hy = H.hull_vertices(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    assert set(zip(hx.tolist(), hy.tolist())) == _exact_hull([(float(a), float(b)) for a, b in pts])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(lattice, floats))
 def test_farthest(pts):
