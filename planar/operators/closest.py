@@ -2,17 +2,15 @@
 
 Plan:
 
-1. One aggregate job over the valid rows: count and extent (no shuffle;
-   tiny partial buffers).
-2. Upper bound: the exact closest pair of a random sample of about
-   ``n**(2/3)`` rows, deduplicated and solved by the same procedure
-   (recursively; at most ``BASE_ROWS`` points are ever solved inside one
-   task).  With that bound as grid cell, the expected number of pairs
-   compared is linear in ``n`` for any input distribution (Rabin's sampling
-   argument), so hot regions do not turn quadratic.
-3. Distinct points (copies collapse map-side).  They are cached only when
-   the row count proves them small; otherwise they are computed inside the
-   final query, where both sides of the self-join share the exchange.
+1. Distinct points (copies collapse map-side), written once to the
+   checkpoint folder: every later step reads them, not the source.
+2. One aggregate over them: count and extent.
+3. Upper bound: the exact closest pair of a random sample of about
+   ``n**(2/3)`` of them, found by the same procedure; at most ``base_rows``
+   points are ever solved inside one task.  With that bound as grid cell, the
+   expected number of pairs compared is linear in ``n`` for any input
+   distribution (Rabin's sampling argument), so hot regions do not turn
+   quadratic.
 4. Cells of side ``w`` = twice the bound: every pair at distance <= bound
    lies in the same or an adjacent cell.  Each point meets its own cell and
    those of four neighbours (half of the 3x3 block, so each pair meets once)
@@ -30,20 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import dist2, finite
 from planar.operators.hull import PAIR_SCHEMA
 from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
-from planar.plans import cache
-from planar.plans.session import ship_package
+from planar.plans.session import ensure_checkpoint_dir, ship_package
 
-BASE_ROWS = 1 << 16  # most points ever solved inside one task
+BASE_ROWS = 1 << 10  # most points solved inside one task, by default
 SLACK = 1.01
-MAX_DEPTH = 6        # sampling levels; n**(2/3) per level reaches BASE_ROWS in 3 for any real n
-_HALF_NEIGHBOURS = ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))
 
 
 def local_closest(P: np.ndarray):
@@ -134,62 +128,36 @@ def _grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float)
     return best.where(F.col("m").isNotNull()).select("m.ax", "m.ay", "m.bx", "m.by", "m.d2")
 
 
-def _partition_bound(pts: DataFrame) -> float:
-    """Fallback bound: closest neighbours in (x, y) order inside each partition."""
-
-    def run(batches):
-        frames = [b for b in batches if len(b)]
-        if frames:
-            P = pd.concat(frames)[["x", "y"]].to_numpy(dtype=float)
-            if len(P) >= 2:
-                Q = P[np.lexsort((P[:, 1], P[:, 0]))]
-                d = Q[1:] - Q[:-1]
-                yield pd.DataFrame({"d2": [float(np.min(d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1]))]})
-
-    row = pts.mapInPandas(run, "d2 double").agg(F.min("d2").alias("d2")).first()
-    return row["d2"]
-
-
-def _closest(valid: DataFrame, seed: int, depth: int) -> DataFrame:
-    """Closest distinct pair of the (possibly repeated) points in ``valid``."""
-    st = valid.agg(
+def _closest(pts: DataFrame, seed: int, base_rows: int) -> DataFrame:
+    """Closest pair of the distinct points ``pts`` (cheap to read again)."""
+    st = pts.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
     ).first()
-    n = st["n"]  # rows, copies included: an upper bound of the distinct count
+    n = st["n"]
     if n < 2:
-        return valid.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    pts = valid.distinct()
-    if n <= BASE_ROWS:
+        return pts.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    if n <= base_rows:
         return pts.repartition(1).mapInPandas(_local, PAIR_SCHEMA)
-    source = valid
-    if cache.fits(valid.sparkSession, n):
-        # Provably small (n rows bound the distinct set): cache the distinct
-        # points once and draw the sample from them.  Larger inputs are
-        # re-read instead of pinning an input-sized set in executor storage.
-        pts = source = cache.track(pts.persist(StorageLevel.MEMORY_AND_DISK))
-    # A row sample: repeated points are drawn more often, which can only
-    # tighten the bound.  Small (about n**(2/3) rows) and read up to three
-    # times by the level below, so it is persisted.
-    found = None
-    if depth < MAX_DEPTH:
-        sample = source.sample(withReplacement=False, fraction=min(1.0, n ** (-1.0 / 3.0)), seed=seed + depth)
-        sample = cache.track(sample.distinct().persist(StorageLevel.MEMORY_AND_DISK))
-        found = _closest(sample, seed, depth + 1).first()
-    bound = found["d2"] if found is not None else _partition_bound(pts)
+    sample = pts.sample(withReplacement=False, fraction=n ** (-1.0 / 3.0), seed=seed).checkpoint()
+    found = _closest(sample, seed + 1, base_rows).first()
     dx, dy = st["x1"] - st["x0"], st["y1"] - st["y0"]
-    if bound is None:
-        # No partition holds two distinct points, so there are at most as
-        # many distinct points as partitions: the extent's diagonal is a
-        # bound and the grid holds them in a few cells.
-        bound = dx * dx + dy * dy
-    span = max(dx, dy)
-    return _grid_pairs(pts, float(bound), st["x0"], st["y0"], span)
+    # A sample of fewer than two points (all but impossible) bounds nothing:
+    # the extent's diagonal does.
+    bound = found["d2"] if found is not None else dx * dx + dy * dy
+    return _grid_pairs(pts, float(bound), st["x0"], st["y0"], max(dx, dy))
 
 
-def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42) -> DataFrame:
+def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42, base_rows: int | None = None) -> DataFrame:
     """``(ax, ay, bx, by, d2)`` for the two distinct points closest together;
-    empty with fewer than two distinct points."""
-    ship_package(points.sparkSession)
+    empty with fewer than two distinct points.
+
+    ``base_rows`` (at least 2, by default 1,024) is the largest number of
+    points that one task solves on its own; larger sets take the grid join.
+    It bounds a task's memory (at most its square in compared pairs) and
+    changes no result."""
+    spark = points.sparkSession
+    ship_package(spark)
+    ensure_checkpoint_dir(spark)
     valid = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
-    return _closest(valid, seed, 0)
+    return _closest(valid.distinct().checkpoint(), seed, max(2, base_rows or BASE_ROWS))

@@ -3,12 +3,12 @@
 A corner of the union is a crossing of a vertical and a horizontal box edge
 (box corners included).  Plan, fully distributed:
 
-1. Valid boxes of positive area, distinct; cached when the planning job's
-   count proves them small.
+1. Valid boxes of positive area, distinct, written once to the checkpoint
+   folder: every step below reads them from there.
 2. Vertical edges ``(x, y0, y1)`` and horizontal edges ``(y, x0, x1)``,
    distinct.  An edge lying strictly inside some box carries no corner and is
-   dropped (left-anti grid join on its first end point, residual: both ends
-   inside); with heavy overlap this removes most edges before the crossing
+   dropped (a grid join on its first end point finds the edges with both ends
+   inside one box, whatever the number of levels, and an anti join drops them); with heavy overlap this removes most edges before the crossing
    count can grow quadratic.  The crossings of the remaining edges come from
    a grid box-box join (each edge is a degenerate box; a crossing is produced
    only in the cell holding it, on the coarser of the two edges' levels, so
@@ -24,34 +24,36 @@ The output is the set of distinct corner coordinates, unordered.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import normalize_boxes, point_in_box
-from planar.plans import cache
 from planar.plans.grid import box_box_join, box_point_join, plan_grid
+from planar.plans.session import ensure_checkpoint_dir
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
 def box_union_vertices(
-    boxes: DataFrame, corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2")
+    boxes: DataFrame, corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"), snap_scale: float | None = None
 ) -> DataFrame:
+    """``(x, y)`` of the corners of the union's outline, distinct.
+
+    With ``snap_scale`` corners are first rounded to multiples of
+    ``1 / snap_scale``; by default coordinates are taken as they are."""
+    ensure_checkpoint_dir(boxes.sparkSession)
+    if snap_scale is not None:
+        boxes = boxes.select(*[(F.round(F.col(c) * F.lit(float(snap_scale))) / F.lit(float(snap_scale))).alias(c) for c in corners])
     r = (
         normalize_boxes(boxes, *corners)
         .where((F.col("xmin") < F.col("xmax")) & (F.col("ymin") < F.col("ymax")))
         .select(*_BOX)
         .distinct()
+        .checkpoint()
     )
     grid = plan_grid((r, *_BOX))
     if grid is None:
         return r.select(F.col("xmin").alias("x"), F.col("ymin").alias("y")).where(F.lit(False))
-    # r feeds every step below.  The planning job counted it: cache it when
-    # that count proves it small; larger box sets are recomputed per branch
-    # rather than pinned in executor storage.
-    if cache.fits(r.sparkSession, grid.counts[0]):
-        r = cache.track(r.persist(StorageLevel.MEMORY_AND_DISK))
     vert = r.select(
         F.explode(F.array(F.col("xmin"), F.col("xmax"))).alias("vx"),
         F.col("ymin").alias("vy0"), F.col("ymax").alias("vy1"),

@@ -4,14 +4,12 @@ import pytest
 
 from planar.operators import closest as C
 from planar.operators.closest import closest_pair
-from planar.plans import cache
 from tests import brute
 from tests.conftest import points_df
 
 
 def _pair(df):
     rows = df.collect()
-    cache.release()
     return None if not rows else tuple(rows[0][c] for c in ("ax", "ay", "bx", "by", "d2"))
 
 
@@ -35,18 +33,13 @@ def test_lattice_ties_and_copies(spark, seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("cache_bytes", ["0", str(1 << 30)])  # re-read the source / cache the distinct set
-def test_distributed_path(spark, monkeypatch, seed, cache_bytes):
+def test_distributed_path(spark, monkeypatch, seed):
     # Force the sample bound + grid join (and one level of recursion).
     monkeypatch.setattr(C, "BASE_ROWS", 40)
-    spark.conf.set(cache.CACHE_CONF, cache_bytes)
     rnd = random.Random(seed)
     pts = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(900)]
     pts += [(0.5 + rnd.random() * 1e-3, 0.5 + rnd.random() * 1e-3) for _ in range(300)]  # dense cluster
-    try:
-        assert _pair(closest_pair(points_df(spark, pts).repartition(7))) == brute.closest(pts)
-    finally:
-        spark.conf.unset(cache.CACHE_CONF)
+    assert _pair(closest_pair(points_df(spark, pts).repartition(7))) == brute.closest(pts)
 
 
 def test_tiny_distances(spark, monkeypatch):
@@ -61,13 +54,6 @@ def test_collinear_vertical(spark, monkeypatch):
     assert _pair(closest_pair(points_df(spark, pts))) == brute.closest(pts)
 
 
-def test_partition_bound_is_an_upper_bound(spark):
-    rnd = random.Random(8)
-    pts = [(rnd.random(), rnd.random()) for _ in range(300)]
-    bound = C._partition_bound(points_df(spark, pts).repartition(4))
-    assert bound >= brute.closest(pts)[4]
-
-
 @pytest.mark.parametrize("seed", range(4))
 def test_grid_step_with_tight_bound(spark, seed):
     # The bound equals the true minimum, so the winning pair sits exactly at
@@ -88,8 +74,15 @@ def test_heavy_copies_few_distinct(spark, monkeypatch):
     assert _pair(closest_pair(points_df(spark, pts).repartition(5))) == brute.closest(pts)
 
 
-def test_fallback_bound_with_points_spread_over_partitions(spark, monkeypatch):
-    monkeypatch.setattr(C, "BASE_ROWS", 1)
-    monkeypatch.setattr(C, "_partition_bound", lambda pts: None)  # force the extent fallback
+def test_fallback_bound_without_a_sample(spark, monkeypatch):
+    # A sample too small to hold a pair: the extent bounds the distance.
     pts = [(0.0, 0.0), (3.0, 4.0), (10.0, 0.0)]
-    assert _pair(closest_pair(points_df(spark, pts).repartition(3))) == brute.closest(pts)
+    monkeypatch.setattr(type(spark.range(1)), "sample", lambda self, **kw: self.limit(1))
+    assert _pair(closest_pair(points_df(spark, pts).repartition(3), base_rows=2)) == brute.closest(pts)
+
+
+def test_permuted_lattice(spark):
+    # Neighbours in x and in y order are far apart: a sample's bound is needed.
+    n, k = 4096, 1531
+    pts = [(float(i), float(i * k % n)) for i in range(n)]
+    assert _pair(closest_pair(points_df(spark, pts))) == brute.closest(pts)
