@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planar.functions import render
-from planar.functions.geometry import box_ring, normalize_boxes
+from planar.functions.geometry import box_ring, cross, dist2, normalize_boxes
 from planar.operators.closest import closest_pair
 from planar.operators.hull import (
     convex_hull,
@@ -29,10 +29,9 @@ from planar.operators.joins import containment_join, containment_lists, heat_map
 from planar.operators.range_query import range_query
 from planar.operators.stats import distinct_points, extent
 from planar.operators.union import box_union_vertices
-from planar.plans.session import ensure_checkpoint_dir
 from planar.sources import fixtures as fx
 from planar.sources.fixtures import with_views
-from planar.sources.text import read_boxes, read_points, write_lines
+from planar.sources.text import one_part, parse_boxes, read_boxes, read_points, split_rejects
 
 # The training-data operators are optional: without their folder (and the
 # pipeline built on it) everything else still works.
@@ -49,6 +48,7 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 # Query windows (fixed parameters of the registered queries).
 WINDOW_PART = (2000.0, 2000.0, 30000.0, 12000.0)
+CLOSEST_BASE = 256  # points that one task solves; larger sets take the grid join
 WINDOW_EMB = (-0.1, -0.1, 0.1, 0.1)
 
 
@@ -71,28 +71,84 @@ def _ring(spark, d):
     )
 
 
-def _as_text(spark: SparkSession, d: str, query: str, view: str, cols: list[str]) -> str:
-    """Write a fixture view as comma-separated lines (field 0 unused, id in
-    field 1, then the coordinates, as the box and point files are laid out)
-    into the session's checkpoint folder; return the folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = d.rstrip("/").rsplit("/", 1)[-1]
-    path = f"{base}/planar-text/{tag}/{query}/{view}"
+def _as_lines(spark: SparkSession, d: str, view: str, cols: list[str], sep: str = ",", lead: bool = True, pad: str = "") -> DataFrame:
+    """A fixture view as delimited lines in a ``value`` column: field 0 unused
+    (``lead``), then the id if the view has one to carry, then ``cols``."""
     df = fx.VIEWS[view](spark, d)
-    fields = [F.lit("0"), F.col("id").cast("string")] + [F.col(c).cast("string") for c in cols]
-    write_lines(df.select(F.concat_ws(",", *fields).alias("line")), path)
-    return path
+    fields = [F.lit("0")] if lead else []
+    fields += [F.concat(F.lit(pad), F.col(c).cast("string"), F.lit(pad)) for c in cols]
+    return df.select(F.concat_ws(sep, *fields).alias("value"))
+
+
+_BOX_FIELDS = ["id", "x1", "y1", "x2", "y2"]
 
 
 def _text_range(spark, d):
-    boxes = read_boxes(spark, _as_text(spark, d, "text_range_query", "boxes_part", ["x1", "y1", "x2", "y2"]))
-    return range_query(boxes, WINDOW_PART)
+    return range_query(read_boxes(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS)), WINDOW_PART)
 
 
 def _text_heat(spark, d):
-    boxes = read_boxes(spark, _as_text(spark, d, "text_heat_map", "boxes_part", ["x1", "y1", "x2", "y2"]))
-    points = read_points(spark, _as_text(spark, d, "text_heat_map", "points_ev", ["x", "y"]))
-    return heat_map(boxes, points)
+    boxes = read_boxes(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS))
+    return heat_map(boxes, read_points(spark, _as_lines(spark, d, "points_ev", ["id", "x", "y"])))
+
+
+def _text_boxes_id_first(spark, d):
+    """Box lines with the id in field 0 and blanks around every field."""
+    lines = _as_lines(spark, d, "boxes_emb", _BOX_FIELDS, lead=False, pad="  ")
+    return read_boxes(spark, lines, id_col=0, first_coord=1)
+
+
+def _text_points(spark, d):
+    """Plain ``x, y`` lines."""
+    lines = _as_lines(spark, d, "points_part", ["x", "y"], sep=", ", lead=False)
+    return read_points(spark, lines, sep=", ", x_col=0, y_col=1)
+
+
+def _text_rejects(spark, d):
+    """Box lines of which some lost a field, a number or their id: how many
+    are good, and the rejected lines."""
+    v = F.col("value")
+    n = F.split(v, ",")[1].cast("long")
+    broken = (
+        F.when(n % 5 == 0, F.substring_index(v, ",", 5)).when(n % 5 == 1, F.regexp_replace(v, "[^,]+$", "none"))
+        .when(n % 5 == 2, F.regexp_replace(v, "^0,[^,]*", "0, ")).otherwise(v)
+    )
+    lines = _as_lines(spark, d, "boxes_part", _BOX_FIELDS).select(broken.alias("value"))
+    good, bad = split_rejects(parse_boxes(spark, lines))
+    return good.select(F.lit("good").alias("kind"), F.col("id").alias("line")).unionByName(
+        bad.select(F.lit("bad").alias("kind"), "line")
+    )
+
+
+def _single_file_lines(spark, d):
+    """The rows that the single-file text sink writes, from one partition."""
+    return one_part(render.format_range(range_query(fx.boxes_part(spark, d), WINDOW_PART)))
+
+
+def _box_cross(spark, d):
+    """Orientation of each box's centre against its raw corners, and the
+    squared length of its diagonal."""
+    b = fx.boxes_emb(spark, d)
+    cx, cy = (F.col("x1") + F.col("y2")), (F.col("y1") - F.col("x2"))
+    return b.select("id", cross("x1", "y1", "x2", "y2", cx, cy).alias("turn"), dist2("x1", "y1", "x2", "y2").alias("d2"))
+
+
+def _mixed_boxes(spark, d):
+    b = fx.boxes_part(spark, d)
+    k = F.col("id") % 8
+    wide, flat = F.when(k == 0, 40.0).when(k == 1, 8.0).otherwise(0.05), F.when(k == 0, 40.0).when(k == 2, 8.0).otherwise(0.05)
+    return b.select(
+        "id", "x1", "y1", (F.col("x1") + (F.col("x2") - F.col("x1")) * wide).alias("x2"),
+        (F.col("y1") + (F.col("y2") - F.col("y1")) * flat).alias("y2"),
+    )
+
+
+def _outlier_boxes(spark, d):
+    """Every box, the one of the smallest id moved far away."""
+    b = fx.boxes_emb(spark, d)
+    first = b.agg(F.min("id").alias("first"))
+    far = F.when(F.col("id") == F.col("first"), F.lit(1e7)).otherwise(F.lit(0.0))
+    return b.join(F.broadcast(first)).select("id", *[(F.col(c) + far).alias(c) for c in ("x1", "y1", "x2", "y2")])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -126,7 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"farthest_pair_{name}"] = lambda s, d, v=view: farthest_pair(v(s, d))
     for name in ("emb", "part", "ev", "ord", "line"):
         view = fx.VIEWS[f"points_{name}"]
-        q[f"closest_pair_{name}"] = lambda s, d, v=view: closest_pair(v(s, d))
+        q[f"closest_pair_{name}"] = lambda s, d, v=view: closest_pair(v(s, d), base_rows=CLOSEST_BASE)
     for name in ("part", "emb"):
         view = fx.VIEWS[f"boxes_{name}"]
         q[f"box_union_vertices_{name}"] = lambda s, d, v=view: box_union_vertices(v(s, d))
@@ -136,9 +192,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"hull_chains_{name}"] = lambda s, d, v=view: hull_chains(v(s, d))
     q["farthest_pair_ord"] = lambda s, d: farthest_pair(fx.points_ord(s, d))
     q["point_in_box_join_dense"] = lambda s, d: point_in_box_join(fx.boxes_emb(s, d), fx.points_emb(s, d))
-    # Text round trip: the views written as delimited lines and parsed back.
+    # Text sources: the views as delimited lines, parsed back.
     q["text_range_query"] = _text_range
     q["text_heat_map"] = _text_heat
+    q["text_boxes_id_first"] = _text_boxes_id_first
+    q["text_points"] = _text_points
+    q["text_rejects"] = _text_rejects
+    q["single_file_lines"] = _single_file_lines
+    q["box_cross"] = _box_cross
+    # Large and small boxes, thin boxes and one far-off box in one set.
+    q["heat_map_mixed"] = lambda s, d: heat_map(_mixed_boxes(s, d), fx.points_ev(s, d))
+    q["point_in_box_join_outlier"] = lambda s, d: point_in_box_join(_outlier_boxes(s, d), fx.points_emb(s, d))
     if llm is not None:
         q |= llm.queries()
     if corpus_pipeline is not None:
@@ -330,6 +394,24 @@ def oracle_sql() -> dict[str, str]:
         f"select id::varchar id, x1, y1, x2, y2 from ({_range_sql('boxes_part', WINDOW_PART)})"
     )
     o["text_heat_map"] = f"select id::varchar id, n from ({_heat_sql('boxes_part', 'points_ev')})"
+    o["text_boxes_id_first"] = with_views("boxes_emb") + "select id::varchar id, x1, y1, x2, y2 from boxes_emb"
+    o["text_points"] = with_views("points_part") + "select x, y from points_part"
+    o["text_rejects"] = with_views("boxes_part") + """, t as (
+select id, '0,' || id || ',' || x1 || ',' || y1 || ',' || x2 a, y2::varchar z from boxes_part)
+select case when id % 5 > 2 then 'good' else 'bad' end kind,
+       case id % 5 when 0 then a when 1 then a || ',none' when 2 then '0, ' || substr(a, length('0,' || id) + 1) || ',' || z
+            else id::varchar end as line from t"""
+    o["single_file_lines"] = f"select line as value from ({o['range_lines']})"
+    o["box_cross"] = with_views("boxes_emb") + """select id,
+  (x2-x1)*((y1-x2)-y1) - (y2-y1)*((x1+y2)-x1) turn, (x1-x2)*(x1-x2)+(y1-y2)*(y1-y2) d2 from boxes_emb"""
+    o["heat_map_mixed"] = with_views("boxes_part", "points_ev") + f""", M as (select id, x1, y1,
+  x1 + (x2-x1) * case id % 8 when 0 then 40.0::double when 1 then 8.0::double else 0.05::double end x2,
+  y1 + (y2-y1) * case id % 8 when 0 then 40.0::double when 2 then 8.0::double else 0.05::double end y2 from boxes_part),
+{_B('M')} select r.id, count(p.x) n from B r left join points_ev p on {_POINT_IN} group by r.id"""
+    o["point_in_box_join_outlier"] = with_views("boxes_emb", "points_emb") + f""", f as (select min(id) i from boxes_emb),
+M as (select id, x1 + k x1, y1 + k y1, x2 + k x2, y2 + k y2
+      from (select b.*, case when id = f.i then 1e7::double else 0.0::double end k from boxes_emb b join f on true)),
+{_B('M')} select r.id box_id, p.id point_id from B r join points_emb p on {_POINT_IN}"""
     if llm is not None:
         o |= llm.oracle_sql()
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:

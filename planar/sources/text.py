@@ -63,7 +63,7 @@ def _finish(parsed: DataFrame, on_error: str) -> DataFrame:
 
 def read_boxes(
     spark: SparkSession,
-    path: str,
+    path: str | DataFrame,
     id_col: int | None = 1,
     first_coord: int = 2,
     sep: str = ",",
@@ -71,6 +71,7 @@ def read_boxes(
 ) -> DataFrame:
     """Boxes ``(id, x1, y1, x2, y2)`` from delimited text; corners in any order.
 
+    ``path`` is a path, or a DataFrame whose ``value`` column holds the lines.
     Defaults: id in field 1, corners from field 2 (field 0 ignored).  Inputs
     with the id first: ``id_col=0, first_coord=1``.
     """
@@ -78,14 +79,18 @@ def read_boxes(
     return _finish(parsed, on_error)
 
 
+def _lines(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    return path if isinstance(path, DataFrame) else spark.read.text(path)
+
+
 def parse_boxes(spark, path, id_col=1, first_coord=2, sep=","):
     coords = {n: first_coord + k for k, n in enumerate(("x1", "y1", "x2", "y2"))}
-    return parse_lines(spark.read.text(path), coords, id_col, sep)
+    return parse_lines(_lines(spark, path), coords, id_col, sep)
 
 
 def read_points(
     spark: SparkSession,
-    path: str,
+    path: str | DataFrame,
     x_col: int = 2,
     y_col: int = 3,
     sep: str = ",",
@@ -100,7 +105,14 @@ def read_points(
 
 
 def parse_points(spark, path, x_col=2, y_col=3, sep=",", id_col=None):
-    return parse_lines(spark.read.text(path), {"x": x_col, "y": y_col}, id_col, sep)
+    return parse_lines(_lines(spark, path), {"x": x_col, "y": y_col}, id_col, sep)
+
+
+def one_part(df: DataFrame) -> DataFrame:
+    """The rows of a one-column DataFrame as lines, in one partition."""
+    if len(df.columns) != 1:
+        raise ValueError("expected exactly one (string) column")
+    return df.select(F.col(df.columns[0]).cast("string").alias("value")).repartition(1)
 
 
 def write_lines(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -111,7 +123,5 @@ def write_lines(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     if len(df.columns) != 1:
         raise ValueError("write_lines expects exactly one (string) column")
-    out = df.select(F.col(df.columns[0]).cast("string").alias("value"))
-    if single_file:
-        out = out.repartition(1)
+    out = one_part(df) if single_file else df.select(F.col(df.columns[0]).cast("string").alias("value"))
     out.write.mode("overwrite").text(path)

@@ -7,7 +7,6 @@ import pytest
 from planar.operators.closest import closest_pair
 from planar.operators.joins import containment_lists, heat_map
 from planar.operators.union import box_union_vertices
-from planar.plans import cache
 from tests import brute
 from tests.conftest import boxes_df, points_df
 
@@ -37,12 +36,10 @@ def test_containment_lists(spark, parts):
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_closest_pair(spark, parts):
     row = closest_pair(points_df(spark, POINTS).repartition(parts)).first()
-    cache.release()
     assert tuple(row) == brute.closest(POINTS)
 
 
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_union(spark, parts):
     got = {(r.x, r.y) for r in box_union_vertices(boxes_df(spark, BOXES).repartition(parts)).collect()}
-    cache.release()
     assert got == brute.union_vertices_raster(BOXES)

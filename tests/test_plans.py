@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from planar.operators import closest as C
-from planar.plans import cache
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,13 +25,11 @@ def _equi_join_only(plan, name):
 def test_joins_are_equi_joins(spark):
     for name in ("heat_map", "point_in_box_join", "containment_join", "containment_lists", "box_union_vertices_part"):
         _equi_join_only(_executed(E.queries()[name](spark, SF)), name)
-        cache.release()
 
 
 def test_closest_pair_grid_is_an_equi_join(spark, monkeypatch):
     monkeypatch.setattr(C, "BASE_ROWS", 100)  # take the sampled-bound path
     _equi_join_only(_executed(E.queries()["closest_pair_ord"](spark, SF)), "closest_pair_ord")
-    cache.release()
 
 
 def test_hull_moves_only_partial_hulls(spark):
@@ -58,7 +55,6 @@ def _brute_closest(pts):
 def test_closest_pair_line_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(C, "BASE_ROWS", 500)
     got = tuple(E.queries()["closest_pair_line"](spark, SF).first())
-    cache.release()
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_quantity", "round(l_extendedprice*100)").collect()
     assert got == _brute_closest(np.array([tuple(r) for r in rows], dtype=float))
 
