@@ -58,7 +58,7 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, tmp_path):
     for c in ("fp", "_text", "key", "rank", "sha", "bytes", "score"):
         docs = docs.withColumn(c, docs["source"])
     docs.limit(0).select("doc_id", "text").withColumnRenamed("doc_id", "item_id").write.parquet(f"{tmp_path}/benchmark.parquet")
-    for frame in (docs, docs.limit(0), docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang is null")):
+    for frame in (docs, docs.limit(0)):
         now = frame
         for name, stage in cp.STAGES[:-1]:
             now = stage(spark, now, str(tmp_path)).checkpoint()
@@ -66,6 +66,11 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, tmp_path):
         cp.packing(spark, now, str(tmp_path)).count()
 
 
+def test_nothing_to_learn_a_language_from(spark):
+    docs = docs_df(spark, ["abc", None, "12", "дом"])
+    assert sorted(r["doc_id"] for r in cp.language_id(spark, docs, SF).collect()) == [0, 3]
+
+
 def test_clean_documents_stay(spark, tmp_path):
     rng = random.Random(2)
     texts = [words_of(rng, 200, 4000) for _ in range(40)]

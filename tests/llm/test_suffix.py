@@ -93,23 +93,21 @@ def cases(rng):
     return texts
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed):
-    texts = cases(random.Random(seed))
+def test_against_brute_force(spark):
+    texts = cases(random.Random(1))
     ids = list(range(len(texts)))
     want, kept = brute(texts)
     got = {r["doc_id"]: tuple(r)[1:] for r in sx.remove_repeats(clashing(docs_df(spark, texts, ids))).collect()}
     for i in ids:
         assert got[i] == want[i], (i, texts[i])
-    if seed == 1:
-        out = {r["doc_id"]: r["text"] for r in sx.strip_repeats(docs_df(spark, texts, ids)).collect()}
-        for i in ids:
-            if want[i][1] == 0:
-                assert out[i] == texts[i]
-            elif not kept[i]:
-                assert i not in out
-            else:
-                assert out[i] == kept[i].decode("utf-8", "ignore")
+    out = {r["doc_id"]: r["text"] for r in sx.strip_repeats(docs_df(spark, texts, ids)).collect()}
+    for i in ids:
+        if want[i][1] == 0:
+            assert out[i] == texts[i]
+        elif not kept[i]:
+            assert i not in out
+        else:
+            assert out[i] == kept[i].decode("utf-8", "ignore")
 
 
 def test_full_bit_tables_change_nothing(spark, monkeypatch):
@@ -123,7 +121,6 @@ def test_full_bit_tables_change_nothing(spark, monkeypatch):
 
 def test_empty(spark):
     assert sx.remove_repeats(docs_df(spark, [])).count() == 0
-    assert sx.strip_repeats(docs_df(spark, [])).count() == 0
     assert [tuple(r) for r in sx.remove_repeats(docs_df(spark, [None])).collect()] == [(0, 0, 0, 0, hashlib.sha256(b"").hexdigest())]
 
 
