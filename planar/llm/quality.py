@@ -233,8 +233,11 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_label
         labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
     )
-    rows = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).join(known, "doc_id")
-    ids = rows.select("doc_id", "label", F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", "text").alias("h2")).checkpoint()
+    # Hashed before the join, so that no text is shuffled.
+    hashed = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).select(
+        "doc_id", F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", "text").alias("h2")
+    )
+    ids = hashed.join(known, "doc_id").checkpoint()
     counts = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = ids.where("label = 0").orderBy("h", "h2").limit(per_label).unionByName(
         ids.where("label = 1").orderBy("h", "h2").limit(per_label)
