@@ -24,7 +24,7 @@ from planar.llm.common import prepare, utf8, word_chunks
 
 MARK = "▁"
 UNIT = 1 << 32  # a score is micro-nats times UNIT, less one per token
-MAX_NODES, MAX_WORDS, MAX_SHARED = 250_000, 300_000, 64
+MAX_NODES, MAX_WORDS, MAX_SHARED = 400_000, 500_000, 64
 
 
 def piece_scores(model_path: str) -> tuple[dict[str, int], int]:
@@ -52,26 +52,33 @@ def tokens_in(score: int) -> int:
 
 class UnigramTrie:
     def __init__(self, pieces: dict[str, int], byte_score: int):
-        self.pieces, self.byte = pieces, byte_score
-        self.longest = max(map(len, pieces), default=1)
+        self.byte = byte_score
+        # Every piece's score; every proper end of a piece that is none
+        # itself is there without one, so that a string missing here ends no
+        # piece, nor does any longer one.
+        self.ends: dict[str, int | None] = {p[i:]: None for p in pieces for i in range(1, len(p))}
+        self.ends.update(pieces)
         self.counts: dict[bytes, int] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.child: dict[int, int] = {}
-        self.score = [0]
+        # The trie, a node under each prefix: its forward score.
+        self.score: dict[str, int] = {"": 0}
 
     def _best(self, text: str, i: int, before) -> int:
         """Best score of ``text[:i]``; ``before[j]`` is that of ``text[:j]``."""
-        pieces, c = self.pieces, text[i - 1]
-        s = pieces.get(c)
+        get, c = self.ends.get, text[i - 1]
+        s = get(c)
         best = before(i - 1) + (self.byte * len(c.encode("utf-8", "replace")) if s is None else s)
-        for size in range(2, min(i, self.longest) + 1):
-            s = pieces.get(text[i - size : i])
-            if s is not None:
-                s += before(i - size)
-                if s > best:
-                    best = s
+        for j in range(i - 2, -1, -1):
+            s = get(text[j:i], 0)
+            if s is None:
+                continue
+            if s == 0:  # scores are negative
+                break
+            s += before(j)
+            if s > best:
+                best = s
         return best
 
     def _insert(self, text: str) -> int:
@@ -80,16 +87,13 @@ class UnigramTrie:
             for i in range(1, len(text) + 1):
                 row.append(self._best(text, i, row.__getitem__))
             return tokens_in(row[-1])
-        child, score, node, path = self.child, self.score, 0, [0]
-        for i, c in enumerate(text, 1):
-            key = node << 21 | ord(c)
-            node = child.get(key, -1)
-            if node < 0:
-                best = self._best(text, i, path.__getitem__)
-                node = child[key] = len(score)
-                score.append(best)
-            path.append(score[node])
-        return tokens_in(path[-1])
+        score = self.score
+        n = i = len(text)
+        while text[:i] not in score:
+            i -= 1
+        for i in range(i + 1, n + 1):
+            score[text[:i]] = self._best(text, i, lambda j: score[text[:j]])
+        return tokens_in(score[text])
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.counts) + len(words) > MAX_WORDS:
