@@ -198,17 +198,20 @@ def suffix_ranks(triples: DataFrame, levels: int = 1) -> DataFrame:
     named = sample.join(_ranks(sample, TRIPLE, one, {"n": "name"}), TRIPLE)
     # Each residue's triples are a string of names of its own.
     upper = named.select("sid", F.expr("3 * b + i % 3").alias("b"), F.expr("i div 3").alias("i"), (F.col("name") + 1).alias("c"))
-    upper = _release(_led(upper))
+    upper = _led(upper).checkpoint()
     del sample, named
+    _tidy(upper)
     r = suffix_ranks(upper, levels - 1).select(
         "sid", F.expr("b div 3").alias("b"), F.expr("3 * i + b % 3").alias("i"), F.col("rank").alias("r")
     )
     w = Window.partitionBy("sid", "b").orderBy("i")
-    u = _release(
+    u = (
         triples.drop("c2").join(r, ["sid", "b", "i"], "left")
         .select("*", F.lead("r", 1, 0).over(w).alias("r1"), F.lead("r", 2, 0).over(w).alias("r2"))
+        .checkpoint()
     )
     del r, upper
+    _tidy(u)
     m = F.col("i") % 3
     zero, first, second = u.where(m == 0), u.where(m == 1), u.where(m == 2)
     # Merge by counting.  A suffix at residue 0 meets residue 1 by its symbol
@@ -245,11 +248,10 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["sid", "i"])
 
 
-def _release(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` and let Spark's cleaner take the shuffle and
-    checkpoint files that nothing refers to any more (it only learns of them
-    when the driver collects garbage)."""
-    df = df.checkpoint()
+def _tidy(df: DataFrame) -> DataFrame:
+    """Let Spark's cleaner take the shuffle and checkpoint files that nothing
+    refers to any more (it only learns of them when the driver collects
+    garbage)."""
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return df
@@ -284,7 +286,9 @@ def candidates(runs: DataFrame, length: int, levels: int) -> DataFrame:
             F.get("pos", i.cast("int")).alias("pos"),
         )).alias("cands"))
     )
-    return _release(at.groupBy("key").agg(F.flatten(F.collect_list("cands")).alias("cands")))
+    out = at.groupBy("key").agg(F.flatten(F.collect_list("cands")).alias("cands")).checkpoint()
+    del symbols, triples, ranked, three, near, at
+    return _tidy(out)
 
 
 # --- passages ---------------------------------------------------------------
@@ -395,13 +399,15 @@ def repeated_passages(texts: DataFrame, length: int, levels: int = 1) -> tuple[D
     runs = phrases.select("key", "pos", "name", F.transform("name", _spread).alias("h")).mapInArrow(
         _runs(seen, length), "key binary, name array<long>, pos array<int>, before int"
     ).withColumn("sid", F.monotonically_increasing_id())
+    runs = runs.checkpoint()
     del phrases, names
-    runs = _release(runs)
-    cands = candidates(runs, length, levels)
+    cands = candidates(_tidy(runs), length, levels)
+    del runs
     wanted = BitTable(cands.select(_slot(F.col("key")).alias("h")), "h", TEXT_BITS)
-    held = _release(
+    held = _tidy(
         texts.where(wanted.column(_slot(F.col("key")))).select("key", "bytes").dropDuplicates(["key"])
         .join(cands, "key").select("key", "bytes", "cands", F.monotonically_increasing_id().alias("uid"))
+        .checkpoint()
     )
     owned = held.select("uid", "bytes", "cands").mapInArrow(
         _strings(length), "uid long, lo int, hi int, core long, whole binary"
@@ -411,24 +417,30 @@ def repeated_passages(texts: DataFrame, length: int, levels: int = 1) -> tuple[D
     # each kind.  (Equal strings have owners of their own, so none repeats
     # within a range.)
     kinds = owned.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "lo", "hi", "core")).alias("x"))
-    kinds = _release(kinds.select("whole", "n", "x.uid", "x.lo", "x.hi", "x.core"))
+    kinds = kinds.select("whole", "n", "x.uid", "x.lo", "x.hi", "x.core").checkpoint()
+    _tidy(kinds)
     mixed = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("core")
     spans = (
         kinds.join(mixed, "core", "left_semi")
         .groupBy("uid").agg(F.collect_list(F.struct("lo", "hi", (F.col("n") == 1).alias("alone"))).alias("spans"))
     )
-    each = _release(
-        held.select("uid", "bytes").join(spans, "uid").select("uid", "bytes", "spans").mapInArrow(
-            _each(length), "uid long, s int, alone boolean, h binary"
-        )
-    )
+    each = held.select("uid", "bytes").join(spans, "uid").select("uid", "bytes", "spans").mapInArrow(
+        _each(length), "uid long, s int, alone boolean, h binary"
+    ).checkpoint()
     del mixed, spans
+    _tidy(each)
     twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     single = each.where("alone").join(twice, "h", "left_semi").select("uid", "s", (F.col("s") + length).alias("e"))
-    whole = owned.join(kinds.where("n > 1").select("whole"), "whole", "left_semi").select(
-        "uid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")
+    several = kinds.where("n > 1").select("whole")
+    maybe = BitTable(several.select(_slot(F.col("whole")).alias("h")), "h", NAME_BITS)
+    whole = (
+        owned.where(maybe.column(_slot(F.col("whole")))).join(several, "whole", "left_semi")
+        .select("uid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     )
     found = whole.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
+    found = found.checkpoint()
+    del kinds, each, twice, single, several, whole, owned
+    _tidy(found)
     cut = held.select("uid", "key", "bytes").join(found, "uid").select("key", "bytes", "runs").mapInArrow(
         _cut, "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
