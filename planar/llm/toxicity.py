@@ -1,14 +1,17 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on
-passages typical of toxic text.  A text is cut into overlapping windows; each
+Two zstandard dictionaries are made, one of ordinary text (trained on pieces,
+with a part of the texts as they are) and one of the stretches typical of
+toxic text: words and phrases of any language, however rare it is in the
+sample.  A text is cut into overlapping windows; each
 is compressed with the ordinary dictionary and with the toxic one put before
 it, and what the second saves is the window's distance.  Savings above a
 threshold count as evidence, and a logistic curve calibrated on the labelled
-sample turns a text's evidence into a probability.
+sample turns a text's evidence into a probability; ordinary texts that are
+part of the dictionary take no part in it.
 
-Passages are typical when their word stands in many different contexts of
-toxic texts and in few of ordinary ones; contexts are counted instead of
+A stretch is typical when it stands in more different contexts of toxic texts
+than chance allows among so many stretches; contexts are counted instead of
 texts, so a group of copies counts once.
 """
 
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,6 +35,8 @@ from planar.llm.quality import bounded_sample
 
 WINDOW, STEP, PAD = 128, 112, 48
 LEAST = 2  # bytes saved from which a window is evidence
+N_EVIDENCE = 4  # numbers that sum up a text
+REACH = 8  # words from a stretch to its context
 WORDS = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
@@ -43,32 +48,73 @@ class ToxicityModel:
     prior: float
 
 
-def _contexts(texts: list[bytes]) -> Counter:
-    """Per word, in how many different contexts (the fewer of left and right
-    neighbours, one of each text) it stands."""
-    left: dict[bytes, set] = {}
-    right: dict[bytes, set] = {}
-    for t in texts:
-        w = [b"", *WORDS.findall(t), b""]
-        seen = set()
-        for i in range(1, len(w) - 1):
-            if w[i] not in seen:
-                seen.add(w[i])
-                left.setdefault(w[i], set()).add(w[i - 1])
-                right.setdefault(w[i], set()).add(w[i + 1])
-    return Counter({k: min(len(v), len(right[k])) for k, v in left.items()})
-
-
-def typical_words(toxic: list[bytes], ordinary: list[bytes], share: float = 0.05, least: int = 5, odds: float = 2.0) -> list[bytes]:
-    """Words in at least ``share`` of the toxic texts (in different contexts)
-    whose log odds against ordinary text exceed ``odds``."""
-    t, o = _contexts(toxic), _contexts(ordinary)
-    floor = max(least, share * len(toxic))
-
-    def ratio(w):
-        return math.log((t[w] + 0.5) / (len(toxic) + 1)) - math.log((o[w] + 0.5) / (len(ordinary) + 1))
-
-    return sorted(w for w, n in t.items() if n >= floor and ratio(w) > odds)
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    h = (a ^ (b >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ (h >> np.uint64(32))
+
+
+def _stretches(text: bytes, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per number of words up to ``longest``, the hashes of the text's
+    stretches of so many words, in order, and those of its words."""
+    h = np.array([xxhash.xxh64_intdigest(w) for w in WORDS.findall(text)], np.uint64)
+    g = h
+    for n in range(1, min(longest, len(h)) + 1):
+        if n > 1:
+            g = _mix(g[:-1], h[n - 1 :])
+        yield n, g, h
+
+
+def _contexts(texts: list[bytes], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches and in how many different contexts (the fewer of left
+    and right, one of each text) each stands.  A context is the word ``REACH``
+    words away, so that those of a fixed phrase differ; beyond the edge of a
+    text it is the text itself."""
+    found: list[list] = [[np.zeros(0, np.uint64)] for _ in range(3)]
+    for t in dict.fromkeys(texts):
+        own = np.uint64(xxhash.xxh64_intdigest(t, 1))
+        for n, g, h in _stretches(t, longest):
+            g, at = np.unique(g, return_index=True)
+            far = at + n - 1 + REACH
+            left = np.where(at >= REACH, h[np.maximum(at - REACH, 0)], own)
+            right = np.where(far < len(h), h[np.minimum(far, len(h) - 1)], own)
+            for part, x in zip(found, (g, _mix(g, left), _mix(g, right))):
+                part.append(x)
+    g, left, right = (np.concatenate(part) for part in found)
+    sides = [np.unique(g[np.unique(x, return_index=True)[1]], return_counts=True) for x in (left, right)]
+    return sides[0][0], np.minimum(sides[0][1], sides[1][1])
+
+
+def typical_stretches(toxic: list[bytes], ordinary: list[bytes], longest: int = 3) -> list[bytes]:
+    """Stretches of up to ``longest`` words whose contexts lie in toxic texts
+    more often than chance gives the best of so many (likelihood ratio), the
+    most telling last; of stretches within each other the more telling one."""
+    g, t = _contexts(toxic, longest)
+    og, oc = _contexts(ordinary, longest)
+    at = np.minimum(np.searchsorted(og, g), max(0, len(og) - 1))
+    o = np.where(og[at] == g, oc[at], 0) if len(og) else np.zeros(len(g), int)
+    n_toxic, n_ordinary = len(dict.fromkeys(toxic)), len(dict.fromkeys(ordinary))
+    share = n_toxic / max(1, n_toxic + n_ordinary)
+    n = t + o
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = 2 * (t * np.log(t / (n * share)) + np.where(o > 0, o * np.log(o / (n * (1 - share))), 0))
+    bar = 2 * math.log(max(2, int((t > 1).sum())))
+    ok = (t > n * share) & (t > 1) & (ratio > bar)
+    value = dict(zip(g[ok].tolist(), ratio[ok].tolist()))
+    out: dict[bytes, float] = {}
+    for text in dict.fromkeys(toxic):
+        spans = [m.span() for m in WORDS.finditer(text)]
+        here = sorted(((value[x], -k, i) for k, g, _ in _stretches(text, longest) for i, x in enumerate(g.tolist()) if x in value), reverse=True)
+        taken = np.zeros(len(spans), bool)
+        for v, k, i in here:
+            if not taken[i : i - k].any():
+                taken[i : i - k] = True
+                out.setdefault(b" ".join(text[a:b] for a, b in spans[i : i - k]), v)
+    return sorted(out, key=lambda w: (out[w], w))
+
+
+def typical_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The typical stretches of one word."""
+    return typical_stretches(toxic, ordinary, 1)
 
 
 def _dictionary(size: int, samples: list[bytes], **kw) -> bytes:
@@ -81,7 +127,7 @@ def _dictionary(size: int, samples: list[bytes], **kw) -> bytes:
 
 @lru_cache(2)
 def _compressors(ordinary: bytes, toxic: bytes):
-    kw = dict(window_log=16, hash_log=15, chain_log=15, search_log=4, min_match=4, strategy=zstandard.STRATEGY_LAZY)
+    kw = dict(window_log=20, hash_log=19, chain_log=20, search_log=8, min_match=4, strategy=zstandard.STRATEGY_BTLAZY2)
     par = zstandard.ZstdCompressionParameters(
         **kw, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_checksum=False, write_content_size=False, write_dict_id=False
     )
@@ -105,13 +151,14 @@ def window_savings(buf: bytes, ordinary: bytes, toxic: bytes) -> np.ndarray:
     return np.fromiter((len(plain(w)) - len(both(w)) for w in parts), np.int64)
 
 
-def _evidence(buf: bytes | None, ordinary: bytes, toxic: bytes) -> tuple[float, float, float]:
+def _evidence(buf: bytes | None, ordinary: bytes, toxic: bytes) -> tuple[float, ...]:
     if not buf or not toxic:
-        return 0.0, 0.0, 0.0
+        return (0.0,) * N_EVIDENCE
     s = window_savings(buf.lower(), ordinary, toxic)
+    every = float(np.maximum(s, 0).sum())
     s = s[s >= LEAST]
     total = float(s.sum())
-    return float(s.max(initial=0)), math.log1p(total), math.log1p(1000 * total / len(buf))
+    return float(s.max(initial=0)), math.log1p(total), math.log1p(1000 * total / len(buf)), math.log1p(1000 * every / len(buf))
 
 
 def _fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float = 1e-2) -> np.ndarray:
@@ -131,32 +178,48 @@ def _fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float = 1e-2) -> np.nd
 
 def train_toxicity(
     docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_label: int = 2000, max_bytes: int = 1 << 15,
-    ordinary_bytes: int = 16384, toxic_bytes: int = 1024, **typical,
+    ordinary_bytes: int = 16384, plain_bytes: int = 1 << 18, longest: int = 3,
 ) -> ToxicityModel:
     """Dictionaries and calibration from a bounded sample: at most
     ``per_label`` texts of each label, of at most ``max_bytes`` bytes.
-    Without typical words every text scores the toxic label's share."""
+    ``ordinary_bytes`` are what the trainer makes of ordinary pieces;
+    ``plain_bytes`` of the pieces as they are (in the order of their hashes)
+    are added.  The toxic dictionary holds all typical stretches of up to
+    ``longest`` words.  Without any every text scores the toxic label's
+    share."""
     sample, counts = bounded_sample(docs, labels, label_col, per_label, max_bytes)
+    return fit_toxicity([b or b"" for b in sample["bytes"]], sample["label"].to_numpy(), counts, ordinary_bytes, plain_bytes, longest)
+
+
+def _by_hash(parts: list[bytes]) -> list[bytes]:
+    return [p for _, p in sorted((xxhash.xxh64_intdigest(p), p) for p in parts)]
+
+
+def fit_toxicity(
+    texts: list[bytes], y: np.ndarray, counts: dict, ordinary_bytes: int, plain_bytes: int, longest: int
+) -> ToxicityModel:
     known = sum(counts.values())
     prior = counts.get(1, 0) / known if known else 0.5
-    texts = [(b or b"").lower() for b in sample["bytes"]]
-    y = sample["label"].to_numpy()
-    toxic = list(dict.fromkeys(t for t, c in zip(texts, y) if c == 1))
-    ordinary = list(dict.fromkeys(t for t, c in zip(texts, y) if c == 0))
-    words = set(typical_words(toxic, ordinary, **typical))
-    if not words or not ordinary:
-        return ToxicityModel(b"", b"", (0.0, 0.0, 0.0, 0.0), prior)
-    plain = [t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)][:20_000]
-    passages = [b" " + b" ".join([w] * 3) + b" " for t in toxic for w in WORDS.findall(t) if w in words]
-    passages = [p for _, p in sorted((xxhash.xxh64_intdigest(p, i), p) for i, p in enumerate(passages))]
-    passages *= max(1, 3000 // len(passages))
-    d_plain = _dictionary(ordinary_bytes, plain)
-    d_toxic = _dictionary(toxic_bytes, passages, k=16, d=6)
-    # The trainer weighs coverage and may leave out short passages.
-    d_toxic = b"".join(b" " + w + b" " for w in sorted(words) if b" " + w not in d_toxic) + d_toxic
+    texts = [t.lower() for t in texts]
+    toxic = [t for t in dict.fromkeys(t for t, c in zip(texts, y) if c == 1) if t]
+    ordinary = [t for t in dict.fromkeys(t for t, c in zip(texts, y) if c == 0) if t]
+    if not toxic or not ordinary:
+        return ToxicityModel(b"", b"", (0.0,) * (1 + N_EVIDENCE), prior)
+    # Half of the ordinary texts for the dictionary, the others to calibrate.
+    half = {t for t in ordinary if xxhash.xxh64_intdigest(t) % 2}
+    if not half or len(half) == len(ordinary):
+        half = set()
+    pieces = [t[i : i + 256] for t in ordinary if t in half or not half for i in range(0, len(t), 256)][:20_000]
+    d_plain = b"".join(_by_hash(pieces))[:plain_bytes] + _dictionary(ordinary_bytes, pieces)
+    d_toxic = b"".join(b" " + w for w in typical_stretches(toxic, ordinary, longest))
+    if not d_toxic:
+        return ToxicityModel(b"", b"", (0.0,) * (1 + N_EVIDENCE), prior)
+    d_toxic += b" "
+    used = [i for i, t in enumerate(texts) if y[i] == 1 or t not in half]
+    y = y[used]
     got = np.bincount(y, minlength=2)
     weight = np.array([counts.get(c, 0) / max(1, got[c]) for c in (0, 1)])[y]
-    x = np.array([_evidence(t, d_plain, d_toxic) for t in texts])
+    x = np.array([_evidence(texts[i], d_plain, d_toxic) for i in used])
     a = _fit(x, y.astype(float), weight * len(y) / weight.sum())
     return ToxicityModel(d_plain, d_toxic, tuple(a.tolist()), prior)
 
@@ -164,7 +227,7 @@ def train_toxicity(
 def score_texts(m: ToxicityModel, bufs: list[bytes | None]) -> np.ndarray:
     if not m.toxic:
         return np.full(len(bufs), m.prior)
-    x = np.array([_evidence(b, m.ordinary, m.toxic) for b in bufs]).reshape(-1, 3)
+    x = np.array([_evidence(b, m.ordinary, m.toxic) for b in bufs]).reshape(-1, N_EVIDENCE)
     return 1 / (1 + np.exp(-np.clip(m.weights[0] + x @ np.array(m.weights[1:]), -30, 30)))
 
 

@@ -51,6 +51,15 @@ def test_copies_do_not_make_a_word_typical():
     assert set(tx.typical_words(toxic, plain)) == {b"nasty", b"vermin", b"repulsive"}
 
 
+def test_words_of_a_rare_language_are_typical():
+    rng = random.Random(3)
+    docs, labels = labelled(rng, 1800)
+    other = lambda cue: " ".join(f"v{rng.randrange(900)}" if i % 9 else cue for i in range(60))
+    toxic = [d.encode() for d, c in zip(docs, labels) if c] + [other("achkeiter").encode() for _ in range(12)]
+    plain = [d.encode() for d, c in zip(docs, labels) if not c] + [other("v1").encode() for _ in range(80)]
+    assert set(tx.typical_words(toxic, plain)) == {b"nasty", b"vermin", b"repulsive", b"achkeiter"}
+
+
 def test_learns_planted_words(spark):
     rng = random.Random(2)
     docs, labels = labelled(rng)
@@ -86,6 +95,12 @@ def test_held_out_accuracy(scored):
     assert hit > 0.9 and false < 0.01
 
 
+def test_held_out_recall_in_every_language(scored):
+    bad = scored[scored["held_out"] & (scored["toxic"] == 1)]
+    hit = bad.groupby("lang")["predicted"].mean()
+    assert (hit[["de", "es", "fr"]] > 0.25).all() and bad["predicted"].mean() > 0.65, hit
+
+
 def test_columns(spark):
     assert op10_toxicity(spark, "/root/testdata/sf0.01").columns == ["doc_id", "held_out", "score", "predicted"]
     assert op10_toxicity(spark, "/root/testdata/sf0.01").where(F.col("score").isNull()).count() == 0
