@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -478,19 +479,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def strip_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) -> DataFrame:
     """The input rows with the remainder as their text (a character cut in
-    half is dropped); rows whose whole text goes are left out."""
+    half is dropped, the others stay); rows whose whole text goes are left
+    out."""
     prepare(docs.sparkSession)
     _check(length)
     cols = docs.columns
     rows = docs.select(F.coalesce(utf8(text_col), F.lit(b"")).alias("bytes"))
     cut, copied = repeated_passages(_long(rows, length), length)
+
+    @F.pandas_udf("string")
+    def whole_characters(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
     kept = (
-        cut.select("key", F.col("kept").alias("_kept")).join(copied, "key", "left_anti")
-        .unionByName(copied.select("key", F.lit(b"").alias("_kept")))
+        cut.select("key", whole_characters("kept").alias("_kept")).join(copied, "key", "left_anti")
+        .unionByName(copied.select("key", F.lit("").alias("_kept")))
     )
     marked = docs.withColumn("_key", _key(F.sha2(F.coalesce(utf8(text_col), F.lit(b"")), 256)))
     joined = marked.join(kept.withColumnRenamed("key", "_key"), "_key", "left")
-    text = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.expr("try_validate_utf8(cast(_kept as string))"))
+    text = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.col("_kept"))
     return joined.where("_kept is null or length(_kept) > 0").select(
         *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols]
     )

@@ -110,6 +110,21 @@ def test_against_brute_force(spark):
             assert out[i] == kept[i].decode("utf-8", "ignore")
 
 
+def test_a_character_cut_in_half_costs_no_other_text(spark):
+    rng = random.Random(5)
+    passage = words_of(rng, 120, 3000)
+    # e-acute and e-grave share their lead byte, Cyrillic letters theirs; two
+    # letters of different lead bytes share their trail byte.
+    texts = [f"{h} {passage}{t} {words_of(rng, 60, 3000)}" for h, t in (("one", "é"), ("two", "è"), ("three", "д"), ("four", "е"))]
+    texts += [f"{words_of(rng, 60, 3000)} {c}{passage[:450]}" for c in ("é", "ũ")]
+    got = {r["doc_id"]: r["text"] for r in sx.strip_repeats(docs_df(spark, texts)).collect()}
+    _, kept = brute(texts)
+    assert got == {i: k.decode("utf-8", "ignore") for i, k in enumerate(kept)}
+    for k in kept:
+        assert len(k) > 200
+    assert sum(k.decode("utf-8", "replace") != k.decode("utf-8", "ignore") for k in kept) >= 4
+
+
 def test_full_bit_tables_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(sx, "NAME_BITS", 7)
     monkeypatch.setattr(sx, "TEXT_BITS", 7)
