@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made, one of ordinary text (trained on pieces,
-with a part of the texts as they are) and one of the stretches typical of
-toxic text: words and phrases of any language, however rare it is in the
-sample.  A text is cut into overlapping windows; each
+Two zstandard dictionaries are trained, one on pieces of ordinary texts and
+one on windows of toxic texts.  A trainer takes what is frequent, which in
+toxic text is mostly ordinary; so the stretches typical of toxic text (words
+and phrases of any language, however rare it is in the sample) are added to
+the second, and a part of the ordinary texts as they are to the first.  A text is cut into overlapping windows; each
 is compressed with the ordinary dictionary and with the toxic one put before
 it, and what the second saves is the window's distance.  Savings above a
 threshold count as evidence, and a logistic curve calibrated on the labelled
@@ -178,17 +179,16 @@ def _fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float = 1e-2) -> np.nd
 
 def train_toxicity(
     docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_label: int = 2000, max_bytes: int = 1 << 15,
-    ordinary_bytes: int = 16384, plain_bytes: int = 1 << 18, longest: int = 3,
+    ordinary_bytes: int = 16384, toxic_bytes: int = 1024, plain_bytes: int = 1 << 18, longest: int = 3,
 ) -> ToxicityModel:
     """Dictionaries and calibration from a bounded sample: at most
     ``per_label`` texts of each label, of at most ``max_bytes`` bytes.
-    ``ordinary_bytes`` are what the trainer makes of ordinary pieces;
-    ``plain_bytes`` of the pieces as they are (in the order of their hashes)
-    are added.  The toxic dictionary holds all typical stretches of up to
-    ``longest`` words.  Without any every text scores the toxic label's
-    share."""
+    ``ordinary_bytes`` and ``toxic_bytes`` are what the trainer makes of the
+    pieces and windows; ``plain_bytes`` of ordinary pieces (in the order of
+    their hashes) and all typical stretches of up to ``longest`` words are
+    added.  Without both labels every text scores the toxic label's share."""
     sample, counts = bounded_sample(docs, labels, label_col, per_label, max_bytes)
-    return fit_toxicity([b or b"" for b in sample["bytes"]], sample["label"].to_numpy(), counts, ordinary_bytes, plain_bytes, longest)
+    return fit_toxicity([b or b"" for b in sample["bytes"]], sample["label"].to_numpy(), counts, ordinary_bytes, toxic_bytes, plain_bytes, longest)
 
 
 def _by_hash(parts: list[bytes]) -> list[bytes]:
@@ -196,7 +196,7 @@ def _by_hash(parts: list[bytes]) -> list[bytes]:
 
 
 def fit_toxicity(
-    texts: list[bytes], y: np.ndarray, counts: dict, ordinary_bytes: int, plain_bytes: int, longest: int
+    texts: list[bytes], y: np.ndarray, counts: dict, ordinary_bytes: int, toxic_bytes: int, plain_bytes: int, longest: int
 ) -> ToxicityModel:
     known = sum(counts.values())
     prior = counts.get(1, 0) / known if known else 0.5
@@ -210,11 +210,10 @@ def fit_toxicity(
     if not half or len(half) == len(ordinary):
         half = set()
     pieces = [t[i : i + 256] for t in ordinary if t in half or not half for i in range(0, len(t), 256)][:20_000]
+    windows = _by_hash([t[i : i + WINDOW] for t in toxic for i in range(0, max(1, len(t) - WINDOW + STEP), STEP)])
     d_plain = b"".join(_by_hash(pieces))[:plain_bytes] + _dictionary(ordinary_bytes, pieces)
-    d_toxic = b"".join(b" " + w for w in typical_stretches(toxic, ordinary, longest))
-    if not d_toxic:
-        return ToxicityModel(b"", b"", (0.0,) * (1 + N_EVIDENCE), prior)
-    d_toxic += b" "
+    d_toxic = _dictionary(toxic_bytes, windows, k=16, d=6)
+    d_toxic += b"".join(b" " + w for w in typical_stretches(toxic, ordinary, longest)) + b" "
     used = [i for i, t in enumerate(texts) if y[i] == 1 or t not in half]
     y = y[used]
     got = np.bincount(y, minlength=2)

@@ -60,6 +60,33 @@ def test_words_of_a_rare_language_are_typical():
     assert set(tx.typical_words(toxic, plain)) == {b"nasty", b"vermin", b"repulsive", b"achkeiter"}
 
 
+def fit(docs, labels):
+    y = np.array(labels)
+    return tx.fit_toxicity([d.encode() for d in docs], y, {0: int((y == 0).sum()), 1: int((y == 1).sum())}, 16384, 1024, 1 << 18, 3)
+
+
+def test_learns_a_phrase_of_ordinary_words():
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(600):
+        w = words_of(rng, 60, 900).split()
+        bad = i % 5 == 0
+        phrase = "back where people like them belong".split()
+        if bad:
+            w[20:20] = phrase
+        else:  # each word stands in ordinary texts
+            for x in phrase:
+                w.insert(rng.randrange(len(w)), x)
+        docs.append(" ".join(w))
+        labels.append(int(bad))
+    m = fit(docs[:400], labels[:400])
+    got = tx.score_texts(m, [d.encode() for d in docs[400:]]) >= 0.5
+    assert (got == np.array(labels[400:])).mean() > 0.95
+    # Windows of the toxic texts themselves are in the dictionary.
+    text = b" ".join(d.encode() for d, c in zip(docs[:400], labels) if c)
+    assert sum(m.toxic[i : i + 12] in text for i in range(900)) > 100
+
+
 def test_learns_planted_words(spark):
     rng = random.Random(2)
     docs, labels = labelled(rng)
