@@ -209,9 +209,9 @@ def fit_toxicity(
     half = {t for t in ordinary if xxhash.xxh64_intdigest(t) % 2}
     if not half or len(half) == len(ordinary):
         half = set()
-    pieces = [t[i : i + 256] for t in ordinary if t in half or not half for i in range(0, len(t), 256)][:20_000]
+    pieces = _by_hash([t[i : i + 256] for t in ordinary if t in half or not half for i in range(0, len(t), 256)])
     windows = _by_hash([t[i : i + WINDOW] for t in toxic for i in range(0, max(1, len(t) - WINDOW + STEP), STEP)])
-    d_plain = b"".join(_by_hash(pieces))[:plain_bytes] + _dictionary(ordinary_bytes, pieces)
+    d_plain = b"".join(pieces)[:plain_bytes] + _dictionary(ordinary_bytes, pieces)
     d_toxic = _dictionary(toxic_bytes, windows, k=16, d=6)
     d_toxic += b"".join(b" " + w for w in typical_stretches(toxic, ordinary, longest)) + b" "
     used = [i for i, t in enumerate(texts) if y[i] == 1 or t not in half]

@@ -87,6 +87,15 @@ def test_learns_a_phrase_of_ordinary_words():
     assert sum(m.toxic[i : i + 12] in text for i in range(900)) > 100
 
 
+def test_order_of_the_sample_changes_nothing():
+    rng = random.Random(6)
+    docs, labels = labelled(rng, 120)
+    docs = [d + f" long{i} " + words_of(rng, 9000) if not c else d for i, (d, c) in enumerate(zip(docs, labels))]  # over 20,000 pieces
+    m, at = fit(docs, labels), rng.sample(range(120), 120)
+    again = fit([docs[i] for i in at], [labels[i] for i in at])
+    assert (again.ordinary, again.toxic) == (m.ordinary, m.toxic)
+
+
 def test_learns_planted_words(spark):
     rng = random.Random(2)
     docs, labels = labelled(rng)
