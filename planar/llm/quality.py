@@ -228,6 +228,7 @@ def score_texts(f: LineField, bufs: list[bytes | None]) -> np.ndarray:
 def bounded_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_label: int, max_bytes: int) -> tuple[pd.DataFrame, dict]:
     """At most ``per_label`` labelled texts of each label (lowest hash of the
     id first, texts above ``max_bytes`` passed over) and the labels' counts.
+    Rows with the same id and text count once.
     Both bounds are parameters of training alone."""
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
@@ -237,14 +238,15 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_label
     hashed = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).select(
         "doc_id", F.xxhash64("doc_id").alias("h"), F.xxhash64("doc_id", "text").alias("h2")
     )
-    ids = hashed.join(known, "doc_id").checkpoint()
+    ids = hashed.join(known, "doc_id").dropDuplicates(["doc_id", "h2"]).checkpoint()
     counts = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = ids.where("label = 0").orderBy("h", "h2").limit(per_label).unionByName(
         ids.where("label = 1").orderBy("h", "h2").limit(per_label)
     )
-    chosen = F.broadcast(picked.select("doc_id", "label").distinct())  # at most 2 * per_label rows
-    sample = docs.join(chosen, "doc_id").select("label", utf8("text").alias("bytes")).where(
-        F.coalesce(F.length("bytes"), F.lit(0)) <= max_bytes
+    chosen = F.broadcast(picked.select("doc_id", "h2", "label"))  # at most 2 * per_label rows
+    sample = (
+        docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h2")).join(chosen, ["doc_id", "h2"])
+        .dropDuplicates(["doc_id", "h2"]).select("label", utf8("text").alias("bytes"))
     )
     return sample.toPandas(), counts
 

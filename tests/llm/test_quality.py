@@ -11,6 +11,18 @@ from tests.llm.helpers import clashing, docs_df
 SF = "/root/testdata/sf0.01"
 
 
+def test_repeated_ids_do_not_widen_the_sample(spark):
+    texts = ["same text"] * 200 + [f"other text {i}" for i in range(100)] + [f"text {i}" for i in range(60)] + [None] * 5
+    ids = [7] * 300 + list(range(100, 160)) + [160] * 5
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(100, 161)], "doc_id long, quality int")
+    docs = docs_df(spark, texts, ids).select("doc_id", "text")
+    sample, counts = ql.bounded_sample(docs, labels, "quality", 20, 1 << 15)
+    assert sample["label"].value_counts().to_dict() == {0: 20, 1: 20}
+    assert counts == {0: 31, 1: 101 + 30}
+    sample, _ = ql.bounded_sample(docs, labels, "quality", 1000, 1 << 15)
+    assert len(sample) == 162 and sample["bytes"].isna().sum() == 1
+
+
 def test_marginals_against_enumeration():
     rng = np.random.default_rng(1)
     per = np.array([3, 0, 1, 5])
