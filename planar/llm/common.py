@@ -70,17 +70,29 @@ def pack_docs(bufs: list[bytes | None], limit: int = 1 << 21) -> Iterator[tuple[
         yield i, len(bufs)
 
 
+FILTER_BITS = 27  # most bits of a counted filter: 16 MB
+
+
+def counted_filter(hashes: DataFrame, col: str, count: int | None = None, most: int = FILTER_BITS) -> BitTable | None:
+    """A ``BitTable`` with eight bits per hash or more, from their counted
+    number; None where that takes more than ``2 ** most`` bits (the caller
+    then joins all rows)."""
+    n = hashes.count() if count is None else count
+    bits = max(12, (8 * n).bit_length())
+    return BitTable(hashes, col, bits) if bits <= most else None
+
+
 class BitTable:
-    """A set of 64-bit hashes as a bit table of fixed size: 2^bits bits,
-    whatever the number of hashes.  Tests may pass hashes that are not in the
-    set, never refuse one that is, so it only thins out what a join checks."""
+    """A set of 64-bit hashes as a bit table of 2^bits bits, whatever the
+    number of hashes.  Tests may pass hashes that are not in the set, never
+    refuse one that is, so it only thins out what a join checks."""
 
     def __init__(self, hashes: DataFrame, col: str, bits: int):
         self.bits = bits
         words = (
             hashes.groupBy(F.expr(f"cast(shiftrightunsigned({col}, {64 - bits + 6}) as int)").alias("w"))
             .agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned({col}, {64 - bits}) & 63 as int)))").alias("b"))
-            .toPandas()  # at most 2^(bits - 6) rows
+            .toArrow()  # at most 2^(bits - 6) rows
         )
         table_ = np.zeros(1 << (bits - 6), np.int64)
         table_[words["w"].to_numpy()] = words["b"].to_numpy()

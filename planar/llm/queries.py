@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planar.llm.common import table
+from planar.llm.filters import FILTER_AUDIT_SQL, filter_audit
 from planar.llm.language import predict_languages
+from planar.llm.lines import LINE_DEDUP_SQL, dedup_lines
 from planar.llm.packing import pack_sequences
 from planar.llm.quality import predict_quality
+from planar.llm.runs import RUNS_SQL, run_digests
 from planar.llm.sharding import shard, shard_sql
 from planar.llm.simhash import simhash_near_dups
 from planar.llm.suffix import remove_repeats
@@ -77,6 +80,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -89,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_topk": op9_topk,
         "op10_toxicity": op10_toxicity,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -97,4 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": DECONTAMINATE_SQL,
         "op8_sharding": shard_sql(SHARD_BYTES),
         "op9_topk": TOP_K_SQL,
+        "op11_line_dedup": LINE_DEDUP_SQL,
+        "op12_filter_audit": FILTER_AUDIT_SQL,
+        "op13_periodic_runs": RUNS_SQL,
     }
