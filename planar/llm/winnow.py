@@ -11,16 +11,20 @@ right; a run of at least ``window`` equal words is an occurrence.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import BitTable, pack_docs, prepare, text_key, utf8
+from planar.llm.common import BitTable, counted_filter, pack_docs, prepare, text_key, utf8
 
 BITS = 24  # positions of the filter: 2^24 bits, 2 MB, whatever the input
 
@@ -40,7 +44,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(4)
+BLOCK = 1 << 18  # bytes of text hashed at a time
+LONG_WORD = 1 << 12
+
+
+@lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     with np.errstate(over="ignore"):
@@ -51,20 +59,58 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def _word_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
 def words_of(low: bytes):
-    """Begin, end and 64-bit hash of every word of lower-cased bytes.  The
-    hash is a polynomial from prefix sums, so it takes a few array steps."""
+    """Begin, end and 64-bit hash of every word of lower-cased bytes, a block
+    (``BLOCK`` bytes and a little more) at most.  The hash is a polynomial
+    from prefix sums, so it takes a few array steps; words of more than
+    ``LONG_WORD`` bytes are hashed one by one."""
     raw = np.frombuffer(low, np.uint8)
     edge = np.flatnonzero(np.diff(np.r_[False, _word_byte()[raw], False].astype(np.int8)))
     start, end = edge[::2], edge[1::2]
     if len(start) == 0:
         return start, end, np.zeros(0, np.uint64)
-    size = 1 << max(16, len(raw).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(max(2 * BLOCK, len(raw)))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down[: len(raw)], out=sums[1:])
-        return start, end, _mix((sums[end] - sums[start]) * up[start])
+        word = _mix((sums[end] - sums[start]) * up[start])
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        word[i] = _word_hash(low[start[i] : end[i]])
+    return start, end, word
+
+
+_GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
+
+
+def _blocks(buf: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``words_of`` a text of any length, block by block, none across a word."""
+    pos, n = 0, len(buf)
+    while pos < n:
+        end = min(n, pos + BLOCK)
+        if end < n and not _GAP.match(buf, end):
+            gap = _GAP.search(buf, end, min(n, end + LONG_WORD))
+            if gap:
+                end = gap.start()
+            elif n - end <= LONG_WORD:
+                end = n
+            else:  # a long word: what stands before it, or the word by itself
+                at = end
+                while at > pos and not _GAP.match(buf, at - 1):
+                    at -= 1
+                if at == pos:
+                    gap = _GAP.search(buf, end)
+                    end = gap.start() if gap else n
+                    yield np.array([pos]), np.array([end]), np.array([_word_hash(buf[pos:end].lower())], np.uint64)
+                    pos = end
+                    continue
+                end = at
+        start, stop, word = words_of(buf[pos:end].lower())
+        yield start + pos, stop + pos, word
+        pos = end
 
 
 def grams(word: np.ndarray, k: int, salt: int) -> np.ndarray:
@@ -95,42 +141,91 @@ def winnow(g: np.ndarray, ok: np.ndarray, w: int) -> np.ndarray:
     return kept
 
 
+def _picked(word: np.ndarray, doc: np.ndarray, shape, tags: list[int], passes) -> Iterator[tuple[int, int, int]]:
+    """``(tag, place, hash)`` of the kept fingerprints that ``passes`` lets
+    through; ``doc``: the text of each word.  Tag 0 marks winnowed
+    fingerprints, tag n whole items of n words."""
+    window, gram = shape
+    reach = window - gram
+    for tag in tags:
+        k = tag or gram
+        g = grams(word, k, tag)
+        if len(g) == 0:
+            continue
+        if tag == 0:
+            m = max(len(g) - reach, 0)
+            keep = winnow(g, doc[:m] == doc[window - 1 :][:m], reach + 1)
+        else:
+            keep = doc[: len(g)] == doc[k - 1 :]
+        at = np.flatnonzero(keep)
+        at = at[passes(g[at])]
+        yield from zip([tag] * len(at), at.tolist(), g[at].view(np.int64).tolist())
+
+
+def _context(buf: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
+    """The words, lower-cased; a very long one by its hash behind a byte that
+    no text holds."""
+    words = [
+        buf[s:e].lower() if e - s <= LONG_WORD else b"\xff" + hashlib.sha256(buf[s:e].lower()).hexdigest().encode()
+        for s, e in zip(start.tolist(), end.tolist())
+    ]
+    return b" ".join(words)
+
+
+def _found(tag: int, p: int, h: int, lo: int, hi: int, shape, context) -> tuple:
+    """An anchor whose context covers what of ``lo .. hi`` a window around the
+    fingerprint at ``p`` can reach."""
+    window, gram = shape
+    a = max(p - window + gram, lo) if tag == 0 else p
+    b = min(p + window, hi) if tag == 0 else p + tag
+    return tag, p - lo, h, p - a, context(a, b)
+
+
+def _long_anchors(buf: bytes, shape, tags: list[int], passes) -> tuple[int, list[tuple]]:
+    """``_anchors`` of one long text: a block of words at a time, and as many
+    words around it as a window reaches."""
+    window = shape[0]
+    none = np.zeros(0, np.int64)
+    start, end, word = none, none, np.zeros(0, np.uint64)
+    off = done = 0  # the first word at hand, the first not yet decided
+    out: list[tuple] = []
+    for block in chain(_blocks(buf), [None]):
+        if block is not None:
+            start, end, word = (np.concatenate(x) for x in zip((start, end, word), block))
+        total = off + len(word)
+        upto = total if block is None else total - window
+        if upto <= done:
+            continue
+        doc = np.zeros(len(word), np.int8)
+        for tag, p, h in _picked(word, doc, shape, tags, passes):
+            if done <= p + off < upto:
+                out.append(_found(tag, p + off, h, 0, total, shape, lambda a, b: _context(buf, start[a - off : b - off], end[a - off : b - off])))
+        done = upto
+        keep = max(done - window - off, 0)
+        start, end, word, off = start[keep:], end[keep:], word[keep:], off + keep
+    return done, out
+
+
 def _anchors(bufs: list[bytes | None], shape, tags: list[int], passes):
     """Per text: word count and the kept fingerprints that ``passes`` lets
     through, as ``(tag, position, hash, left, context)``; the context holds
-    every word that a window around the fingerprint can reach.  Tag 0 marks
-    winnowed fingerprints, tag n whole items of n words."""
-    window, gram = shape
-    reach = window - gram
+    every word that a window around the fingerprint can reach."""
     out = []
-    for i, j in pack_docs(bufs):
+    for i, j in pack_docs(bufs, BLOCK):
         part = [b or b"" for b in bufs[i:j]]
-        low = b"\n".join(part).lower()
-        start, end, word = words_of(low)
+        if len(part) == 1 and len(part[0]) > BLOCK:
+            out.append(_long_anchors(part[0], shape, tags, passes))
+            continue
+        text = b"\n".join(part)
+        start, end, word = words_of(text.lower())
         base = np.cumsum([0] + [len(b) + 1 for b in part])
         doc = np.searchsorted(base, start, side="right") - 1
-        first = np.searchsorted(doc, np.arange(len(part) + 1))
+        first = np.searchsorted(doc, np.arange(len(part) + 1)).tolist()
         found: list[list] = [[] for _ in part]
-        for tag in tags:
-            k = tag or gram
-            g = grams(word, k, tag)
-            if len(g) == 0:
-                continue
-            if tag == 0:
-                m = len(g) - reach
-                ok = doc[: max(m, 0)] == doc[window - 1 :][: max(m, 0)]
-                keep = winnow(g, ok, reach + 1)
-            else:
-                keep = doc[: len(g)] == doc[k - 1 :]
-            at = np.flatnonzero(keep)
-            at = at[passes(g[at])]
-            for p in at.tolist():
-                d = doc[p]
-                a = max(p - reach, first[d]) if tag == 0 else p
-                b = min(p + window, first[d + 1]) if tag == 0 else p + k
-                ctx = b" ".join(low[s:e] for s, e in zip(start[a:b].tolist(), end[a:b].tolist()))
-                found[d].append((tag, p - int(first[d]), int(g[p].view(np.int64)), p - int(a), ctx))
-        out += [(int(first[d + 1] - first[d]), f) for d, f in enumerate(found)]
+        for tag, p, h in _picked(word, doc, shape, tags, passes):
+            d = doc[p]
+            found[d].append(_found(tag, p, h, first[d], first[d + 1], shape, lambda a, b: _context(text, start[a:b], end[a:b])))
+        out += [(first[d + 1] - first[d], f) for d, f in enumerate(found)]
     return out
 
 
@@ -253,12 +348,16 @@ def decontaminate(
         .distinct()
     )
     if keep_columns:
-        bad = hits.select(F.col("tid").alias("_tid")).distinct().withColumn("_contaminated", F.lit(True))
-        cols = docs.columns
-        return (
-            docs.withColumn("_tid", text_key(text_col)).join(bad, "_tid", "left")
-            .select(*[F.col(f"`{c}`") for c in cols], F.coalesce("_contaminated", F.lit(False)).alias("_contaminated"))
-        )
+        bad = hits.select(F.col("tid").alias("_tid")).distinct().withColumn("_contaminated", F.lit(True)).checkpoint()
+        cols = [F.col(f"`{c}`") for c in docs.columns]
+        rows = docs.withColumn("_tid", text_key(text_col))
+        # Only rows whose text may be one of them are shuffled for the join.
+        few = counted_filter(bad.select(F.xxhash64("_tid").alias("h")), "h")
+        if few is None:
+            return rows.join(bad, "_tid", "left").select(*cols, F.coalesce("_contaminated", F.lit(False)).alias("_contaminated"))
+        rows = rows.withColumn("_maybe", few.column(F.xxhash64("_tid")))
+        met = rows.where("_maybe").join(bad, "_tid", "left").select(*cols, F.coalesce("_contaminated", F.lit(False)).alias("_contaminated"))
+        return rows.where("not _maybe").select(*cols, F.lit(False).alias("_contaminated")).unionByName(met)
     hits = hits.checkpoint()
     spans = (
         hits.groupBy("tid").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("runs"))

@@ -109,3 +109,52 @@ def test_query(spark):
     got = op6_decontamination(spark, sf)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, items)
     assert got.where(F.col("contaminated")).count() > 0
+
+
+def test_blocks_of_a_long_text(monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(wn, "LONG_WORD", 40)
+    monkeypatch.setattr(wn, "BLOCK", 300)
+    text = b"".join(
+        rng.choice([b"a", b"B7", "\u00e9t\u00e9".encode(), b"x" * rng.choice([39, 40, 41, 700])]) + rng.choice([b" ", b"-\n", b"  "]) for _ in range(3000)
+    )
+    for t in (text, b"y" * 5000, b" " * 5000, b"y" * 700 + b" z", text + b"q" * 320):
+        got = [x for block in wn._blocks(t) for x in zip(*(c.tolist() for c in block))]
+        spans = [m.span() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", t)]
+        assert [x[:2] for x in got] == spans
+        hashes = {}
+        for (a, b), x in zip(spans, got):
+            assert hashes.setdefault(t[a:b].lower(), x[2]) == x[2]
+
+
+def test_a_long_text_in_blocks_gives_the_same_anchors(monkeypatch):
+    rng = random.Random(13)
+    text = " ".join(rng.choice(["a", "b", "word" * rng.randrange(1, 5), "Z" * 60]) for _ in range(4000)).encode()
+    every = lambda h: h % np.uint64(3) != 0
+    tags = [0, 2, 9]
+    whole = wn._anchors([text], (10, 5), tags, every)
+    monkeypatch.setattr(wn, "BLOCK", 500)
+    parts = wn._anchors([text], (10, 5), tags, every)
+    assert parts[0][0] == whole[0][0] == 4000 and sorted(parts[0][1]) == sorted(whole[0][1])
+
+
+def test_memory_of_a_long_text_is_bounded():
+    import tracemalloc
+
+    text = b" ".join(b"word%d" % (k % 100_003) for k in range(3_300_000))
+    assert len(text) > 32_000_000
+    tracemalloc.start()
+    n, found = wn._anchors([text], (10, 5), [0, 3], lambda h: np.zeros(len(h), bool))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 3_300_000 and not found and peak < 50_000_000
+
+
+def test_long_words_match_whole(spark):
+    word = "q" * 9000
+    base = [f"w{k}" for k in range(30)]
+    items = [(1, " ".join(base[:4] + [word] + base[4:9])), (2, " ".join(base[:4] + [word[:-1] + "r"] + base[4:9]))]
+    docs = [(7, "pre " + " ".join(base[:4] + [word.upper()] + base[4:9]) + " post"), (8, " ".join(base[:4] + [word + "s"] + base[4:9]))]
+    d = docs_df(spark, [t for _, t in docs], ids=[i for i, _ in docs])
+    i = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((tuple(r) for r in wn.decontaminate(d, i).collect()), key=str) == brute(docs, items)
