@@ -23,22 +23,19 @@ from planar.llm.suffix import strip_repeats
 from planar.llm.winnow import decontaminate
 from planar.plans.session import ensure_checkpoint_dir
 
-MIN_LANGUAGE_SHARE = 0.5
-
-
 def _only(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in like.columns])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: texts without a letter (null and empty ones
-    too) go, and so do mixtures in which no language holds half the letters.
+    too) go; mixtures stay, whatever the share of their leading language.
     Where no row names a language there is nothing to learn and all letters
     pass."""
     model = train_language_model(docs)
     found = identify_languages(docs, model)
     if model.langs:
-        keep = (F.col("language_id.lang_pred") != UND) & (F.col("language_id.score") >= MIN_LANGUAGE_SHARE)
+        keep = F.col("language_id.lang_pred") != UND
     else:
         keep = F.col("text").rlike(r"\p{L}")
     return _only(found.where(keep), docs)
