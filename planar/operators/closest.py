@@ -28,12 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import dist2, finite
-from planar.operators.hull import PAIR_SCHEMA
-from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
+from planar.operators.kernels import PAIR_SCHEMA, best_pair, cell_pairs, oriented_pairs
 from planar.plans.session import ensure_checkpoint_dir, ship_package
 
 BASE_ROWS = 1 << 10  # most points solved inside one task, by default
@@ -72,8 +71,9 @@ def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 CELL_FACTOR = 2.0  # cell side in units of the bound
 
 
-def _grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float) -> DataFrame:
-    """Closest pair among ``pts`` given that some pair is within ``sqrt(bound)``.
+def grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float, which: Column | None = None) -> DataFrame:
+    """Closest pair among ``pts`` (of those that ``which`` accepts) given that
+    some pair is within ``sqrt(bound)``.
 
     Cells are ``CELL_FACTOR`` times the bound, so a pair within the bound
     lies in the same or an adjacent cell, and a point has to meet a
@@ -111,6 +111,8 @@ def _grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float)
     ax, ay, bx, by = F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")
     less = (ax < bx) | ((ax == bx) & (ay < by))
     cond = (F.col("_kx") == F.col("_bx")) & (F.col("_ky") == F.col("_by")) & (~F.col("_same") | less)
+    if which is not None:
+        cond = cond & which
     # d2 is symmetric bit for bit ((a-b) is exactly -(b-a)), so the bound
     # filter runs before the pair is put in (x, y) order.
     pairs = a.join(b, cond, "inner").withColumn("d2", dist2(ax, ay, bx, by)).where(F.col("d2") <= F.lit(bound))
@@ -145,7 +147,7 @@ def _closest(pts: DataFrame, seed: int, base_rows: int) -> DataFrame:
     # A sample of fewer than two points (all but impossible) bounds nothing:
     # the extent's diagonal does.
     bound = found["d2"] if found is not None else dx * dx + dy * dy
-    return _grid_pairs(pts, float(bound), st["x0"], st["y0"], max(dx, dy))
+    return grid_pairs(pts, float(bound), st["x0"], st["y0"], max(dx, dy))
 
 
 def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42, base_rows: int | None = None) -> DataFrame:

@@ -2,14 +2,14 @@
 
 Plan: every input partition reduces its points to their hull in
 ``mapInPandas`` (Arrow batches are folded in, so memory is one chunk plus a
-hull; a vectorised interior filter discards most points before the Python
-chain scan).  The hull of the union of partial hulls is the hull of all
-points, so partial hulls are merged in a middle round and then brought
-together: the only shuffles move hull vertices.  The last task holds all
-hull vertices (few, unless the points are in convex position).
+hull; a vectorised interior filter discards most points before the chain
+scan).  The hull of the union of these partial hulls is the hull of all
+points: they are the candidates, written once and counted.  Up to
+``BASE_ROWS`` of them are solved in one task; more (very many partitions, or
+points in convex position) arc by arc, see ``hull_arcs``.
 
-Turn tests are exact (a rounded test where it is certain, rational numbers
-where not), so the vertices do not depend on how the points are split.
+Turn tests are exact (see ``exact``), so the vertices do not depend on how
+the points are split.
 
 The hull is strict: points on an edge are not vertices.  The upper chain runs
 over the highest point of each x column, from the leftmost to the rightmost
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -28,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import finite
-from planar.operators.kernels import best_pair, cell_pairs, oriented_pairs
-from planar.plans.session import ship_package
+from planar.operators import hull_arcs as arcs
+from planar.operators.exact import TINY, TURN_ERROR, turn, turn_signs
+from planar.operators.kernels import PAIR_SCHEMA, best_pair, cell_pairs, oriented_pairs
+from planar.plans.session import ensure_checkpoint_dir, ship_package
 
-MERGE_TASKS = 64     # most tasks of the middle merge
+BASE_ROWS = 1 << 16  # most candidates that one task solves
 CHUNK = 1 << 16      # points buffered per task before reducing to a hull
 
-PAIR_SCHEMA = "ax double, ay double, bx double, by double, d2 double"
-
 
 # ---------------------------------------------------------------------------
 # local geometry on numpy arrays (runs inside tasks)
@@ -52,25 +51,7 @@ def _columns(x: np.ndarray, y: np.ndarray):
     return xs[first], ys[first], ys[last]
 
 
-# A cross product of rounded differences has the sign it shows when it
-# exceeds this share of its two products' magnitudes (and these are far from
-# underflow); otherwise the sign is worked out in rational numbers.
-TURN_ERROR = 3.3306690738754716e-16 * 1.01
-TINY = 1e-280
-
-
-def turn(ox: float, oy: float, ax: float, ay: float, bx: float, by: float) -> float:
-    """A number with the exact sign of ``(A - O) x (B - O)``."""
-    l, r = (ax - ox) * (by - oy), (ay - oy) * (bx - ox)
-    c, size = l - r, abs(l) + abs(r)
-    if TINY < size < math.inf and abs(c) > TURN_ERROR * size:
-        return c
-    ox, oy, ax, ay, bx, by = map(Fraction, (ox, oy, ax, ay, bx, by))
-    exact = (ax - ox) * (by - oy) - (ay - oy) * (bx - ox)
-    return float((exact > 0) - (exact < 0))
-
-
-def _chain(xs: list, ys: list, upper: bool, eps: float) -> list[int]:
+def _scan(xs: list, ys: list, upper: bool, eps: float) -> list[int]:
     """Monotone chain over points sorted by x (one point per x).  The turn
     test is exact; with ``eps`` it is the rounded cross product against the
     tolerance."""
@@ -91,17 +72,39 @@ def _chain(xs: list, ys: list, upper: bool, eps: float) -> list[int]:
     return st
 
 
+SLOW_SHARE = 0.1  # rounds that drop a smaller share of the points leave the rest to the scan
+
+
+def _chain(xs: np.ndarray, ys: np.ndarray, upper: bool) -> np.ndarray:
+    """Places of the exact chain's vertices among points sorted by x (one per
+    x).  A point on or below (above) the line between its neighbours is no
+    vertex, whatever becomes of them, so whole rounds of points are dropped
+    at once; when a round drops none, the rest is the chain."""
+    at = np.arange(len(xs))
+    while len(at) > 32:
+        x, y = xs[at], ys[at]
+        sign = turn_signs(x[:-2], y[:-2], x[1:-1], y[1:-1], x[2:], y[2:])
+        stay = np.r_[True, sign < 0 if upper else sign > 0, True]
+        left = int(stay.sum())
+        if left == len(at):
+            return at
+        slow = len(at) - left < SLOW_SHARE * len(at)
+        at = at[stay]
+        if slow:
+            break
+    return at[_scan(xs[at].tolist(), ys[at].tolist(), upper, 0.0)]
+
+
 def chains(x: np.ndarray, y: np.ndarray, eps: float = 0.0):
     """Upper and lower chains as ``(xs, ys)`` array pairs, left to right.
     ``eps`` thins the exact hull's chains, so it sees the same vertices
     however the points were split."""
     x, y = _prefilter(x, y)
     xs, lo_y, hi_y = _columns(x, y)
-    up = _chain(xs.tolist(), hi_y.tolist(), True, 0.0)
-    lo = _chain(xs.tolist(), lo_y.tolist(), False, 0.0)
+    up, lo = _chain(xs, hi_y, True), _chain(xs, lo_y, False)
     (ux, uy), (lx, ly) = (xs[up], hi_y[up]), (xs[lo], lo_y[lo])
     if eps:
-        up, lo = _chain(ux.tolist(), uy.tolist(), True, eps), _chain(lx.tolist(), ly.tolist(), False, eps)
+        up, lo = _scan(ux.tolist(), uy.tolist(), True, eps), _scan(lx.tolist(), ly.tolist(), False, eps)
         return (ux[up], uy[up]), (lx[lo], ly[lo])
     return (ux, uy), (lx, ly)
 
@@ -128,9 +131,7 @@ def _prefilter(x: np.ndarray, y: np.ndarray):
     idx = np.unique([x.argmin(), x.argmax(), y.argmin(), y.argmax(), s.argmin(), s.argmax(), d.argmin(), d.argmax()])
     ex, ey = x[idx], y[idx]
     xs, lo_y, hi_y = _columns(ex, ey)
-    xl = xs.tolist()
-    up = _chain(xl, hi_y.tolist(), True, 0.0)
-    lo = _chain(xl, lo_y.tolist(), False, 0.0)
+    up, lo = _chain(xs, hi_y, True), _chain(xs, lo_y, False)
     poly = _ring_ccw((xs[up], hi_y[up]), (xs[lo], lo_y[lo]))
     if len(poly) < 3:
         return x, y
@@ -276,17 +277,13 @@ def _partial():
     return run
 
 
-def _reduced(points: DataFrame, x: str, y: str) -> DataFrame:
-    """Partial hulls, merged in a middle round of at most ``MERGE_TASKS``
-    tasks (no more than the cluster has cores), then brought together.  The
-    number of input partitions is never asked for, so building the plan runs
-    nothing."""
+def _candidates(points: DataFrame, x: str, y: str) -> DataFrame:
+    """Every input partition's own hull, written once."""
     spark = points.sparkSession
     ship_package(spark)
+    ensure_checkpoint_dir(spark)
     pts = points.where(finite(x, y)).select(F.col(x).alias("x"), F.col(y).alias("y"))
-    part = pts.mapInPandas(_partial(), "x double, y double")
-    middle = max(1, min(MERGE_TASKS, spark.sparkContext.defaultParallelism))
-    return part.repartition(middle).mapInPandas(_partial(), "x double, y double").repartition(1)
+    return pts.mapInPandas(_partial(), "x double, y double").checkpoint()
 
 
 def _final(mode: str, eps: float):
@@ -329,36 +326,59 @@ _SCHEMAS = {
 }
 
 
-def _hull(points: DataFrame, mode: str, x: str, y: str, eps: float) -> DataFrame:
-    return _reduced(points, x, y).mapInPandas(_final(mode, eps), _SCHEMAS[mode])
-
-
-def convex_hull(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0) -> DataFrame:
-    """Distinct hull vertices ``(x, y)``."""
-    return _hull(points, "vertices", x, y, eps)
-
-
-def convex_hull_ring(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0) -> DataFrame:
+def _hull(points: DataFrame, mode: str, x: str, y: str, eps: float, base_rows: int | None) -> DataFrame:
+    base = max(4, base_rows or BASE_ROWS)
+    c = _candidates(points, x, y)
+    count = c.count()
+    if count <= base:
+        return c.repartition(1).mapInPandas(_final(mode, eps), _SCHEMAS[mode])
+    chain = arcs.hull_chain(c, base, count, chains)
+    if eps:
+        chain = arcs.thinned(chain, eps, _scan)
+    if mode == "vertices":
+        return arcs.vertices(chain)
+    if mode == "ring":
+        return arcs.ring(chain)
+    if mode == "chains":
+        return arcs.both_chains(chain)
+    if mode == "farthest":
+        return arcs.farthest(chain, lambda p: farthest_from_hull(*chains(p[:, 0], p[:, 1])))
+    return arcs.closest_on_axes(chain)
+
+
+def convex_hull(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0, base_rows: int | None = None) -> DataFrame:
+    """Distinct hull vertices ``(x, y)``.
+
+    ``base_rows`` (65,536 by default) is the largest number of candidates
+    (vertices of the input partitions' hulls) that one task solves on its
+    own; more are solved arc by arc.  It bounds a task's memory; it changes
+    no result, except that a tolerance ``eps`` is applied to blocks of that
+    many vertices."""
+    return _hull(points, "vertices", x, y, eps, base_rows)
+
+
+def convex_hull_ring(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0, base_rows: int | None = None) -> DataFrame:
     """Hull vertices ``(ord, x, y)`` clockwise from the smallest (x, y)."""
-    return _hull(points, "ring", x, y, eps)
+    return _hull(points, "ring", x, y, eps, base_rows)
 
 
-def hull_chains(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0) -> DataFrame:
+def hull_chains(points: DataFrame, x: str = "x", y: str = "y", eps: float = 0.0, base_rows: int | None = None) -> DataFrame:
     """``(chain, x, y)`` for the upper and lower chains; the end points of
     the two chains coincide when an extreme x column holds one point."""
-    return _hull(points, "chains", x, y, eps)
+    return _hull(points, "chains", x, y, eps, base_rows)
 
 
-def farthest_pair(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+def farthest_pair(points: DataFrame, x: str = "x", y: str = "y", base_rows: int | None = None) -> DataFrame:
     """``(ax, ay, bx, by, d2)``: the two points farthest apart, a < b in
     (x, y) order, ties to the smallest (ax, ay, bx, by).  The pair is always
-    a pair of hull vertices; rotating calipers on the hull finds it in
-    linear time.  One point gives the pair (p, p) with d2 = 0."""
-    return _hull(points, "farthest", x, y, 0.0)
+    a pair of hull vertices touched by parallel lines (rotating calipers, or
+    a join of slope ranges where the hull is large).  One point gives the
+    pair (p, p) with d2 = 0."""
+    return _hull(points, "farthest", x, y, 0.0, base_rows)
 
 
-def hull_closest_pair(points: DataFrame, x: str = "x", y: str = "y", eps: float = 1e-9) -> DataFrame:
+def hull_closest_pair(points: DataFrame, x: str = "x", y: str = "y", eps: float = 1e-9, base_rows: int | None = None) -> DataFrame:
     """Closest pair among hull vertices that differ in both x and y (a has
     the smaller x); ``eps`` is a tolerance on the turn test that thins the
-    exact hull in the final step."""
-    return _hull(points, "closest_axes", x, y, eps)
+    exact hull."""
+    return _hull(points, "closest_axes", x, y, eps, base_rows)

