@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import box_in_box, finite, normalize_boxes, point_in_box
-from planar.plans.grid import SPAN, box_point_join, fits_broadcast, plan_grid
+from planar.plans.grid import box_point_join, fits_broadcast, plan_grid
+from planar.plans.nested import nested_counts
+from planar.plans.session import ensure_checkpoint_dir
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _EXTENT_BYTES = 64  # four doubles and their cell key
+NEST_OVERLAP = 8.0   # boxes over a place from which nested counts may pay
+NEST_MATCHES = 3e7   # expected matches from which they do
 
 
 def _boxes(boxes: DataFrame, x1: str, y1: str, x2: str, y2: str) -> DataFrame:
@@ -49,6 +53,7 @@ def heat_map(
     x: str = "x",
     y: str = "y",
     corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
+    nest_matches: float = NEST_MATCHES,
 ) -> DataFrame:
     """Number of points strictly inside each box: ``(id, n)``, one row per
     valid box row, zeros kept.
@@ -59,6 +64,11 @@ def heat_map(
     pre-aggregated to ``(x, y, copies)`` (map-side, so a hot group of copies
     is one row per task) and both sides shuffle on the cell.  Counts per box
     extent are then joined back to every box row.
+
+    Where boxes overlap ``NEST_OVERLAP``-fold or more and about
+    ``nest_matches`` points or more would be met, points are counted per cell
+    instead (``nested_counts``), so that the work follows the boxes' borders
+    and not the matches.  Both ways give the same counts.
     """
     b = _boxes(boxes, *corners).select(F.col(box_id).alias("id"), *_BOX)
     grid = plan_grid((b, *_BOX))
@@ -66,13 +76,15 @@ def heat_map(
     p = points.where(finite(x, y)).select(F.col(x).alias("px"), F.col(y).alias("py"))
     if grid is None:
         return b.select("id", F.lit(0).cast("long").alias("n"))
-    bound = grid.counts[0] * (SPAN + 1) ** 2
-    if fits_broadcast(ub, bound, _EXTENT_BYTES):
-        weighted = p.withColumn("w", F.lit(1).cast("long"))
+    weighted = p.groupBy("px", "py").agg(F.count(F.lit(1)).alias("w"))
+    if grid.overlap >= NEST_OVERLAP and grid.overlap * points.count() >= nest_matches:
+        ensure_checkpoint_dir(boxes.sparkSession)
+        counts = nested_counts(ub, weighted, grid)
     else:
-        weighted = p.groupBy("px", "py").agg(F.count(F.lit(1)).alias("w"))
-    pairs = box_point_join(ub, weighted, point_in_box("px", "py", *_BOX), grid=replace(grid, row_bytes=_EXTENT_BYTES))
-    counts = pairs.groupBy(*_BOX).agg(F.sum("w").alias("n"))
+        if fits_broadcast(ub, grid.cells, _EXTENT_BYTES):
+            weighted = p.withColumn("w", F.lit(1).cast("long"))
+        pairs = box_point_join(ub, weighted, point_in_box("px", "py", *_BOX), grid=replace(grid, row_bytes=_EXTENT_BYTES))
+        counts = pairs.groupBy(*_BOX).agg(F.sum("w").alias("n"))
     if fits_broadcast(counts, grid.counts[0], _EXTENT_BYTES + 8):
         counts = F.broadcast(counts)
     return b.join(counts, list(_BOX), "left").select(

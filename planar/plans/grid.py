@@ -5,39 +5,47 @@ Spark plans a pure range condition as a nested loop (``CartesianProduct`` or
 sort-merge equi-join with the range test as residual condition.
 
 Cell sides are powers of ``BRANCH`` on an absolute scale, chosen per axis
-from a box's own size: level ``(lx, ly)`` has cells of ``BRANCH**lx`` by
-``BRANCH**ly``, and a box lives on the finest level where it is at most
-``SPAN`` cells wide and high, so it covers at most ``(SPAN + 1)**2`` cells.
-Neither the extent nor the other boxes' sizes matter: a far-off box, large
-boxes among small ones, and long thin boxes each get cells of their own size.
-A point gets one cell on each level that holds boxes.  A box and a point
-inside it therefore meet in exactly one cell: no duplicates, no ``distinct``
-afterwards.
-
-Which levels hold boxes comes from one grouped aggregation over the box side
-(a row per level).  Where that gives more than ``MAX_LEVELS`` levels, they
-are rounded up to every second, fourth, ... power, which bounds the copies of
-a point; cells then are larger by a constant factor.
-
-When the planning job's row count and widest row prove the exploded box side
+from a box's own size: on its own level ``(lx, ly)``, with cells of
+``BRANCH**lx`` by ``BRANCH**ly``, a box is at most ``SPAN`` cells wide and
+high.  Neither the extent nor the other boxes' sizes matter: a far-off box,
+large boxes among small ones, and long thin boxes each get cells of their own
+size.  A point gets one cell on each level that holds boxes, so levels with
+few boxes are given up where that costs less than the copies it saves: their
+boxes move to a coarser level or to one that is a step finer.  What it costs
+follows from sums over the boxes of a level (see ``choose_levels``).  A box
+and a point inside it meet in exactly one cell: no duplicates, no
+``distinct`` afterwards.
+
+All of that comes from one grouped aggregation over the box side (a row per
+own level).  When its row count and widest row prove the exploded box side
 small, it is broadcast and the point side is never shuffled; otherwise both
-sides are hash-partitioned on the cell and AQE splits hot cells.
+sides are hash-partitioned on the cell (AQE splits hot cells), and a point is
+copied only to levels where a filter of the cells that hold boxes lets it
+through, so that points without a box leave no row.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from planar.plans.session import conf_bytes
+from planar.plans.session import conf_bytes, ship_package
 
 BRANCH = 4          # cell side factor between levels (power of two: exact scaling)
 SPAN = 2            # a box is at most SPAN cells wide on its level
-MAX_LEVELS = 24     # most copies of a point
+FINER = 1           # a box may live this many levels below its own, per axis
+MAX_LEVELS = 256    # most levels on which points look for boxes
+PAIR_LEVELS = 24    # most levels of a box-box join
+HUGE = 1e290
+COPY_COST = 4.0     # a point's copy against one comparison
+FILTER_LEVELS = 4   # levels from which the filter of occupied cells pays
+FILTER_BITS = 27    # its most bits: 16 MB
 
 BROADCAST_CONF = "spark.planar.broadcastBytes"
 DEFAULT_BROADCAST = 32 << 20
@@ -45,69 +53,139 @@ DEFAULT_BROADCAST = 32 << 20
 
 @dataclass(frozen=True)
 class Grid:
-    """Levels ``(lx, ly)`` that hold boxes; ``low``: the finest level of each
-    axis (boxes of size zero live there); ``step``: levels are multiples of
-    it; the extent; rows of each planned side and the widest of all rows."""
+    """``levels``: levels on which points look for boxes; ``home``: the level
+    of each own level's boxes; ``low``: the finest own level of each axis
+    (boxes of size zero have it); ``cells``: bound of the box cells; ``overlap``: boxes over a
+    place of the extent, added up over the own levels' extents.  For
+    box-box joins ``pair_low``, ``step`` and ``pair_levels``: the finest level
+    of each axis, the step between levels, the levels.  Then the extent, rows of each planned side and the widest of all rows."""
 
     x0: float
     y0: float
     x1: float
     y1: float
     low: tuple[int, int]
+    pair_low: tuple[int, int]
     step: tuple[int, int]
+    pair_levels: tuple[tuple[int, int], ...]
     levels: tuple[tuple[int, int], ...]
+    home: dict[tuple[int, int], tuple[int, int]] = field(hash=False)
+    cells: int
+    overlap: float
     counts: tuple[int, ...]
     row_bytes: int = 64
 
     def inside(self, x: Column, y: Column) -> Column:
         return (x >= F.lit(self.x0)) & (x <= F.lit(self.x1)) & (y >= F.lit(self.y0)) & (y <= F.lit(self.y1))
 
-    def level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> tuple[Column, Column]:
+    def pair_level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> tuple[Column, Column]:
         return (
-            _level(xmax - xmin, self.low[0], self.step[0]),
-            _level(ymax - ymin, self.low[1], self.step[1]),
+            _level(xmax - xmin, self.pair_low[0], self.step[0]),
+            _level(ymax - ymin, self.pair_low[1], self.step[1]),
         )
 
-    def point_cells(self, df: DataFrame, x: str, y: str, prefix: str = "_p") -> DataFrame:
-        """One row per (point, level) with ``{prefix}l, {prefix}m, {prefix}x,
-        {prefix}y`` keys.  Points outside the boxes' extent are dropped (they
-        can meet no box)."""
+    def level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+        """The place in ``levels`` of a planned box's level."""
+        own = F.struct(_level(xmax - xmin, self.low[0], 1).alias("x"), _level(ymax - ymin, self.low[1], 1).alias("y"))
+        at = {lv: i for i, lv in enumerate(self.levels)}
+        out = F.when(F.lit(False), F.lit(0))
+        for (lx, ly), lv in self.home.items():
+            out = out.when((own["x"] == lx) & (own["y"] == ly), F.lit(at[lv]))
+        return out
+
+    def _pick(self, axis: int, place: Column) -> Column:
+        return F.get(F.array(*[F.lit(lv[axis]) for lv in self.levels]), place)
+
+    def point_cells(self, df: DataFrame, x: str, y: str, prefix: str = "_p", occupied: Occupied | None = None) -> DataFrame:
+        """One row per (point, level) with ``{prefix}l, {prefix}x, {prefix}y``
+        keys; with ``occupied`` only where the filter finds the cell.  Points
+        outside the boxes' extent are dropped (they can meet no box)."""
         X, Y = F.col(x), F.col(y)
         df = df.where(self.inside(X, Y))
+        if occupied is not None:
+            place = f"{prefix}l"
+            df = df.withColumn(place, F.explode(occupied.levels_of(X, Y)))
+            lx, ly = self._pick(0, F.col(place)), self._pick(1, F.col(place))
+            return df.withColumns({f"{prefix}x": _cell(X, lx), f"{prefix}y": _cell(Y, ly)})
         keys = [
-            F.struct(
-                F.lit(lx).alias(f"{prefix}l"), F.lit(ly).alias(f"{prefix}m"),
-                _cell(X, lx).alias(f"{prefix}x"), _cell(Y, ly).alias(f"{prefix}y"),
-            )
-            for lx, ly in self.levels
+            F.struct(F.lit(i).alias(f"{prefix}l"), _cell(X, lx).alias(f"{prefix}x"), _cell(Y, ly).alias(f"{prefix}y"))
+            for i, (lx, ly) in enumerate(self.levels)
         ]
         return df.select("*", F.inline(F.array(*keys)))
 
-    def box_cells(
-        self, df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, prefix: str = "_b", coarser: bool = False
-    ) -> DataFrame:
-        """One row per (box, covered cell) on the box's own level.
-
-        With ``coarser`` the box is also placed on every combination of
-        coarser levels of the two axes (box-box joins: a pair meets on the
-        coarser level of both, per axis); its own is kept in ``{prefix}n``
-        and ``{prefix}o``.
-        """
-        kl, km, kx, ky = (f"{prefix}{c}" for c in "lmxy")
+    def box_cells(self, df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, prefix: str = "_b") -> DataFrame:
+        """One row per (box, covered cell) on the box's level."""
+        kl, kx, ky = (f"{prefix}{c}" for c in "lxy")
         a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
-        lx, ly = self.level_of(a, b, c, d)
-        if coarser:
-            kn, ko = f"{prefix}n", f"{prefix}o"
-            axes = [sorted({lv[k] for lv in self.levels} | {self.low[k]}) for k in (0, 1)]
-            df = df.withColumns({kn: lx, ko: ly})
-            for col, own, present in ((kl, kn, axes[0]), (km, ko, axes[1])):
-                df = df.withColumn(col, F.explode(_at_least(present, F.col(own))))
-        else:
-            df = df.withColumns({kl: lx, km: ly})
+        df = df.withColumn(kl, self.level_of(a, b, c, d))
+        lx, ly = self._pick(0, F.col(kl)), self._pick(1, F.col(kl))
+        df = df.withColumn(kx, F.explode(F.sequence(_cell(a, lx), _cell(c, lx))))
+        return df.withColumn(ky, F.explode(F.sequence(_cell(b, ly), _cell(d, ly))))
+
+    def pair_cells(self, df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, prefix: str = "_b") -> DataFrame:
+        """One row per (box, covered cell) on the box's own level and every
+        combination of coarser levels of the two axes (a pair meets on the
+        coarser level of both, per axis); its own is kept in ``{prefix}n`` and
+        ``{prefix}o``."""
+        kl, km, kx, ky, kn, ko = (f"{prefix}{c}" for c in "lmxyno")
+        a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
+        lx, ly = self.pair_level_of(a, b, c, d)
+        axes = [sorted({lv[k] for lv in self.pair_levels} | {self.pair_low[k]}) for k in (0, 1)]
+        df = df.withColumns({kn: lx, ko: ly})
+        for col, own, present in ((kl, kn, axes[0]), (km, ko, axes[1])):
+            df = df.withColumn(col, F.explode(_at_least(present, F.col(own))))
         df = df.withColumn(kx, F.explode(F.sequence(_cell(a, F.col(kl)), _cell(c, F.col(kl)))))
         return df.withColumn(ky, F.explode(F.sequence(_cell(b, F.col(km)), _cell(d, F.col(km)))))
 
 
+def _hash_cells(level, cx, cy) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = cx.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + cy.astype(np.int64).view(np.uint64)
+        h = h * np.uint64(0xBF58476D1CE4E5B9) + np.asarray(level).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
+
+
+class Occupied:
+    """Filter of the cells that hold boxes: a bit table with eight bits per
+    cell or more.  It may let an empty cell through, never refuses one that
+    holds a box."""
+
+    def __init__(self, grid: Grid, cells: DataFrame, bits: int, prefix: str = "_b"):
+        ship_package(cells.sparkSession)
+        self.bits, self.sides = bits, [(float(BRANCH) ** lx, float(BRANCH) ** ly) for lx, ly in grid.levels]
+        top = 64 - bits
+
+        @F.pandas_udf("long")
+        def place(level: pd.Series, cx: pd.Series, cy: pd.Series) -> pd.Series:
+            return pd.Series((_hash_cells(level.to_numpy(), cx.to_numpy(), cy.to_numpy()) >> np.uint64(top)).astype(np.int64))
+
+        words = (
+            cells.select(place(f"{prefix}l", f"{prefix}x", f"{prefix}y").alias("p"))
+            .groupBy(F.expr("cast(shiftright(p, 6) as int)").alias("w"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("b"))
+            .toArrow()  # at most 2^(bits - 6) rows
+        )
+        table = np.zeros(1 << (bits - 6), np.int64)
+        table[words["w"].to_numpy()] = words["b"].to_numpy()
+        self.table = cells.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def levels_of(self, x: Column, y: Column) -> Column:
+        sides, top, table = self.sides, np.uint64(64 - self.bits), self.table
+
+        @F.pandas_udf("array<int>")
+        def held(px: pd.Series, py: pd.Series) -> pd.Series:
+            vx, vy, bits = px.to_numpy(), py.to_numpy(), table.value
+            hit = np.zeros((len(vx), len(sides)), bool)
+            for i, (sx, sy) in enumerate(sides):
+                p = _hash_cells(i, np.floor(vx / sx), np.floor(vy / sy)) >> top
+                hit[:, i] = (bits[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+            row, level = np.nonzero(hit)
+            return pd.Series(np.split(level.astype(np.int32), np.searchsorted(row, np.arange(1, len(vx)))) if len(vx) else [])
+
+        return held(x, y)
+
+
 def _at_least(levels: list[int], own: Column) -> Column:
     return F.filter(F.array(*map(F.lit, levels)), lambda v: v >= own)
 
@@ -160,13 +238,14 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
             _width(df, {a, b, c, d}).alias("_w"),
         )
         u = part if u is None else u.unionByName(part)
+    w, h = F.col("_c") - F.col("_a"), F.col("_d") - F.col("_b")
     # Levels of positive sizes; null for size zero.
     raw = lambda v: F.when(v > 0, _level(v, -1000, 1))
     found = (
-        u.groupBy(raw(F.col("_c") - F.col("_a")).alias("lx"), raw(F.col("_d") - F.col("_b")).alias("ly"))
+        u.groupBy(raw(w).alias("lx"), raw(h).alias("ly"))
         .agg(
             F.min("_a").alias("x0"), F.min("_b").alias("y0"), F.max("_c").alias("x1"), F.max("_d").alias("y1"),
-            F.max("_w").alias("w"), *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
+            F.max("_w").alias("w"), F.sum(w).alias("sw"), F.sum(h).alias("sh"), F.sum(w * h).alias("swh"), *[F.count_if(F.col("_s") == i).alias(f"n{i}") for i in range(len(sides))],
         )
         .collect()
     )
@@ -194,17 +273,78 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
             ))
         return out
 
-    levels = rounded()
-    while len(levels) > max(4, MAX_LEVELS):  # steps wide enough leave two per axis
-        k = 0 if len({lv[0] for lv in levels}) >= len({lv[1] for lv in levels}) else 1
+    own: dict[tuple[int, int], np.ndarray] = {}
+    for r in found:
+        k = tuple(max(low[i], r[n]) if r[n] is not None else low[i] for i, n in enumerate(("lx", "ly")))
+        n = sum(r[f"n{i}"] for i in range(len(sides)))
+        own[k] = own.get(k, 0) + np.array([n, r["sw"], r["sh"], r["swh"]], float)
+    spreads = ((r["swh"], (r["x1"] - r["x0"]) * (r["y1"] - r["y0"])) for r in found)
+    overlap = sum(area / spread for area, spread in spreads if 0 < spread < math.inf)
+    home, cells = choose_levels(own, (box[2] - box[0]) * (box[3] - box[1]))
+    pairs = rounded()
+    while len(pairs) > max(4, PAIR_LEVELS):  # steps wide enough leave two per axis
+        k = 0 if len({lv[0] for lv in pairs}) >= len({lv[1] for lv in pairs}) else 1
         step[k] *= 2
-        levels = rounded()
+        pairs = rounded()
+    pair_low = tuple(_round_up(v, s) for v, s in zip(low, step))
     return Grid(
-        *map(float, box), tuple(_round_up(v, s) for v, s in zip(low, step)), tuple(step), tuple(sorted(levels)), counts,
+        *map(float, box), tuple(low), pair_low, tuple(step), tuple(sorted(pairs)), tuple(sorted(set(home.values()))), home, cells, overlap, counts,
         max(r["w"] for r in found),
     )
 
 
+def choose_levels(own: dict, extent: float) -> tuple[dict, int]:
+    """The level on which the boxes of each own level live, and a bound of
+    their cells.
+
+    ``own``: per own level the number of boxes and the sums of widths,
+    heights and areas.  A box of ``w`` by ``h`` on cells of ``a`` by ``b`` is
+    compared with the points of about ``(w + a) * (h + b)``, so comparisons,
+    as areas of points, follow from the sums exactly.  Points are copied to
+    each level over the extent or the area that all boxes compare, whichever
+    is less (a copy costs ``COPY_COST`` comparisons); a box's cells count as
+    copies too, for as many points as boxes.  Levels are given up one by one,
+    best first, while that lowers the sum or more than ``MAX_LEVELS`` are
+    left."""
+    keys = sorted(own)
+    stats = np.array([own[k] for k in keys])
+    top = (max(k[0] for k in keys), max(k[1] for k in keys))
+    levels = sorted({*keys, top})
+    side = np.array([[float(BRANCH) ** v for v in lv] for lv in levels])
+    n, sw, sh, swh = (stats[:, i : i + 1] for i in range(4))
+    a, b = side[:, 0], side[:, 1]
+    rows = np.arange(len(keys))
+    with np.errstate(all="ignore"):
+        area = np.nan_to_num(swh + sw * b + sh * a + n * a * b, nan=HUGE, posinf=HUGE)
+        wide, high, both = (np.nan_to_num(v, nan=HUGE, posinf=HUGE) for v in (sw / a, sh / b, swh / (a * b)))
+        cells = both + wide + high + n
+        most = np.minimum(both + 2 * (wide + high) + 4 * n, n * (SPAN * BRANCH**FINER + 1) ** 2)  # no box covers more
+        reach = area[rows, [levels.index(k) for k in keys]].sum()
+        covered = min(extent, reach) if extent > 0 else reach
+        cost = np.minimum(area + COPY_COST * covered / n.sum() * cells, HUGE)
+    cost[[[k[0] - lv[0] > FINER or k[1] - lv[1] > FINER for lv in levels] for k in keys]] = np.inf
+    left, last = np.ones(len(levels), bool), levels.index(top)
+    while True:
+        masked = np.where(left, cost, np.inf)
+        best = masked.argmin(axis=1)
+        held = np.bincount(best, minlength=len(levels)) > 0
+        left = held | (np.arange(len(levels)) == last)  # no box gains by an empty level
+        first = masked[rows, best]
+        masked = np.where(left, cost, np.inf)
+        masked[rows, best] = np.inf
+        second = masked.min(axis=1)
+        # What a level's boxes cost more elsewhere, against a copy of the points.
+        change = np.bincount(best, np.minimum(second, 2 * HUGE) - first, len(levels)) - COPY_COST * covered
+        change += COPY_COST * covered * (not held[last]) * (np.bincount(best, masked.argmin(axis=1) == last, len(levels)) > 0)
+        change[~held | (np.bincount(best, ~np.isfinite(second), len(levels)) > 0)] = np.inf
+        change[last] = np.inf
+        k = int(change.argmin())
+        if not np.isfinite(change[k]) or (change[k] > 0 and held.sum() <= MAX_LEVELS):
+            break
+        left[k] = False
+    return {k: levels[i] for k, i in zip(keys, best)}, int(most[rows, best].sum()) + 1
+
+
 def _empty(a: DataFrame, b: DataFrame) -> DataFrame:
     """No rows, with the columns of ``a`` followed by those of ``b``."""
     schema = StructType(list(a.schema.fields) + list(b.schema.fields))
@@ -222,7 +362,7 @@ def fits_broadcast(df: DataFrame, rows_bound: int, row_bytes: int) -> bool:
     return limit > 0 and rows_bound * (row_bytes + 64) <= limit
 
 
-HELPERS = ["_bl", "_bm", "_bx", "_by", "_pl", "_pm", "_px", "_py"]
+HELPERS = ["_bl", "_bx", "_by", "_pl", "_px", "_py"]
 
 
 def box_point_join(
@@ -239,7 +379,8 @@ def box_point_join(
 
     ``boxes`` and ``points`` must have disjoint column names.  ``how`` is
     ``inner`` (box columns + point columns) or ``left_anti`` (points with no
-    matching box; ``points`` must be distinct rows).
+    matching box; ``points`` must be distinct rows).  ``grid``: a plan for
+    ``boxes`` or a set that holds them.
     """
     if grid is None:
         grid = plan_grid((boxes, *box))
@@ -248,13 +389,15 @@ def box_point_join(
             return points
         return _empty(boxes, points)
     bc = grid.box_cells(boxes, *box, prefix="_b")
-    keys = (
-        (F.col("_bl") == F.col("_pl")) & (F.col("_bm") == F.col("_pm"))
-        & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
-    )
-    if grid.counts and fits_broadcast(boxes, grid.counts[0] * (SPAN + 1) ** 2, grid.row_bytes):
+    keys = (F.col("_bl") == F.col("_pl")) & (F.col("_bx") == F.col("_px")) & (F.col("_by") == F.col("_py"))
+    occupied = None
+    if fits_broadcast(boxes, grid.cells, grid.row_bytes):
         bc = F.broadcast(bc)
-    pc = grid.point_cells(points, *point, prefix="_p")
+    else:
+        bits = max(12, (8 * grid.cells).bit_length())
+        if len(grid.levels) >= FILTER_LEVELS and bits <= FILTER_BITS:
+            occupied = Occupied(grid, bc, bits)
+    pc = grid.point_cells(points, *point, prefix="_p", occupied=occupied)
     if how == "inner":
         return pc.join(bc, keys & residual, "inner").drop(*HELPERS)
     if how == "left_anti":
@@ -286,8 +429,8 @@ def box_box_join(
         grid = plan_grid((a, *abox), (b, *bbox))
     if grid is None:
         return _empty(a, b)
-    ac = grid.box_cells(a, *abox, prefix="_a", coarser=True)
-    bc = grid.box_cells(b, *bbox, prefix="_b", coarser=True)
+    ac = grid.pair_cells(a, *abox, prefix="_a")
+    bc = grid.pair_cells(b, *bbox, prefix="_b")
     same = F.lit(True)
     for k in "lmxy":
         same = same & (F.col(f"_a{k}") == F.col(f"_b{k}"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from planar.operators.joins import containment_join, containment_lists, heat_map, point_in_box_join
@@ -205,3 +206,131 @@ def test_wide_ids_are_not_broadcast(spark):
     b = boxes_df(spark, [(0, 0, 1, 1), (2, 2, 3, 3)]).selectExpr("repeat('x', 40000000 * int(id = 0) + 1) as id", "x1", "y1", "x2", "y2")
     df = point_in_box_join(b, points_df(spark, [(0.5, 0.5)], with_id=True))
     assert "Broadcast" not in df._jdf.queryExecution().toString().split("== Physical Plan ==")[0]
+
+
+def _levels_of(rnd, m, n):
+    """Boxes of independent widths and heights over ``m`` powers of four."""
+    out = []
+    for _ in range(n):
+        x, y = rnd.uniform(0, 100), rnd.uniform(0, 100)
+        out.append((x, y, x + 10 * 4.0 ** -rnd.uniform(0, m), y + 10 * 4.0 ** -rnd.uniform(0, m)))
+    return out
+
+
+@pytest.mark.parametrize("m", [4, 6, 10, 14])
+@pytest.mark.parametrize("budget", ["32m", "0"])
+def test_work_does_not_grow_with_the_levels(spark, m, budget):
+    """Copies and comparisons per point stay flat with 16 to 196 own levels,
+    broadcast or not."""
+    rnd = random.Random(m)
+    boxes = _levels_of(rnd, m, 2000)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(3000)]
+    spark.conf.set(G.BROADCAST_CONF, budget)
+    try:
+        from planar.functions.geometry import normalize_boxes
+
+        b = normalize_boxes(boxes_df(spark, boxes)).select("id", "xmin", "ymin", "xmax", "ymax")
+        grid = G.plan_grid((b, "xmin", "ymin", "xmax", "ymax"))
+        p = points_df(spark, pts, with_id=True).selectExpr("id as pid", "x as px", "y as py")
+        copies = grid.point_cells(p, "px", "py").count()
+        n, inside = _candidates(spark, boxes, pts)
+    finally:
+        spark.conf.unset(G.BROADCAST_CONF)
+    assert len(grid.home) > m * m / 2
+    assert copies <= 4 * len(pts)
+    assert n <= 8 * inside + G.COPY_COST * 2 * copies
+    want = sum(1 for x, y in pts for a, c, e, d in boxes if a < x < e and c < y < d)
+    assert inside == want
+
+
+def test_dense_fixture_makes_few_copies(spark):
+    from planar.functions.geometry import normalize_boxes
+    from planar.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.1"
+    b = normalize_boxes(fx.boxes_emb(spark, sf)).select("id", "xmin", "ymin", "xmax", "ymax")
+    grid = G.plan_grid((b, "xmin", "ymin", "xmax", "ymax"))
+    p = fx.points_emb(spark, sf).selectExpr("id as pid", "x as px", "y as py")
+    assert grid.point_cells(p, "px", "py").count() <= 3 * p.count()
+
+
+def test_filter_of_occupied_cells(spark, monkeypatch):
+    """Many levels on the shuffle path: points are copied only where a box
+    may be, and no match is lost."""
+    from planar.functions.geometry import normalize_boxes, point_in_box
+
+    monkeypatch.setattr(G, "COPY_COST", 0.0)  # keep every level
+    rnd = random.Random(30)
+    boxes = _levels_of(rnd, 8, 400)
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(2000)]
+    b = normalize_boxes(boxes_df(spark, boxes)).select("id", "xmin", "ymin", "xmax", "ymax")
+    p = points_df(spark, pts, with_id=True).selectExpr("id as pid", "x as px", "y as py")
+    grid = G.plan_grid((b, "xmin", "ymin", "xmax", "ymax"))
+    assert len(grid.levels) > 30
+    cells = grid.box_cells(b, "xmin", "ymin", "xmax", "ymax")
+    bits = max(12, (8 * grid.cells).bit_length())
+    kept = grid.point_cells(p, "px", "py", occupied=G.Occupied(grid, cells, bits)).count()
+    assert kept < grid.point_cells(p, "px", "py").count() / 3
+    spark.conf.set(G.BROADCAST_CONF, "0")
+    try:
+        got = G.box_point_join(b, p, point_in_box("px", "py", "xmin", "ymin", "xmax", "ymax"), grid=grid)
+        got = sorted((r.pid, r.id) for r in got.collect())
+    finally:
+        spark.conf.unset(G.BROADCAST_CONF)
+    want = sorted((i, j) for i, (x, y) in enumerate(pts) for j, (a, c, e, d) in enumerate(boxes) if a < x < e and c < y < d)
+    assert got == want
+
+
+def _nested(spark, boxes, pts, leaf):
+    from planar.functions.geometry import normalize_boxes
+    from planar.plans.nested import BOX, nested_counts
+
+    b = normalize_boxes(boxes_df(spark, boxes)).select(*BOX)
+    grid = G.plan_grid((b, *BOX))
+    w = points_df(spark, pts).groupBy("x", "y").count().toDF("px", "py", "w")
+    return {tuple(r)[:4]: r["n"] for r in nested_counts(b.distinct(), w, grid, leaf).collect()}
+
+
+@pytest.mark.parametrize("leaf", [1, 5, 64])
+def test_nested_counts(spark, leaf):
+    rnd = random.Random(leaf)
+    boxes = _random_boxes(rnd, 40, 40) + [(0, 0, 64, 64), (16, 16, 32, 48), (-5, -5, 200, 200), (7, 7, 7, 9)]
+    pts = [(rnd.choice([rnd.uniform(0, 100), float(rnd.randrange(0, 100, 4))]), rnd.choice([rnd.uniform(0, 100), 16.0, 48.0])) for _ in range(1500)]
+    pts += [(20.0, 20.0)] * 300 + [(16.0, 16.0)] * 50 + [(20.0 + i * 1e-9, 20.0) for i in range(200)]
+    want = {}
+    for box in boxes:
+        a, c, e, d = brute.norm(box)
+        n = sum(1 for x, y in pts if a < x < e and c < y < d)
+        if n:
+            want[(a, c, e, d)] = n
+    assert _nested(spark, boxes, pts, leaf) == want
+
+
+def test_heat_map_of_large_boxes_by_nested_counts(spark, monkeypatch):
+    """Boxes that cover half the points: far fewer rows than matches."""
+    from planar.plans import nested as N
+
+    rnd = random.Random(50)
+    boxes = [(x, y, x + 70.7, y + 70.7) for x, y in ((rnd.uniform(0, 29), rnd.uniform(0, 29)) for _ in range(60))]
+    pts = [(rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(60_000)]
+    met = []
+    plain = N.point_in_box
+    monkeypatch.setattr(N, "point_in_box", lambda *a, **k: met.append(1) or plain(*a, **k))
+    b, p = boxes_df(spark, boxes), points_df(spark, pts)
+    got = {r.id: r.n for r in heat_map(b, p, nest_matches=1.0).collect()}
+    assert met, "the nested path was not taken"
+    x, y = np.array(pts).T
+    assert got == {i: int(((a < x) & (x < e) & (c < y) & (y < d)).sum()) for i, (a, c, e, d) in enumerate(boxes)}
+    rows = []
+    keep = N.DataFrame.join
+
+    def join(self, *a, **k):
+        out = keep(self, *a, **k)
+        rows.append(out)
+        return out
+
+    monkeypatch.setattr(N.DataFrame, "join", join)
+    heat_map(b, p, nest_matches=1.0)
+    monkeypatch.setattr(N.DataFrame, "join", keep)
+    joined = sum(r.count() for r in rows if "xmin" in r.columns and "id" not in r.columns)
+    assert joined < sum(got.values()) / 5

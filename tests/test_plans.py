@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from planar.operators import closest as C
+from planar.operators import hull as H
+from planar.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,8 +36,11 @@ def test_closest_pair_grid_is_an_equi_join(spark, monkeypatch):
 
 def test_hull_moves_only_partial_hulls(spark):
     plan = _executed(E.queries()["convex_hull_line"](spark, SF))
-    assert plan.count("MapInPandas") >= 2  # partial per partition, then final
+    # The partitions' hulls are written first; the final step reads them.
+    assert plan.count("MapInPandas") == 1 and "FileScan" not in plan
     assert "RoundRobinPartitioning(1)" in plan or "SinglePartition" in plan
+    points = fx.points_line(spark, SF)
+    assert H._candidates(points, "x", "y").count() < points.count() / 10
 
 
 def _brute_closest(pts):
