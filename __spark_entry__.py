@@ -10,6 +10,7 @@ box views of FIXTURES.md are inlined as CTEs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,10 @@ from planar.operators.joins import containment_join, containment_lists, heat_map
 from planar.operators.range_query import range_query
 from planar.operators.stats import distinct_points, extent
 from planar.operators.union import box_union_vertices
+from planar.plans.session import ensure_checkpoint_dir
 from planar.sources import fixtures as fx
 from planar.sources.fixtures import with_views
-from planar.sources.text import one_part, parse_boxes, read_boxes, read_points, split_rejects
+from planar.sources.text import ingest, one_part, parse_boxes, read_boxes, read_points, write_lines
 
 # The training-data operators are optional: without their folder (and the
 # pipeline built on it) everything else still works.
@@ -83,30 +85,43 @@ def _as_lines(spark: SparkSession, d: str, view: str, cols: list[str], sep: str
 _BOX_FIELDS = ["id", "x1", "y1", "x2", "y2"]
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _as_file(spark: SparkSession, lines: DataFrame) -> str:
+    """The lines as text files."""
+    path = _fresh(spark, "text")
+    write_lines(lines, path)
+    return path
+
+
 def _text_range(spark, d):
-    return range_query(read_boxes(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS)), WINDOW_PART)
+    return range_query(read_boxes(spark, _as_file(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS))), WINDOW_PART)
 
 
 def _text_heat(spark, d):
-    boxes = read_boxes(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS))
-    return heat_map(boxes, read_points(spark, _as_lines(spark, d, "points_ev", ["id", "x", "y"])))
+    boxes = read_boxes(spark, _as_file(spark, _as_lines(spark, d, "boxes_part", _BOX_FIELDS)))
+    return heat_map(boxes, read_points(spark, _as_file(spark, _as_lines(spark, d, "points_ev", ["id", "x", "y"]))))
 
 
 def _text_boxes_id_first(spark, d):
     """Box lines with the id in field 0 and blanks around every field."""
     lines = _as_lines(spark, d, "boxes_emb", _BOX_FIELDS, lead=False, pad="  ")
-    return read_boxes(spark, lines, id_col=0, first_coord=1)
+    return read_boxes(spark, _as_file(spark, lines), id_col=0, first_coord=1)
 
 
 def _text_points(spark, d):
     """Plain ``x, y`` lines."""
     lines = _as_lines(spark, d, "points_part", ["x", "y"], sep=", ", lead=False)
-    return read_points(spark, lines, sep=", ", x_col=0, y_col=1)
+    return read_points(spark, _as_file(spark, lines), sep=", ", x_col=0, y_col=1)
 
 
 def _text_rejects(spark, d):
-    """Box lines of which some lost a field, a number or their id: how many
-    are good, and the rejected lines."""
+    """Box lines of which some lost a field, a number or their id, read from
+    files and written in one pass as good rows and rejects: the ids of the
+    good ones, and the rejected lines."""
     v = F.col("value")
     n = F.split(v, ",")[1].cast("long")
     broken = (
@@ -114,7 +129,7 @@ def _text_rejects(spark, d):
         .when(n % 5 == 2, F.regexp_replace(v, "^0,[^,]*", "0, ")).otherwise(v)
     )
     lines = _as_lines(spark, d, "boxes_part", _BOX_FIELDS).select(broken.alias("value"))
-    good, bad = split_rejects(parse_boxes(spark, lines))
+    good, bad = ingest(parse_boxes(spark, _as_file(spark, lines)), _fresh(spark, "boxes"))
     return good.select(F.lit("good").alias("kind"), F.col("id").alias("line")).unionByName(
         bad.select(F.lit("bad").alias("kind"), "line")
     )
@@ -192,7 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"hull_chains_{name}"] = lambda s, d, v=view: hull_chains(v(s, d))
     q["farthest_pair_ord"] = lambda s, d: farthest_pair(fx.points_ord(s, d))
     q["point_in_box_join_dense"] = lambda s, d: point_in_box_join(fx.boxes_emb(s, d), fx.points_emb(s, d))
-    # Text sources: the views as delimited lines, parsed back.
+    # Text sources: the views written as delimited lines, read and parsed back.
     q["text_range_query"] = _text_range
     q["text_heat_map"] = _text_heat
     q["text_boxes_id_first"] = _text_boxes_id_first

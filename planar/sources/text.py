@@ -51,6 +51,16 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def ingest(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write parsed lines below ``path`` in one pass, good rows and rejected
+    lines apart, and return both as read from there: ``(good, rejects)`` as
+    by ``split_rejects``.  The text is read and parsed once; a rerun replaces
+    what an earlier one wrote."""
+    rows = parsed.withColumn("line", F.when(~F.col("_good"), F.col("line")))
+    rows.write.mode("overwrite").partitionBy("_good").parquet(path)
+    return split_rejects(parsed.sparkSession.read.schema(rows.schema).parquet(path))
+
+
 def _finish(parsed: DataFrame, on_error: str) -> DataFrame:
     if on_error == "reject":
         return split_rejects(parsed)[0]

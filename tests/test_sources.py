@@ -89,3 +89,23 @@ def test_text_to_heat_map_lines(spark, scratch):
     lists = containment_lists(read_boxes(spark, probes, id_col=0, first_coord=1), read_boxes(spark, boxes))
     got = sorted(r.line for r in render.format_join(lists).collect())
     assert got == ["q1: r1,r2", "q2: r1", "q3: "]
+
+
+def test_ingest_writes_good_rows_and_rejects_in_one_pass(spark, scratch):
+    import os
+
+    from planar.sources.text import ingest, parse_boxes
+
+    path = os.path.join(scratch, "in")
+    lines = ["0,a,1,2,3,4", "0,b,1,2,3", "junk", "", "0,,1,2,3,4", "0,c,1,nan,3,4", "0, d , 5,6,7,8,extra"]
+    spark.createDataFrame([(v,) for v in lines], "value string").repartition(3).write.text(path)
+    out = os.path.join(scratch, "out")
+    for _ in range(2):  # a rerun replaces the rows
+        good, bad = ingest(parse_boxes(spark, path), out)
+        assert sorted(tuple(r) for r in good.collect()) == [("a", 1.0, 2.0, 3.0, 4.0), ("d", 5.0, 6.0, 7.0, 8.0)]
+        assert sorted(r.line for r in bad.collect()) == sorted(["0,b,1,2,3", "junk", "", "0,,1,2,3,4", "0,c,1,nan,3,4"])
+    # The rows come from the folder, each kind from its own part of it.
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "FileScan parquet" in plan and "FileScan text" not in plan
+    good, bad = ingest(parse_boxes(spark, spark.createDataFrame([], "value string")), os.path.join(scratch, "none"))
+    assert good.count() == bad.count() == 0
