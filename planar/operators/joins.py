@@ -20,6 +20,7 @@ from planar.plans.session import ensure_checkpoint_dir
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _EXTENT_BYTES = 64  # four doubles and their cell key
+RUN_ROWS = 1 << 16   # ids of a list that are sorted in one group
 NEST_OVERLAP = 8.0   # boxes over a place from which nested counts may pay
 NEST_MATCHES = 3e7   # expected matches from which they do
 
@@ -118,6 +119,23 @@ def containment_join(
     return box_point_join(b, q, cond, point=("qx1", "qy1")).select("probe_id", "box_id")
 
 
+def _numbered(b: DataFrame, size: int) -> DataFrame:
+    """Boxes with ``_run``: their place in (xmin, id) order divided by
+    ``size``, from one sort and a table of the rows before each partition."""
+    at = F.col("_at")
+    s = b.sort("xmin", "box_id").withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    part, place = F.shiftright(at, 33), at.bitwiseAND(F.lit((1 << 33) - 1))
+    total, table = 0, []
+    for r in sorted(s.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):  # one row per partition
+        table.append((r["part"], total))
+        total += r["count"]
+    before = F.broadcast(b.sparkSession.createDataFrame(table, "_part long, _before long"))
+    return (
+        s.join(before, part == F.col("_part"))
+        .withColumn("_run", F.floor((F.col("_before") + place) / size)).drop("_at", "_part", "_before")
+    )
+
+
 def containment_lists(
     probes: DataFrame,
     boxes: DataFrame,
@@ -125,27 +143,40 @@ def containment_lists(
     box_id: str = "id",
     probe_corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
     box_corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
+    run_rows: int = RUN_ROWS,
 ) -> DataFrame:
     """One row per probe row: ``(id, ids)`` with the ids of the boxes that
     strictly contain it, comma-joined in ascending (box xmin, box id) order;
     empty when none.
 
     Lists depend only on the probe's corners, so they are computed once per
-    distinct corner tuple and joined back to all probe rows.
+    distinct corner tuple and joined back to all probe rows.  Lists longer
+    than ``run_rows`` can only occur among more boxes than that; then boxes
+    are numbered in list order, and a list is put together from runs of
+    ``run_rows`` numbers: a probe inside very many boxes is sorted in groups
+    of at most that many, and only the finished runs meet in its row.
     """
     x1, y1, x2, y2 = probe_corners
     dq = _probes(probes.select(*probe_corners), probe_corners).distinct()
     b = _boxes(boxes, *box_corners).select(F.col(box_id).alias("box_id"), *_BOX)
+    grid = plan_grid((b, *_BOX))
     cond = box_in_box("qx1", "qy1", "qx2", "qy2", *_BOX)
-    pairs = box_point_join(b, dq, cond, point=("qx1", "qy1"))
-    lists = pairs.groupBy("qx1", "qy1", "qx2", "qy2").agg(
-        F.array_sort(F.collect_list(F.struct("xmin", "box_id"))).alias("_l")
+    key = ["qx1", "qy1", "qx2", "qy2"]
+    text = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("xmin", "box_id"))), lambda s: s["box_id"].cast("string")), ","
     )
+    if grid is None or grid.counts[0] <= run_rows:
+        lists = box_point_join(b, dq, cond, point=("qx1", "qy1"), grid=grid).groupBy(*key).agg(text.alias("_l"))
+    else:
+        ensure_checkpoint_dir(probes.sparkSession)
+        pairs = box_point_join(_numbered(b, run_rows), dq, cond, point=("qx1", "qy1"), grid=replace(grid, row_bytes=grid.row_bytes + 8))
+        runs = pairs.groupBy(*key, "_run").agg(text.alias("_l"))
+        whole = F.array_sort(F.collect_list(F.struct("_run", "_l")))
+        lists = runs.groupBy(*key).agg(F.array_join(F.transform(whole, lambda s: s["_l"]), ",").alias("_l"))
     on = (
         (F.col(x1) == F.col("qx1")) & (F.col(y1) == F.col("qy1"))
         & (F.col(x2) == F.col("qx2")) & (F.col(y2) == F.col("qy2"))
     )
-    ids = F.array_join(F.transform("_l", lambda s: s["box_id"].cast("string")), ",")
     return probes.join(lists, on, "left").select(
-        F.col(probe_id).alias("id"), F.coalesce(ids, F.lit("")).alias("ids")
+        F.col(probe_id).alias("id"), F.coalesce("_l", F.lit("")).alias("ids")
     )

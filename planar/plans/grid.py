@@ -234,7 +234,7 @@ def plan_grid(*sides: tuple[DataFrame, str, str, str, str]) -> Grid | None:
     u = None
     for i, (df, a, b, c, d) in enumerate(sides):
         part = df.select(
-            F.lit(i).alias("_s"), F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(c).alias("_c"), F.col(d).alias("_d"),
+            F.lit(i).alias("_s"), *[F.col(v).cast("double").alias(n) for v, n in ((a, "_a"), (b, "_b"), (c, "_c"), (d, "_d"))],
             _width(df, {a, b, c, d}).alias("_w"),
         )
         u = part if u is None else u.unionByName(part)

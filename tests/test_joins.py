@@ -334,3 +334,36 @@ def test_heat_map_of_large_boxes_by_nested_counts(spark, monkeypatch):
     monkeypatch.setattr(N.DataFrame, "join", keep)
     joined = sum(r.count() for r in rows if "xmin" in r.columns and "id" not in r.columns)
     assert joined < sum(got.values()) / 5
+
+
+@pytest.mark.parametrize("size", [1, 7, 60])
+def test_containment_lists_in_runs(spark, size):
+    """More boxes than a run: lists put together from runs are the same."""
+    rnd = random.Random(size)
+    boxes = _random_boxes(rnd, 150, 60)
+    boxes += boxes[:5] + [(0, 0, 100, 100)] * 20  # equal xmin, ids decide
+    probes = [(x, y, x + 1, y - 1) for x, y in ((rnd.uniform(0, 100), rnd.uniform(0, 100)) for _ in range(80))]
+    probes += probes[:3] + [(-50, -50, -49, -49)]
+    b, q = boxes_df(spark, boxes).repartition(5), boxes_df(spark, probes)
+    want = {r.id: r.ids for r in containment_lists(q, b).collect()}
+    assert {r.id: r.ids for r in containment_lists(q, b, run_rows=size).collect()} == want
+    assert want[len(probes) - 1] == "" and max(v.count(",") for v in want.values()) > 40
+
+
+def test_a_probe_in_very_many_boxes(spark):
+    n, size = 200_000, 10_000
+    boxes = spark.range(n).selectExpr("id", "-1d - id as x1", "-1d as y1", "1d + id as x2", "1d as y2")
+    probe = boxes_df(spark, [(0, 0, 0.5, 0.5)])
+    ids = containment_lists(probe, boxes, run_rows=size).first().ids.split(",")
+    assert ids == [str(i) for i in range(n - 1, -1, -1)]
+    from planar.operators.joins import _numbered
+
+    b = boxes.selectExpr("id as box_id", "x1 as xmin", "y1 as ymin", "x2 as xmax", "y2 as ymax")
+    runs = _numbered(b, size).groupBy("_run").count().collect()
+    assert sorted((r["_run"], r["count"]) for r in runs) == [(i, size) for i in range(n // size)]
+
+
+def test_decimal_corners(spark):
+    b = boxes_df(spark, BOXES).selectExpr("id", *[f"cast({c} as decimal(12, 3)) as {c}" for c in ("x1", "y1", "x2", "y2")])
+    got = {r.id: r.ids for r in containment_lists(boxes_df(spark, PROBES), b).collect()}
+    assert got == {0: "0,2", 1: "", 2: "0,2", 3: "", 4: "0,2,1", 5: "0,2"}
