@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planar.plans.session import ensure_checkpoint_dir, ship_package
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+TEXT_BATCH, UNSET = "2m", "1b"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in workers and the checkpoint folder known."""
+    """Make the package importable in workers and the checkpoint folder known,
+    and hold Arrow batches to ``TEXT_BATCH`` where the session names no size:
+    ten thousand long texts at once (the usual limit) would fill a worker."""
     ship_package(spark)
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(BATCH_BYTES, UNSET) == UNSET:
+        spark.conf.set(BATCH_BYTES, TEXT_BATCH)
+
+
+def tidy_worker() -> None:
+    """Give back what earlier tasks and stages left in this Python worker:
+    workers are used again, and Arrow keeps the memory of past batches."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,11 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import BitTable, prepare, utf8
+from planar.llm.common import BitTable, prepare, tidy_worker, utf8
 
 WINDOW, GRAM = 64, 16
 NAME_BITS, TEXT_BITS = 25, 24
@@ -107,6 +108,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(pos, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64()))], names=["key", "pos", "name"]
         )
+    tidy_worker()
 
 
 def _spread(x: Column) -> Column:
@@ -172,46 +174,63 @@ def _ranks(rows: DataFrame, keys: list[str], counts: dict[str, Column], names: d
     return s.mapInArrow(run, ", ".join(f"{c} long" for c in out))
 
 
-def _led(strings: DataFrame) -> DataFrame:
-    """Symbols with the two that follow (0 past the end)."""
-    w = Window.partitionBy("sid", "b").orderBy("i")
-    return strings.select("sid", "b", "i", "c", F.lead("c", 1, 0).over(w).alias("c1"), F.lead("c", 2, 0).over(w).alias("c2"))
+TRIPLE = ["c", "c1", "c2"]
 
 
-TRIPLE = ["c", "c1", "c2"]
+def _symbol(names: str, place: Column) -> Column:
+    return F.coalesce(F.get(F.col(names), place), F.lit(0).cast("long"))
+
 
+def _spelled(strings: DataFrame, more: dict[str, Column]) -> DataFrame:
+    """A row per symbol: its place ``k`` beside the string's own columns, and
+    ``more`` columns over these."""
+    rows = strings.withColumn("k", F.explode(F.sequence(F.lit(0), F.size("name") - 1)))
+    k = F.col("k")
+    return rows.select("sid", "b", k.cast("long").alias("i"), _symbol("name", k).alias("c"), _symbol("name", k + 1).alias("c1"),
+                       *[c.alias(n) for n, c in more.items()])
 
-def suffix_ranks(triples: DataFrame, levels: int = 1) -> DataFrame:
-    """``(sid, b, i, rank)`` for strings ``(sid, b)`` given as ``(sid, b, i, c,
-    c1, c2)``: each symbol ``c > 0`` at ``i = 0, 1, ...`` with the two that
-    follow (0 past the end).  The rank is one plus the number of smaller
-    suffixes.
+
+def suffix_ranks(strings: DataFrame, levels: int = 1, more: dict[str, Column] | None = None) -> DataFrame:
+    """``(sid, b, i, rank)`` for strings ``(sid, b, name)``: ``name`` holds the
+    symbols, all positive, at least one.  The rank is one plus the number of
+    smaller suffixes.  ``more``: further columns of the result, over a
+    string's columns and the symbol's place ``k``; rows in which all of them
+    are null may be left out.
 
     Suffixes are told apart over ``3 ** (levels + 1)`` symbols and more; equal
     ones share a rank, and so may some that differ only further on.
-    ``triples`` is read several times and should be cheap to read again.
+    ``strings`` is read several times and should be cheap to read again.
     """
+    more = more or {}
     one = {"n": F.lit(1)}
+    out = ["sid", "b", "i", *more]
+    triples = _spelled(strings, {"c2": _symbol("name", F.col("k") + 2)} | (more if levels == 0 else {}))
     if levels == 0:
         order = _ranks(triples, TRIPLE, one, {"n": "rank"})
-        return triples.join(order, TRIPLE).select("sid", "b", "i", (F.col("rank") + 1).alias("rank"))
+        return triples.join(order, TRIPLE).select(*out, (F.col("rank") + 1).alias("rank"))
     sample = triples.where("i % 3 <> 0")
     named = sample.join(_ranks(sample, TRIPLE, one, {"n": "name"}), TRIPLE)
     # Each residue's triples are a string of names of its own.
-    upper = named.select("sid", F.expr("3 * b + i % 3").alias("b"), F.expr("i div 3").alias("i"), (F.col("name") + 1).alias("c"))
-    upper = _led(upper).checkpoint()
+    upper = (
+        named.select("sid", F.expr("3 * b + i % 3").alias("b"), F.struct(F.col("i"), (F.col("name") + 1).alias("c")).alias("x"))
+        .groupBy("sid", "b").agg(F.array_sort(F.collect_list("x")).alias("x"))
+        .select("sid", "b", F.col("x.c").alias("name")).checkpoint()
+    )
     del sample, named
     _tidy(upper)
-    r = suffix_ranks(upper, levels - 1).select(
-        "sid", F.expr("b div 3").alias("b"), F.expr("3 * i + b % 3").alias("i"), F.col("rank").alias("r")
-    )
-    w = Window.partitionBy("sid", "b").orderBy("i")
-    u = (
-        triples.drop("c2").join(r, ["sid", "b", "i"], "left")
-        .select("*", F.lead("r", 1, 0).over(w).alias("r1"), F.lead("r", 2, 0).over(w).alias("r2"))
-        .checkpoint()
+    # The sampled places' ranks, in order: those of i are at 2 * (i / 3) + i % 3 - 1.
+    ranks = (
+        suffix_ranks(upper, levels - 1)
+        .select("sid", F.expr("b div 3").alias("b"), F.struct(F.expr("3 * i + b % 3").alias("i"), F.col("rank").alias("r")).alias("x"))
+        .groupBy("sid", "b").agg(F.array_sort(F.collect_list("x")).alias("x")).select("sid", "b", F.col("x.r").alias("ranks"))
     )
-    del r, upper
+    k = F.col("k")
+    at = lambda p: _symbol("ranks", F.floor(p / 3).cast("int") * 2 + p % 3 - 1)
+    sampled = lambda p: F.when(p % 3 != 0, at(p))
+    u = _spelled(
+        strings.join(ranks, ["sid", "b"], "left"), {"r": sampled(k), "r1": sampled(k + 1), "r2": sampled(k + 2)} | more
+    ).checkpoint()
+    del ranks, upper
     _tidy(u)
     m = F.col("i") % 3
     zero, first, second = u.where(m == 0), u.where(m == 1), u.where(m == 2)
@@ -220,7 +239,11 @@ def suffix_ranks(triples: DataFrame, levels: int = 1) -> DataFrame:
     k1, k2 = ["c", "r1"], ["c", "c1", "r2"]
     g1 = _ranks(u.where(m != 2), k1, {"n0": (m == 0).cast("int"), "n1": (m == 1).cast("int")}, {"n0": "z", "n1": "o"})
     g2 = _ranks(u.where(m != 1), k2, {"n0": (m == 0).cast("int"), "n2": (m == 2).cast("int")}, {"n0": "z2", "n2": "s"})
-    out = ["sid", "b", "i"]
+    if more:  # the ranks of rows that nobody asks about need no join
+        asked = F.lit(False)
+        for n in more:
+            asked = asked | F.col(n).isNotNull()
+        zero, first, second = (x.where(asked) for x in (zero, first, second))
     return (
         zero.join(g1, k1).join(g2, k2).select(*out, (F.col("z") + F.col("o") + F.col("s") + 1).alias("rank"))
         .unionByName(first.join(g1, k1).select(*out, (F.col("r") + F.col("z")).alias("rank")))
@@ -261,23 +284,13 @@ def _tidy(df: DataFrame) -> DataFrame:
 def candidates(runs: DataFrame, length: int, levels: int) -> DataFrame:
     """``(key, cands)``: the borders whose neighbour in suffix order begins
     with the same phrases, as ``(before, pos)``."""
-    need = reach(length)
-    symbols = runs.select(
-        "sid", "pos", F.posexplode(F.arrays_zip(
-            F.col("name").alias("c"), F.expr("slice(name, 2, size(name))").alias("c1"), F.expr("slice(name, 3, size(name))").alias("c2"),
-        )).alias("i", "t"),
-    )
-    triples = symbols.select(
-        "sid", F.lit(0).cast("long").alias("b"), F.col("i").cast("long").alias("i"), "t.c",
-        F.coalesce("t.c1", F.lit(0).cast("long")).alias("c1"), F.coalesce("t.c2", F.lit(0).cast("long")).alias("c2"),
-    )
-    ranked = suffix_ranks(triples, levels)
-    # Three phrases lie within reach of every owner.
-    three = symbols.where(f"get(pos, i + 3) - get(pos, i) <= {need}").select(
-        "sid", F.col("i").cast("long").alias("i"), F.xxhash64("t.c", "t.c1", "t.c2").alias("three")
-    )
+    # Three phrases lie within reach of every owner; other places need no rank.
+    k = F.col("k")
+    close = F.get(F.col("pos"), k + 3) - F.get(F.col("pos"), k) <= reach(length)
+    three = F.when(close, F.xxhash64(*[_symbol("name", k + j) for j in range(3)]))
+    ranked = suffix_ranks(runs.select("sid", F.lit(0).cast("long").alias("b"), "name", "pos"), levels, {"three": three})
     near = (
-        three.join(ranked.drop("b"), ["sid", "i"]).select("sid", "i", "rank", "three").sort("rank", "sid")
+        ranked.where("three is not null").select("sid", "i", "rank", "three").sort("rank", "sid")
         .mapInArrow(_near, "sid long, i long")
     )
     at = (
@@ -288,7 +301,7 @@ def candidates(runs: DataFrame, length: int, levels: int) -> DataFrame:
         )).alias("cands"))
     )
     out = at.groupBy("key").agg(F.flatten(F.collect_list("cands")).alias("cands")).checkpoint()
-    del symbols, triples, ranked, three, near, at
+    del ranked, near, at
     return _tidy(out)
 
 
@@ -300,23 +313,31 @@ def _strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide, narrow = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
         for batch in batches:
-            uid, bufs, cands = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
-            cols: list[list] = [[] for _ in range(5)]
+            uid, bufs, cands = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
+            flat, first = cands.flatten(), np.r_[0, np.cumsum(cands.value_lengths().to_numpy())]
+            before, at = (flat.field(c).to_numpy() for c in ("before", "pos"))
+            size = np.repeat(pc.binary_length(bufs).to_numpy(), np.diff(first))
+            lo = np.where(before >= 0, np.maximum(before - WINDOW + 2, 0), 0)
+            hi = np.minimum(size - length, at - WINDOW + 1)
+            some = hi >= lo
+            core, whole = [], []
             for r in range(batch.num_rows):
+                pick = slice(first[r], first[r + 1])
+                keep = some[pick]
+                if not keep.any():
+                    continue
                 buf = bufs[r].as_py()
-                for c in cands[r].as_py():
-                    at = c["pos"]
-                    lo = max(0, c["before"] - WINDOW + 2) if c["before"] >= 0 else 0
-                    hi = min(len(buf) - length, at - WINDOW + 1)
-                    if hi < lo:
-                        continue
-                    cols[0].append(uid[r])
-                    cols[1].append(lo)
-                    cols[2].append(hi)
-                    cols[3].append(narrow(buf[at - WINDOW + 1 : at + length - 2 * WINDOW + 2]) >> 1)
-                    cols[4].append(wide(buf[lo : hi + length], hi - lo))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["uid", "lo", "hi", "core", "whole"])
+                for p, a, b in zip(at[pick][keep].tolist(), lo[pick][keep].tolist(), hi[pick][keep].tolist()):
+                    core.append(narrow(buf[p - WINDOW + 1 : p + length - 2 * WINDOW + 2]) >> 1)
+                    whole.append(wide(buf[a : b + length], b - a))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(uid, np.diff(first))[some], pa.int64()), pa.array(lo[some].astype(np.int32)),
+                    pa.array(hi[some].astype(np.int32)), pa.array(core, pa.int64()), pa.array(whole, pa.binary()),
+                ],
+                names=["uid", "lo", "hi", "core", "whole"],
+            )
+        tidy_worker()
 
     return run
 
@@ -371,6 +392,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.binary())))],
             names=["key", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
+    tidy_worker()
 
 
 def _key(sha: Column) -> Column:

@@ -54,8 +54,8 @@ def test_borders_in_slices(monkeypatch):
 
 
 def strings_df(spark, strings):
-    rows = [(u, 0, i, *(s[i:] + [0, 0])[:3]) for u, s in enumerate(strings) for i in range(len(s))]
-    return spark.createDataFrame(rows, "sid long, b long, i long, c long, c1 long, c2 long")
+    rows = [(u, 0, list(s)) for u, s in enumerate(strings) if len(s)]
+    return spark.createDataFrame(rows, "sid long, b long, name array<long>")
 
 
 @pytest.mark.parametrize("levels", [0, 1, 2])
@@ -143,6 +143,8 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     want, _ = brute([r["text"] for r in docs])
-    got = {r["doc_id"]: tuple(r)[1:] for r in op7_suffix_dedup(spark, sf).collect()}
+    rows = op7_suffix_dedup(spark, sf).collect()
+    assert all(r["has_repeats"] == (r["n_removed"] > 0) for r in rows)
+    got = {r["doc_id"]: tuple(r)[1:5] for r in rows}
     assert got == {r["doc_id"]: w for r, w in zip(docs, want)}
     assert sum(w[1] for w in want) > 0
