@@ -20,9 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import prepare, utf8
+from planar.llm.common import prepare, tidy_worker, utf8
 
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 120_000
+FORGET = 20  # parts encoded beside a full memory, as a multiple of it, before it starts anew
 SPECIAL = "<|"
 UNSAFE = re.compile(r" (?:\s|$)")
 SAFE_CUT = re.compile(r" (?=\S)")
@@ -42,7 +43,7 @@ class WordEncoder:
 
     The tokenizer's pattern never joins a space to what stands before it, so
     a text may be cut before any space that a non-space follows; the ids of
-    the parts are remembered (up to ``MEMO_ENTRIES`` parts).  New parts are
+    the parts are remembered (the first ``MEMO_ENTRIES`` parts).  New parts are
     encoded with the tokenizer's own vocabulary and merges (ids of a
     byte-level vocabulary are in merge order) by the faster of the two
     installed encoders; texts that may hold a special token's string go
@@ -53,18 +54,24 @@ class WordEncoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        letters = _byte_letters()
-        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
-        ranks = {bytes(letters[c] for c in t): i for t, i in self.tok.get_vocab().items() if t not in special}
+        self.path, self.whole = path, None
+        tok, letters = Tokenizer.from_file(path), _byte_letters()
+        special = {t.content for t in tok.get_added_tokens_decoder().values()}
+        ranks = {bytes(letters[c] for c in t): i for t, i in tok.get_vocab().items() if t not in special}
+        del tok
         self.encode = tiktoken.Encoding(
             "parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self.memo: dict[str, bytes] = {}
+        self.missed = 0
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            if self.whole is None:  # few texts need it
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(self._parts(p) for p in _slices(text))
 
     def _parts(self, text: str) -> bytes:
@@ -75,13 +82,19 @@ class WordEncoder:
             words = text.split(" ")
         memo, encode = self.memo, self.encode
         rest = words[1:]  # each stands for itself after a space
-        new = set(rest).difference(memo)
-        if len(memo) + len(new) > MEMO_ENTRIES:
+        new = {w: array("I", encode(" " + w)).tobytes() for w in set(rest).difference(memo)}
+        if len(memo) + len(new) <= MEMO_ENTRIES:
+            memo.update(new)
+            ids = map(memo.__getitem__, rest)
+        else:
+            # Full: what came first is what comes often, until it is not.
+            ids = [new[w] if w in new else memo[w] for w in rest] if new else map(memo.__getitem__, rest)
+            self.missed += len(new)
+        out = array("I", encode(words[0])).tobytes() + b"".join(ids)
+        if self.missed > FORGET * MEMO_ENTRIES:
             memo.clear()
-            new = set(rest)
-        for w in new:
-            memo[w] = array("I", encode(" " + w)).tobytes()
-        return array("I", encode(words[0])).tobytes() + b"".join(map(memo.__getitem__, rest))
+            self.missed = 0
+        return out
 
 
 def _slices(text: str, size: int = 1 << 19) -> Iterator[str]:
@@ -175,6 +188,7 @@ def pack_sequences(
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy_worker()
         encode = _encoder(tokenizer_path)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 36)
         tail = int(end_id).to_bytes(4, "little")
@@ -201,12 +215,13 @@ def pack_sequences(
                 n = len(ids) // 4
                 for start, size in cuts(n, capacity):
                     rows.extend(packer.add((doc_id, start, size, ids[4 * start : 4 * (start + size)], n), size))
-                if len(rows) >= 4096:
+                if len(rows) >= 1024:
                     yield batch_of(rows)
                     rows = []
         rows.extend(packer.close())
         if rows:
             yield batch_of(rows)
+        tidy_worker()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("bytes")).mapInArrow(
