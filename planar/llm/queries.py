@@ -39,7 +39,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 SHARD_BYTES = 1 << 20

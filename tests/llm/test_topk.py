@@ -2,7 +2,7 @@ import math
 import random
 
 from planar.llm.queries import op9_topk
-from planar.llm.topk import exact_top_k
+from planar.llm.topk import exact_top_k, groups_of
 from tests.llm.helpers import clashing
 
 LIMIT = 1 << 63  # scores saturate
@@ -60,3 +60,10 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert rows_of(op9_topk(spark, sf)) == brute(rows)
+
+
+def test_groups_follow_the_tiles(spark):
+    assert [groups_of(n) for n in (0, 1, 13, 64, 200, 256, 4000)] == [1, 1, 13, 64, 64, 64, 1000]
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-0.5, 0.25, 1.0]), rng.gauss(0, 1)]) for i in range(700)]
+    assert rows_of(exact_top_k(frame(spark, rows, 2), tile_rows=2, query_rows=4)) == brute(rows)

@@ -140,3 +140,64 @@ def test_held_out_recall_in_every_language(scored):
 def test_columns(spark):
     assert op10_toxicity(spark, "/root/testdata/sf0.01").columns == ["doc_id", "held_out", "score", "predicted"]
     assert op10_toxicity(spark, "/root/testdata/sf0.01").where(F.col("score").isNull()).count() == 0
+
+
+def plain_evidence(text, ordinary, toxic):
+    """The evidence from one zstandard call per window and dictionary."""
+    import math
+
+    import zstandard
+
+    if not text or not toxic:
+        return (0.0,) * tx.N_EVIDENCE
+    par = zstandard.ZstdCompressionParameters(
+        window_log=20, hash_log=19, chain_log=20, search_log=8, min_match=4, strategy=zstandard.STRATEGY_BTLAZY2,
+        format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_checksum=False, write_content_size=False, write_dict_id=False,
+    )
+
+    def size(dictionary, window):
+        d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=par).compress(window))
+
+    low, saved, at = text.lower(), [], 0
+    while True:
+        window = low[at : at + tx.WINDOW] + ordinary[-tx.PAD :]
+        saved.append(size(ordinary, window) - size(toxic + ordinary, window))
+        if at + tx.WINDOW >= len(low):
+            break
+        at += tx.STEP
+    every = sum(v for v in saved if v > 0)
+    strong = [v for v in saved if v >= tx.LEAST]
+    total = sum(strong)
+    return (
+        float(max(strong, default=0)), math.log1p(total), math.log1p(1000 * total / len(text)), math.log1p(1000 * every / len(text))
+    )
+
+
+def test_scores_against_plain_compressor_calls():
+    """Whole scores from window lengths taken one compressor call at a time."""
+    import math
+
+    rng = random.Random(21)
+    docs, labels = labelled(rng, 150)
+    m = fit(docs, labels)
+    texts = [d.encode() for d in docs[:25]] + [b"", b"a", b"NASTY Vermin", "ü".encode() * 300, b"x" * tx.WINDOW, b"x" * (tx.WINDOW + 1)]
+    got = tx.score_texts(m, texts)
+    for t, p in zip(texts, got):
+        e = plain_evidence(t, m.ordinary, m.toxic)
+        assert tx._evidence(t, m.ordinary, m.toxic) == pytest.approx(e)
+        z = m.weights[0] + sum(a * b for a, b in zip(m.weights[1:], e))
+        assert p == pytest.approx(1 / (1 + math.exp(-min(max(z, -30), 30))))
+    assert tx.score_texts(m, [None])[0] == tx.score_texts(m, [b""])[0]
+
+
+def test_a_text_of_several_megabytes():
+    rng = random.Random(22)
+    docs, labels = labelled(rng, 150)
+    m = fit(docs, labels)
+    clean = [d for d, c in zip(docs, labels) if not c]
+    long = " ".join(clean * 40).encode()[:2_000_000]
+    foul = long + b" you nasty repulsive vermin " * 20_000
+    assert len(foul) > 800_000
+    got = tx.score_texts(m, [long, foul])
+    assert got[1] > 0.5 and got[1] > got[0]
