@@ -42,6 +42,7 @@ SPAN = 2            # a box is at most SPAN cells wide on its level
 FINER = 1           # a box may live this many levels below its own, per axis
 MAX_LEVELS = 256    # most levels on which points look for boxes
 PAIR_LEVELS = 24    # most levels of a box-box join
+MOST_PLACES = 4096  # entries of the table from own levels to levels
 HUGE = 1e290
 COPY_COST = 4.0     # a point's copy against one comparison
 FILTER_LEVELS = 4   # levels from which the filter of occupied cells pays
@@ -84,14 +85,22 @@ class Grid:
             _level(ymax - ymin, self.pair_low[1], self.step[1]),
         )
 
-    def level_of(self, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-        """The place in ``levels`` of a planned box's level."""
-        own = F.struct(_level(xmax - xmin, self.low[0], 1).alias("x"), _level(ymax - ymin, self.low[1], 1).alias("y"))
+    def with_level(self, df: DataFrame, xmin: Column, ymin: Column, xmax: Column, ymax: Column, name: str) -> DataFrame:
+        """``df`` with the place in ``levels`` of each planned box's level."""
         at = {lv: i for i, lv in enumerate(self.levels)}
-        out = F.when(F.lit(False), F.lit(0))
-        for (lx, ly), lv in self.home.items():
-            out = out.when((own["x"] == lx) & (own["y"] == ly), F.lit(at[lv]))
-        return out
+        x0, y0 = (min(k[i] for k in self.home) for i in (0, 1))
+        nx, ny = (max(k[i] for k in self.home) - v + 1 for i, v in ((0, x0), (1, y0)))
+        # Own levels as columns of their own, so that each is worked out once.
+        df = df.withColumns({
+            "_ox": _level(xmax - xmin, self.low[0], 1) - F.lit(x0), "_oy": _level(ymax - ymin, self.low[1], 1) - F.lit(y0),
+        })
+        place = F.col("_ox") * ny + F.col("_oy")
+        home = {(lx - x0) * ny + ly - y0: at[lv] for (lx, ly), lv in self.home.items()}
+        if nx * ny <= MOST_PLACES:
+            level = F.get(F.array(*[F.lit(home.get(i, -1)) for i in range(nx * ny)]), place)
+        else:
+            level = F.element_at(F.create_map(*[F.lit(v) for kv in home.items() for v in kv]), place)
+        return df.withColumn(name, level).drop("_ox", "_oy")
 
     def _pick(self, axis: int, place: Column) -> Column:
         return F.get(F.array(*[F.lit(lv[axis]) for lv in self.levels]), place)
@@ -117,7 +126,7 @@ class Grid:
         """One row per (box, covered cell) on the box's level."""
         kl, kx, ky = (f"{prefix}{c}" for c in "lxy")
         a, b, c, d = F.col(xmin), F.col(ymin), F.col(xmax), F.col(ymax)
-        df = df.withColumn(kl, self.level_of(a, b, c, d))
+        df = self.with_level(df, a, b, c, d, kl)
         lx, ly = self._pick(0, F.col(kl)), self._pick(1, F.col(kl))
         df = df.withColumn(kx, F.explode(F.sequence(_cell(a, lx), _cell(c, lx))))
         return df.withColumn(ky, F.explode(F.sequence(_cell(b, ly), _cell(d, ly))))
