@@ -71,7 +71,7 @@ def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 CELL_FACTOR = 2.0  # cell side in units of the bound
 
 
-def grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float, which: Column | None = None) -> DataFrame:
+def _grid_pairs(pts: DataFrame, bound: float, x0: float, y0: float, span: float, which: Column | None = None) -> DataFrame:
     """Closest pair among ``pts`` (of those that ``which`` accepts) given that
     some pair is within ``sqrt(bound)``.
 
@@ -147,7 +147,7 @@ def _closest(pts: DataFrame, seed: int, base_rows: int) -> DataFrame:
     # A sample of fewer than two points (all but impossible) bounds nothing:
     # the extent's diagonal does.
     bound = found["d2"] if found is not None else dx * dx + dy * dy
-    return grid_pairs(pts, float(bound), st["x0"], st["y0"], max(dx, dy))
+    return _grid_pairs(pts, float(bound), st["x0"], st["y0"], max(dx, dy))
 
 
 def closest_pair(points: DataFrame, x: str = "x", y: str = "y", seed: int = 42, base_rows: int | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.operators.closest import grid_pairs
+from planar.operators.closest import _grid_pairs
 from planar.operators.exact import turn, turn_signs
 from planar.operators.kernels import PAIR_SCHEMA, best_pair, oriented_pairs
 
@@ -420,4 +420,4 @@ def closest_on_axes(chain: Chain) -> DataFrame:
     dx, dy = box["x1"] - box["x0"], box["y1"] - box["y0"]
     bound = near if near is not None else dx * dx + dy * dy
     differ = (F.col("ax") != F.col("bx")) & (F.col("ay") != F.col("by"))
-    return grid_pairs(pts, float(bound), box["x0"], box["y0"], max(dx, dy), differ)
+    return _grid_pairs(pts, float(bound), box["x0"], box["y0"], max(dx, dy), differ)

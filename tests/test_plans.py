@@ -25,8 +25,11 @@ def _equi_join_only(plan, name):
 
 
 def test_joins_are_equi_joins(spark):
-    for name in ("heat_map", "point_in_box_join", "containment_join", "containment_lists", "box_union_vertices_part"):
+    for name in ("heat_map", "point_in_box_join", "containment_join", "containment_lists"):
         _equi_join_only(_executed(E.queries()[name](spark, SF)), name)
+    # The union's last step sweeps cells: one shuffle, no join of any kind.
+    plan = _executed(E.queries()["box_union_vertices_part"](spark, SF))
+    assert "Join" not in plan and "CartesianProduct" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_closest_pair_grid_is_an_equi_join(spark, monkeypatch):
