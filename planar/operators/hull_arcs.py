@@ -124,17 +124,13 @@ def _frame(c: DataFrame, base_rows: int, count: int, chains: Chains) -> tuple[Fr
     directions = np.column_stack([np.cos(angle) * min(scale[0], 1e300), np.sin(angle) * min(scale[1], 1e300)])
     far = c.mapInPandas(_extremes(directions), "k int, d double, x double, y double").groupBy("k").agg(F.max(F.struct("d", "x", "y")).alias("p"))
     corners += [(r["p"]["x"], r["p"]["y"]) for r in far.collect()]  # one row per direction
-    frame = None
-    for _ in range(MOST_ROUNDS):
+    for k in range(MOST_ROUNDS):
         p = np.array(corners)
         frame = Frame(chains(p[:, 0], p[:, 1]))
-        out = c.mapInPandas(_assign(frame), ASSIGNED)
-        if count:
-            # The first round leaves the points inside behind for good.
-            c = out.select("x", "y").distinct().checkpoint()
-            out, count = c.mapInPandas(_assign(frame), ASSIGNED), 0
+        if k == 0:  # the points inside stay behind for good
+            c = c.mapInPandas(_assign(frame), ASSIGNED).select("x", "y").distinct().checkpoint()
         large = (
-            out.groupBy("side", "arc").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("d", "x", "y")).alias("p"))
+            c.mapInPandas(_assign(frame), ASSIGNED).groupBy("side", "arc").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("d", "x", "y")).alias("p"))
             .where(F.col("n") > base_rows).collect()  # fewer rows than candidates / base_rows
         )
         if not large:
@@ -313,7 +309,7 @@ def both_chains(chain: Chain) -> DataFrame:
 
 
 # --- farthest pair -------------------------------------------------------------
-def _slopes(size: int, ends: tuple[int, int]):
+def _slopes(size: int):
     """Per vertex the range of slopes between its two edges: a line of a slope
     in it touches the hull there."""
 
@@ -367,7 +363,7 @@ def farthest(chain: Chain, hull_farthest) -> DataFrame:
     spark, size = chain.rows.sparkSession, chain.base_rows
     s = (
         _blocks(chain, before=True, after=True).groupBy("side", "block")
-        .applyInPandas(_slopes(size, chain.sizes), "side int, rank long, lo double, hi double, x double, y double").checkpoint()
+        .applyInPandas(_slopes(size), "side int, rank long, lo double, hi double, x double, y double").checkpoint()
     )
     marks = s.where((F.col("rank") % size == 0) | (F.col("rank") == F.when(F.col("side") == UPPER, chain.sizes[0] - 1).otherwise(chain.sizes[1] - 1)))
     marks = marks.collect()  # one row per block and two per chain
