@@ -129,6 +129,12 @@ def _search(k: int):
     return run
 
 
+def groups_of(tiles: int) -> int:
+    """Groups of candidate tiles: one per tile up to 64, then one for four, so
+    that a group's work stays the same however many rows there are."""
+    return max(1, min(tiles, 64), tiles // 4)
+
+
 def exact_top_k(
     vectors: DataFrame,
     k: int = 5,
@@ -138,7 +144,7 @@ def exact_top_k(
     scale: float = 256.0,
     tile_rows: int = 4096,
     query_rows: int = 1024,
-    spread: int = 64,
+    spread: int | None = None,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible
     by ``every``, the k rows of highest integer inner product among all other
@@ -150,9 +156,10 @@ def exact_top_k(
     give a list each; only the query's own row is left out.  Scores beyond 64
     bits saturate (and tie).  Other columns are ignored; an empty table gives no rows.
 
-    Candidate tiles are dealt to ``spread`` groups and query tiles sent to
-    each group: a keyed join in which no side is broadcast or collected, and
-    whose work is the queries times the rows.
+    Candidate tiles are dealt to groups and query tiles sent to each group: a
+    keyed join in which no side is broadcast or collected, and whose work is
+    the queries times the rows.  The groups follow the number of tiles (see
+    ``groups_of``) unless ``spread`` names it.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -166,7 +173,9 @@ def exact_top_k(
     )
     schema = "dim int, tile long, ids binary, copies binary, mat binary"
     # Written out: a tile's rows depend on the order in which they arrive.
-    cand = rows.mapInArrow(_tiles(tile_rows), schema).withColumn("p", F.pmod(F.xxhash64("ids", "mat"), F.lit(spread))).checkpoint()
+    cand = rows.mapInArrow(_tiles(tile_rows), schema).checkpoint()
+    spread = spread or groups_of(cand.count())
+    cand = cand.withColumn("p", F.pmod(F.xxhash64("ids", "mat"), F.lit(spread)))
     query = (
         rows.where(F.col("vec_id") % every == 0).mapInArrow(_tiles(query_rows), schema).checkpoint()
         .select("dim", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("p"), F.col("ids").alias("qids"), F.col("copies").alias("qcopies"), F.col("mat").alias("qmat"))
