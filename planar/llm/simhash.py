@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import prepare, utf8, word_chunks
+from planar.llm.common import prepare, tidy_worker, utf8, word_chunks
 from planar.llm.components import connected_components
 
 LEAF, FAN = 16, 8
@@ -67,6 +67,7 @@ def fingerprint_udf(k: int, seed: int = 42):
 
     @F.pandas_udf("long")
     def fingerprint(bufs: pd.Series) -> pd.Series:
+        tidy_worker()
         out = np.fromiter((simhash(b, k, seed) for b in bufs), np.uint64, len(bufs))
         return pd.Series(out.view(np.int64))
 
@@ -300,7 +301,10 @@ def simhash_near_dups(
     comp = simhash_components(groups, max_bits, max_group)
     of = groups.join(comp, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return fp.join(of.join(ids, "root").select("fp", "component_id"), "fp").select(
+    # Written out, so that adaptive execution may split a hot root: a join
+    # whose result is shuffled again at once stays as it is.
+    named = of.join(ids, "root").select("fp", "component_id").checkpoint()
+    return fp.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
