@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,11 +29,32 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, TEXT_BATCH)
 
 
-def tidy_worker() -> None:
-    """Give back what earlier tasks and stages left in this Python worker:
-    workers are used again, and Arrow keeps the memory of past batches."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
+# What operators keep in a worker process between tasks, as functions that
+# drop it; workers are used again by other operators.
+_CACHES: dict[str, Callable[[], None]] = {}
+_FULL: set[str] = set()
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """Say that ``owner`` keeps something in this worker, and how to drop it."""
+    _CACHES[owner] = drop
+    _FULL.add(owner)
+
+
+def tidy_worker(owner: str | None = None, always: bool = False) -> None:
+    """Drop what operators other than ``owner`` left in this Python worker and
+    give the memory back.  Does nothing where nothing was left, unless
+    ``always``: Arrow then gives back the memory of past batches."""
+    others = [k for k in _FULL if k != owner]
+    for k in others:
+        _CACHES[k]()
+        _FULL.discard(k)
+    if others or always:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,12 +113,13 @@ FILTER_BITS = 27  # most bits of a counted filter: 16 MB
 
 
 def counted_filter(hashes: DataFrame, col: str, count: int | None = None, most: int = FILTER_BITS) -> BitTable | None:
-    """A ``BitTable`` with eight bits per hash or more, from their counted
-    number; None where that takes more than ``2 ** most`` bits (the caller
-    then joins all rows)."""
+    """A ``BitTable`` with 32 bits per hash, or at least eight where 32 take
+    more than ``2 ** most`` bits, from their counted number; None where eight
+    do too (the caller then joins all rows)."""
     n = hashes.count() if count is None else count
-    bits = max(12, (8 * n).bit_length())
-    return BitTable(hashes, col, bits) if bits <= most else None
+    if max(12, (8 * n).bit_length()) > most:
+        return None
+    return BitTable(hashes, col, min(most, max(12, (32 * n).bit_length())))
 
 
 class BitTable:

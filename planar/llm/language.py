@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import fold, pack_docs, prepare, utf8
+from planar.llm.common import fold, pack_docs, prepare, tidy_worker, utf8
 
 UND = "und"
 BLOCK = 128  # words per Viterbi block
@@ -112,6 +112,7 @@ def train_language_model(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        tidy_worker()
         for batch in batches:
             for lang, buf in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 c = sums.setdefault(lang, np.zeros(buckets + scripts, np.int64))
@@ -242,6 +243,7 @@ def language_udf(model: LanguageModel):
 
     @F.pandas_udf("lang_pred string, score double")
     def language(bufs: pd.Series) -> pd.DataFrame:
+        tidy_worker()
         m, names, scores = held.value, [], []
         for labels, letters, _ in label_words(bufs.tolist(), m):
             if len(labels) == 0 or not m.langs:

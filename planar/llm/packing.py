@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import prepare, tidy_worker, utf8
+from planar.llm.common import keeps, prepare, tidy_worker, utf8
 
 MEMO_ENTRIES = 120_000
 FORGET = 20  # parts encoded beside a full memory, as a multiple of it, before it starts anew
@@ -121,6 +121,7 @@ def _encoder(path: str) -> WordEncoder:
     """One encoder per worker process and vocabulary."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    keeps("packing", _ENCODERS.clear)
     return _ENCODERS[path]
 
 
@@ -188,7 +189,7 @@ def pack_sequences(
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tidy_worker()
+        tidy_worker("packing", always=True)
         encode = _encoder(tokenizer_path)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 36)
         tail = int(end_id).to_bytes(4, "little")
@@ -221,7 +222,7 @@ def pack_sequences(
         rows.extend(packer.close())
         if rows:
             yield batch_of(rows)
-        tidy_worker()
+        tidy_worker("packing", always=True)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("bytes")).mapInArrow(

@@ -26,17 +26,16 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import BitTable, prepare, tidy_worker, utf8
+from planar.llm.common import BitTable, counted_filter, prepare, tidy_worker, utf8
 
 WINDOW, GRAM = 64, 16
-NAME_BITS, TEXT_BITS = 25, 24
+NAME_BITS = TEXT_BITS = 27  # most bits of a filter of phrase names, of texts: 16 MB
 SLICE = 1 << 20
 
 
@@ -91,24 +90,36 @@ def borders(buf: bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse(copied: BitTable | None = None):
     """Per text: its key, borders, and the name of each phrase (the bytes from
-    a border to ``GRAM`` past the next)."""
-    name = xxhash.xxh3_64_intdigest
-    for batch in batches:
-        bufs = batch.column(1)
-        pos, names = [], []
-        for r in range(batch.num_rows):
-            buf = bufs[r].as_py()
-            at = borders(buf)
-            cut = at.tolist()
-            h = np.fromiter((name(buf[i : j + GRAM]) for i, j in zip(cut, cut[1:])), np.uint64, max(0, len(cut) - 1))
-            pos.append(at.astype(np.int32))
-            names.append((h >> np.uint64(1) | np.uint64(1)).astype(np.int64))  # positive: 0 marks the end
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(pos, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64()))], names=["key", "pos", "name"]
-        )
-    tidy_worker()
+    a border to ``GRAM`` past the next).  With ``copied`` texts that may have
+    copies, by the hash in the last column, are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = xxhash.xxh3_64_intdigest
+        tidy_worker()
+        for batch in batches:
+            if copied is not None and batch.num_rows:
+                batch = batch.filter(pa.array(~copied(batch.column(2).to_numpy())))
+            bufs = batch.column(1)
+            pos, names = [], []
+            for r in range(batch.num_rows):
+                buf = bufs[r].as_py()
+                at = borders(buf)
+                cut = at.tolist()
+                h = np.fromiter((name(buf[i : j + GRAM]) for i, j in zip(cut, cut[1:])), np.uint64, max(0, len(cut) - 1))
+                pos.append(at.astype(np.int32))
+                names.append((h >> np.uint64(1) | np.uint64(1)).astype(np.int64))  # positive: 0 marks the end
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(pos, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.int64()))],
+                names=["key", "pos", "name"],
+            )
+        tidy_worker(always=True)
+
+    return run
+
+
+PHRASES = "key binary, pos array<int>, name array<long>"
 
 
 def _spread(x: Column) -> Column:
@@ -116,12 +127,14 @@ def _spread(x: Column) -> Column:
     return F.xxhash64(x)
 
 
-def _runs(seen: BitTable, length: int):
+def _runs(seen: BitTable | None, length: int):
     """Runs of repeated phrases that may hold a passage: their names, borders
-    and the border before the run."""
+    and the border before the run.  The last column holds the names spread for
+    the filter ``seen``, or, without one, the places of the repeated names."""
     span = length - 4 * WINDOW - GRAM + 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy_worker()
         for batch in batches:
             key, out = batch.column(0).to_pylist(), [[], [], [], []]
             for r in range(batch.num_rows):
@@ -129,7 +142,12 @@ def _runs(seen: BitTable, length: int):
                 if len(name) == 0:
                     continue
                 pos = batch.column(1)[r].values.to_numpy()
-                hit = seen(batch.column(3)[r].values.to_numpy())
+                last = batch.column(3)[r].values.to_numpy()
+                if seen is not None:
+                    hit = seen(last)
+                else:
+                    hit = np.zeros(len(name), bool)
+                    hit[last] = True
                 edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
                 starts, ends = edge[::2], edge[1::2]
                 long = pos[ends] - pos[starts] >= span
@@ -158,6 +176,7 @@ def _ranks(rows: DataFrame, keys: list[str], counts: dict[str, Column], names: d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: list[int] | None = None
+        tidy_worker()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -306,9 +325,10 @@ def candidates(runs: DataFrame, length: int, levels: int) -> DataFrame:
 
 
 # --- passages ---------------------------------------------------------------
-def _strings(length: int):
+def _strings(length: int, several: BitTable | None = None):
     """Per candidate: the strings it owns, ``lo .. hi``, the hash of all bytes
-    that they cover together, and of the bytes that each of them covers."""
+    that they cover together, and of the bytes that each of them covers.  With
+    ``several`` only those whose first hash it may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide, narrow = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
@@ -330,18 +350,24 @@ def _strings(length: int):
                 for p, a, b in zip(at[pick][keep].tolist(), lo[pick][keep].tolist(), hi[pick][keep].tolist()):
                     core.append(narrow(buf[p - WINDOW + 1 : p + length - 2 * WINDOW + 2]) >> 1)
                     whole.append(wide(buf[a : b + length], b - a))
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(uid, np.diff(first))[some], pa.int64()), pa.array(lo[some].astype(np.int32)),
                     pa.array(hi[some].astype(np.int32)), pa.array(core, pa.int64()), pa.array(whole, pa.binary()),
                 ],
                 names=["uid", "lo", "hi", "core", "whole"],
             )
-        tidy_worker()
+            if several is not None and whole:
+                out = out.filter(pa.array(several(np.frombuffer(b"".join(whole), ">i8")[::2].astype(np.int64))))
+            yield out
+        tidy_worker(always=True)
 
     return run
 
 
+OWNED = "uid long, lo int, hi int, core long, whole binary"
+
+
 def _each(length: int):
     """Every single string of the given ranges, with its hash."""
 
@@ -369,7 +395,8 @@ def _each(length: int):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is left of each text once its ranges are taken out."""
+    """What is left of each text once its ranges are taken out: the digest of
+    its bytes, and the text (a character cut in half is dropped)."""
     for batch in batches:
         bufs, runs = batch.column(1), batch.column(2)
         out: list[list] = [[] for _ in range(4)]
@@ -386,13 +413,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = e
             kept.append(buf[at:])
             text = b"".join(kept)
-            for col, v in zip(out, (len(buf) - len(text), len(merged), hashlib.sha256(text).hexdigest(), text)):
+            sha = hashlib.sha256(text).hexdigest()
+            for col, v in zip(out, (len(buf) - len(text), len(merged), sha, text.decode("utf-8", "ignore"))):
                 col.append(v)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.binary())))],
+            [batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.string())))],
             names=["key", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
-    tidy_worker()
+    tidy_worker(always=True)
 
 
 def _key(sha: Column) -> Column:
@@ -408,33 +436,47 @@ def repeated_passages(texts: DataFrame, length: int, levels: int = 1) -> tuple[D
     hold a passage which occurs elsewhere, and the keys of the texts that
     occur more than once, which lose everything (one copy of each takes part
     as a partner).  ``texts`` has rows ``(key, bytes)``, copies included, none
-    shorter than ``length``."""
+    shorter than ``length``.
+
+    Filters of eight bits per counted text, phrase name or string, of 16 MB
+    (``TEXT_BITS``, ``NAME_BITS``) at most, spare rows without a partner the
+    shuffles; beyond that size all rows take part in the exact joins."""
     copied = texts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key").checkpoint()
-    many = BitTable(copied.select(_slot(F.col("key")).alias("h")), "h", TEXT_BITS)
-    flagged = texts.withColumn("maybe", many.column(_slot(F.col("key"))))
-    # Only texts that may have copies are shuffled to find one of each.
-    one = flagged.where("not maybe").select("key", "bytes").unionByName(
-        flagged.where("maybe").select("key", "bytes").dropDuplicates(["key"])
-    )
-    phrases = one.mapInArrow(_parse, "key binary, pos array<int>, name array<long>").checkpoint()
-    names = phrases.select(F.explode("name").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    seen = BitTable(names.select(_spread(F.col("c")).alias("h")), "h", NAME_BITS)
-    runs = phrases.select("key", "pos", "name", F.transform("name", _spread).alias("h")).mapInArrow(
-        _runs(seen, length), "key binary, name array<long>, pos array<int>, before int"
-    ).withColumn("sid", F.monotonically_increasing_id())
+    many = counted_filter(copied.select(_slot(F.col("key")).alias("h")), "h", most=TEXT_BITS)
+    texts = texts.select("key", "bytes")
+    slot = _slot(F.col("key"))
+    if many is None:
+        phrases = texts.dropDuplicates(["key"]).mapInArrow(_parse(), PHRASES).checkpoint()
+    else:  # only texts that may have copies are shuffled to find one of each
+        copies = texts.where(many.column(slot)).dropDuplicates(["key"])
+        phrases = (
+            texts.select("key", "bytes", slot.alias("slot")).mapInArrow(_parse(many), PHRASES)
+            .unionByName(copies.mapInArrow(_parse(), PHRASES)).checkpoint()
+        )
+    names = phrases.select(F.explode("name").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c").checkpoint()
+    seen = counted_filter(names.select(_spread(F.col("c")).alias("h")), "h", most=NAME_BITS)
+    if seen is not None:
+        told = phrases.select("key", "pos", "name", F.transform("name", _spread).alias("told"))
+    else:
+        places = (
+            phrases.select("key", F.posexplode("name").alias("i", "c")).join(names, "c", "left_semi")
+            .groupBy("key").agg(F.collect_list("i").alias("told"))
+        )
+        told = phrases.join(places, "key").select("key", "pos", "name", "told")
+    runs = told.mapInArrow(_runs(seen, length), "key binary, name array<long>, pos array<int>, before int")
+    runs = runs.withColumn("sid", F.monotonically_increasing_id())
     runs = runs.checkpoint()
-    del phrases, names
+    del phrases, names, told
     cands = candidates(_tidy(runs), length, levels)
     del runs
-    wanted = BitTable(cands.select(_slot(F.col("key")).alias("h")), "h", TEXT_BITS)
+    wanted = counted_filter(cands.select(_slot(F.col("key")).alias("h")), "h", most=TEXT_BITS)
+    some = texts if wanted is None else texts.where(wanted.column(_slot(F.col("key"))))
     held = _tidy(
-        texts.where(wanted.column(_slot(F.col("key")))).select("key", "bytes").dropDuplicates(["key"])
+        some.select("key", "bytes").dropDuplicates(["key"])
         .join(cands, "key").select("key", "bytes", "cands", F.monotonically_increasing_id().alias("uid"))
         .checkpoint()
     )
-    owned = held.select("uid", "bytes", "cands").mapInArrow(
-        _strings(length), "uid long, lo int, hi int, core long, whole binary"
-    )
+    owned = held.select("uid", "bytes", "cands").mapInArrow(_strings(length), OWNED)
     # Ranges that occur whole elsewhere are settled; of the others every
     # string is compared with those of the ranges with the same core, one of
     # each kind.  (Equal strings have owners of their own, so none repeats
@@ -455,17 +497,17 @@ def repeated_passages(texts: DataFrame, length: int, levels: int = 1) -> tuple[D
     twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     single = each.where("alone").join(twice, "h", "left_semi").select("uid", "s", (F.col("s") + length).alias("e"))
     several = kinds.where("n > 1").select("whole")
-    maybe = BitTable(several.select(_slot(F.col("whole")).alias("h")), "h", NAME_BITS)
-    whole = (
-        owned.where(maybe.column(_slot(F.col("whole")))).join(several, "whole", "left_semi")
-        .select("uid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
-    )
+    # The first eight bytes of a 128-bit hash are a hash of their own.
+    first = F.conv(F.hex(F.substring("whole", 1, 8)), 16, -10).cast("long")
+    maybe = counted_filter(several.select(first.alias("h")), "h", most=NAME_BITS)
+    rows = owned if maybe is None else held.select("uid", "bytes", "cands").mapInArrow(_strings(length, maybe), OWNED)
+    whole = rows.join(several, "whole", "left_semi").select("uid", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     found = whole.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
     found = found.checkpoint()
     del kinds, each, twice, single, several, whole, owned
     _tidy(found)
     cut = held.select("uid", "key", "bytes").join(found, "uid").select("key", "bytes", "runs").mapInArrow(
-        _cut, "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        _cut, "key binary, n_removed long, n_spans long, kept_sha256 string, kept string"
     )
     return cut, copied
 
@@ -485,11 +527,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(utf8(text_col), F.lit(b"")).alias("bytes"))
     base = rows.select("doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"), F.sha2("bytes", 256).alias("sha")).checkpoint()
     cut, copied = repeated_passages(_long(rows, length), length)
-    changed = cut.drop("kept").join(copied, "key", "left_anti")
-    full = base.withColumn("key", _key(F.col("sha")))
-    long = F.col("n_bytes") >= length
-    joined = full.join(changed, "key", "left").join(copied.withColumn("_all", F.lit(True)), "key", "left")
-    gone = F.coalesce(F.col("_all"), F.lit(False)) & long
+    changed = cut.drop("kept").join(copied, "key", "left_anti").withColumn("_all", F.lit(False))
+    none = F.lit(None)
+    fate = changed.unionByName(copied.select(
+        "key", none.cast("long").alias("n_removed"), none.cast("long").alias("n_spans"), none.cast("string").alias("kept_sha256"),
+        F.lit(True).alias("_all"),
+    ))
+    # One join, the last step: adaptive execution may split a text of many copies.
+    joined = base.withColumn("key", _key(F.col("sha"))).join(fate, "key", "left")
+    gone = F.coalesce(F.col("_all"), F.lit(False))  # such texts have ``length`` bytes and more
     empty = hashlib.sha256(b"").hexdigest()
     return joined.select(
         "doc_id", "n_bytes",
@@ -509,12 +555,8 @@ def strip_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) ->
     rows = docs.select(F.coalesce(utf8(text_col), F.lit(b"")).alias("bytes"))
     cut, copied = repeated_passages(_long(rows, length), length)
 
-    @F.pandas_udf("string")
-    def whole_characters(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
     kept = (
-        cut.select("key", whole_characters("kept").alias("_kept")).join(copied, "key", "left_anti")
+        cut.select("key", F.col("kept").alias("_kept")).join(copied, "key", "left_anti")
         .unionByName(copied.select("key", F.lit("").alias("_kept")))
     )
     marked = docs.withColumn("_key", _key(F.sha2(F.coalesce(utf8(text_col), F.lit(b"")), 256)))

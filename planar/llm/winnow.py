@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planar.llm.common import BitTable, counted_filter, pack_docs, prepare, text_key, utf8
+from planar.llm.common import BitTable, counted_filter, keeps, pack_docs, prepare, text_key, tidy_worker, utf8
 
 BITS = 24  # positions of the filter: 2^24 bits, 2 MB, whatever the input
 
@@ -74,6 +74,7 @@ def words_of(low: bytes):
     if len(start) == 0:
         return start, end, np.zeros(0, np.uint64)
     up, down = _powers(max(2 * BLOCK, len(raw)))
+    keeps("winnow", _powers.cache_clear)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * down[: len(raw)], out=sums[1:])
@@ -321,6 +322,7 @@ def decontaminate(
 
     @F.pandas_udf("n_words int, " + ANCHORS)
     def doc_anchors(bufs: pd.Series) -> pd.DataFrame:
+        tidy_worker("winnow")
         return _anchor_frame(_anchors(bufs.tolist(), shape, sorted(tags), passes))
 
     if keep_columns:

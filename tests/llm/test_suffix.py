@@ -125,7 +125,7 @@ def test_a_character_cut_in_half_costs_no_other_text(spark):
     assert sum(k.decode("utf-8", "replace") != k.decode("utf-8", "ignore") for k in kept) >= 4
 
 
-def test_full_bit_tables_change_nothing(spark, monkeypatch):
+def test_joins_without_filters_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(sx, "NAME_BITS", 7)
     monkeypatch.setattr(sx, "TEXT_BITS", 7)
     texts = cases(random.Random(3))
@@ -148,3 +148,27 @@ def test_query(spark):
     got = {r["doc_id"]: tuple(r)[1:5] for r in rows}
     assert got == {r["doc_id"]: w for r, w in zip(docs, want)}
     assert sum(w[1] for w in want) > 0
+
+
+def test_only_repeated_phrases_are_sorted(spark, monkeypatch):
+    """With a filter too small to be made, an exact join picks the phrases:
+    those that occur once are not sorted, however many there are."""
+    rng = random.Random(31)
+    shared = words_of(rng, 400)
+    texts = [words_of(rng, 500, 50_000) + shared + words_of(rng, 500, 50_000) for _ in range(2)] + [words_of(rng, 900, 50_000) for _ in range(40)]
+    got = {}
+    ranks = sx.suffix_ranks
+
+    def counted(strings, levels=1, more=None):
+        got.setdefault("symbols", strings.selectExpr("sum(size(name)) s").first().s)
+        return ranks(strings, levels, more)
+
+    monkeypatch.setattr(sx, "suffix_ranks", counted)
+    for bits in (27, 7):
+        got.clear()
+        monkeypatch.setattr(sx, "NAME_BITS", bits)
+        monkeypatch.setattr(sx, "TEXT_BITS", bits)
+        rows = {r["doc_id"]: r["n_removed"] for r in sx.remove_repeats(docs_df(spark, texts)).collect()}
+        assert min(rows[0], rows[1]) >= len(shared) and not any(rows[i] for i in range(2, 42))
+        phrases = 2 * len(shared) / 20  # at least 20 bytes or so each
+        assert got["symbols"] < phrases
