@@ -560,11 +560,19 @@ def strip_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) ->
         .unionByName(copied.select("key", F.lit("").alias("_kept")))
     )
     marked = docs.withColumn("_key", _key(F.sha2(F.coalesce(utf8(text_col), F.lit(b"")), 256)))
-    joined = marked.join(kept.withColumnRenamed("key", "_key"), "_key", "left")
+    names = [F.col(f"`{c}`") for c in cols]
+    # Only texts that may have changed are shuffled to meet their remainder.
+    keys = cut.select("key").unionByName(copied).distinct().checkpoint()
+    few = counted_filter(keys.select(_slot(F.col("key")).alias("h")), "h", most=TEXT_BITS)
+    if few is not None:
+        marked = marked.withColumn("_maybe", few.column(_slot(F.col("_key"))))
+    met = marked if few is None else marked.where("_maybe")
+    met = met.join(kept.withColumnRenamed("key", "_key"), "_key", "left")
     text = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.col("_kept"))
-    return joined.where("_kept is null or length(_kept) > 0").select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols]
+    met = met.where("_kept is null or length(_kept) > 0").select(
+        *[text.alias(c) if c == text_col else n for c, n in zip(cols, names)]
     )
+    return met if few is None else marked.where("not _maybe").select(*names).unionByName(met)
 
 
 def _long(rows: DataFrame, length: int) -> DataFrame:
