@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import box_in_box, finite, normalize_boxes, point_in_box
-from planar.plans.grid import box_point_join, fits_broadcast, plan_grid
+from planar.plans.grid import box_point_join, fits_broadcast, plan_grid, shuffled
 from planar.plans.nested import nested_counts
 from planar.plans.session import ensure_checkpoint_dir
 
@@ -86,8 +86,8 @@ def heat_map(
             weighted = p.withColumn("w", F.lit(1).cast("long"))
         pairs = box_point_join(ub, weighted, point_in_box("px", "py", *_BOX), grid=replace(grid, row_bytes=_EXTENT_BYTES))
         counts = pairs.groupBy(*_BOX).agg(F.sum("w").alias("n"))
-    if fits_broadcast(counts, grid.counts[0], _EXTENT_BYTES + 8):
-        counts = F.broadcast(counts)
+    small = fits_broadcast(counts, grid.counts[0], _EXTENT_BYTES + 8)
+    counts = F.broadcast(counts) if small else shuffled(counts)
     return b.join(counts, list(_BOX), "left").select(
         "id", F.coalesce(F.col("n"), F.lit(0).cast("long")).alias("n")
     )
@@ -177,6 +177,6 @@ def containment_lists(
         (F.col(x1) == F.col("qx1")) & (F.col(y1) == F.col("qy1"))
         & (F.col(x2) == F.col("qx2")) & (F.col(y2) == F.col("qy2"))
     )
-    return probes.join(lists, on, "left").select(
+    return probes.join(shuffled(lists), on, "left").select(
         F.col(probe_id).alias("id"), F.coalesce("_l", F.lit("")).alias("ids")
     )

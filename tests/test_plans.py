@@ -83,3 +83,30 @@ def test_heat_map_prunes_and_pushes_into_the_point_scan(spark, scratch):
     for scan in scans:
         assert re.search(r"FileScan parquet \[x#\d+,y#\d+\]", scan)  # id and payload pruned
         assert "GreaterThanOrEqual(x,1.0)" in scan and "LessThanOrEqual(x,20.0)" in scan  # box extent pushed
+
+
+def _no_broadcast(spark, monkeypatch, make):
+    """Runs ``make()`` without the broadcast budget and returns the joins of
+    its own and all checkpointed plans."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, keep = [], DataFrame.checkpoint
+
+    def checkpoint(self, *a, **k):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return keep(self, *a, **k)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", checkpoint)
+    spark.conf.set("spark.planar.broadcastBytes", "0")
+    try:
+        plans.append(_executed(make()))
+    finally:
+        spark.conf.unset("spark.planar.broadcastBytes")
+    return plans
+
+
+def test_joins_broadcast_no_side_on_its_file_size(spark, monkeypatch):
+    """Spark takes a small file for a small side, whatever its boxes make."""
+    for name in ("containment_join", "point_in_box_join", "containment_lists", "heat_map"):
+        for plan in _no_broadcast(spark, monkeypatch, lambda: E.queries()[name](spark, SF)):  # noqa: B023
+            assert "BroadcastHashJoin" not in plan, name
