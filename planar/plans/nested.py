@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import point_in_box
-from planar.plans.grid import BRANCH, Grid
+from planar.plans.grid import BRANCH, Grid, shuffled
 
 LEAF = 64        # points of a crossed cell that meet the box one by one
 MOST_DEPTH = 8   # cuts of a cell (its side goes down by BRANCH each time)
@@ -56,18 +56,18 @@ def nested_counts(boxes: DataFrame, points: DataFrame, grid: Grid, leaf: int = L
         x1, y1 = (F.col("cx") + 1) * _side(grid, 0, depth), (F.col("cy") + 1) * _side(grid, 1, depth)
         # A cell holds its lower edges, not its upper ones.
         whole = (F.col("xmin") < x0) & (x1 <= F.col("xmax")) & (F.col("ymin") < y0) & (y1 <= F.col("ymax"))
-        rows = rows.join(counts, list(CELL)).withColumn("whole", whole).checkpoint()
+        rows = rows.join(shuffled(counts), list(CELL)).withColumn("whole", whole).checkpoint()
         inside = rows.where("whole").select(*BOX, "n")
         deep = ~F.col("whole") & (F.col("m") > leaf) if depth < MOST_DEPTH else F.lit(False)
         few = rows.where(~F.col("whole") & ~deep).select(*BOX, *CELL)
-        met = few.join(at, list(CELL)).where(point_in_box("px", "py", *BOX)).select(*BOX, F.col("w").alias("n"))
+        met = few.join(shuffled(at), list(CELL)).where(point_in_box("px", "py", *BOX)).select(*BOX, F.col("w").alias("n"))
         part = inside.unionByName(met).groupBy(*BOX).agg(F.sum("n").alias("n"))
         found = part if found is None else found.unionByName(part)
         rows = rows.where(deep).select(*BOX, *CELL)
         if rows.isEmpty():
             break
         cells = rows.select(*CELL).distinct()
-        at = at.join(cells, list(CELL), "left_semi").select("l", "px", "py", "w", *_next(grid, depth + 1))
+        at = at.join(shuffled(cells), list(CELL), "left_semi").select("l", "px", "py", "w", *_next(grid, depth + 1))
         step = F.sequence(F.lit(0), F.lit(BRANCH - 1))
         rows = (
             rows.withColumn("i", F.explode(step)).withColumn("j", F.explode(step))

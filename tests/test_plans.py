@@ -110,3 +110,12 @@ def test_joins_broadcast_no_side_on_its_file_size(spark, monkeypatch):
     for name in ("containment_join", "point_in_box_join", "containment_lists", "heat_map"):
         for plan in _no_broadcast(spark, monkeypatch, lambda: E.queries()[name](spark, SF)):  # noqa: B023
             assert "BroadcastHashJoin" not in plan, name
+
+
+def test_heat_map_by_cells_broadcasts_no_side_on_its_file_size(spark, monkeypatch):
+    from planar.operators.joins import heat_map
+
+    make = lambda: heat_map(fx.boxes_part(spark, SF), fx.points_ev(spark, SF), nest_matches=0.0)
+    monkeypatch.setattr("planar.operators.joins.NEST_OVERLAP", 0.0)
+    plans = _no_broadcast(spark, monkeypatch, make)
+    assert len(plans) > 1 and not any("BroadcastHashJoin" in p for p in plans)
