@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planar.functions.geometry import normalize_boxes
-from planar.plans.grid import BRANCH
+from planar.plans.grid import BRANCH, shuffled
 from planar.plans.session import ensure_checkpoint_dir, ship_package
 
 CELL_WORK = 1 << 20  # pairs of a vertical and a horizontal edge that one sweep takes
@@ -177,7 +177,7 @@ def outline_cells(r: DataFrame, level: int, most: float | None = None) -> DataFr
         cells = rows.groupBy("cx", "cy").agg(
             F.bool_or(covers).alias("covered"), (edges(xmin, xmax, x0, x1) * edges(ymin, ymax, y0, y1)).cast("double").alias("work")
         )
-        rows = rows.join(cells.where(~F.col("covered") & (F.col("work") > 0)).drop("covered"), ["cx", "cy"]).checkpoint()
+        rows = rows.join(shuffled(cells.where(~F.col("covered") & (F.col("work") > 0)).drop("covered")), ["cx", "cy"]).checkpoint()
         deep = (F.col("work") > most) & (F.col("work") <= F.col("was") / 2) if depth < deepest else F.lit(False)
         few = rows.where(~deep).select(F.lit(depth).cast("long").alias("depth"), "cx", "cy", *_BOX)
         out = few if out is None else out.unionByName(few)

@@ -119,3 +119,8 @@ def test_heat_map_by_cells_broadcasts_no_side_on_its_file_size(spark, monkeypatc
     monkeypatch.setattr("planar.operators.joins.NEST_OVERLAP", 0.0)
     plans = _no_broadcast(spark, monkeypatch, make)
     assert len(plans) > 1 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_union_broadcasts_no_side_on_its_file_size(spark, monkeypatch):
+    plans = _no_broadcast(spark, monkeypatch, lambda: E.queries()["box_union_vertices_part"](spark, SF))
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
