@@ -10,19 +10,27 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from planar.functions.geometry import box_in_box, finite, normalize_boxes, point_in_box
-from planar.plans.grid import box_point_join, fits_broadcast, plan_grid, shuffled
+from planar.plans.cells import CELL, answer_cells
+from planar.plans.grid import Grid, box_point_join, fits_broadcast, plan_grid, shuffled
 from planar.plans.nested import nested_counts
-from planar.plans.session import ensure_checkpoint_dir
+from planar.plans.session import ensure_checkpoint_dir, ship_package
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _EXTENT_BYTES = 64  # four doubles and their cell key
 RUN_ROWS = 1 << 16   # ids of a list that are sorted in one group
 NEST_OVERLAP = 8.0   # boxes over a place from which nested counts may pay
 NEST_MATCHES = 3e7   # expected matches from which they do
+LIST_MATCHES = 1e6   # expected matches from which lists are made cell by cell
+LIST_BOXES = 1 << 20  # most boxes of a cell that one task holds for that
+LIST_PAIRS = 1 << 22  # pairs of a probe and a box that it compares at a time
 
 
 def _boxes(boxes: DataFrame, x1: str, y1: str, x2: str, y2: str) -> DataFrame:
@@ -136,6 +144,56 @@ def _numbered(b: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _hold(boxes: pa.Table):
+    """Corners and id texts of a cell's boxes, in list order."""
+    return [boxes[c].to_numpy() for c in ("a", "b", "c", "d")], boxes["text"].combine_chunks()
+
+
+def _list(held, probes: pa.RecordBatch):
+    """``(id, ids)`` of the probes, sorted so that copies follow one another."""
+    ids, q = probes.column("pid"), np.column_stack([probes.column(c).to_numpy() for c in ("a", "b", "c", "d")])
+    if held is None:
+        yield pa.RecordBatch.from_arrays([ids, pa.array([""] * len(q), pa.string())], names=["id", "ids"])
+        return
+    (xmin, ymin, xmax, ymax), text = held
+    first = np.concatenate([[True], (q[1:] != q[:-1]).any(axis=1)])
+    group, q = np.cumsum(first) - 1, q[first]
+    step = max(1, LIST_PAIRS // len(xmin))
+    for s in range(0, len(q), step):
+        x1, y1, x2, y2 = (v[:, None] for v in q[s : s + step].T)
+        inside = (np.minimum(x1, x2) > xmin) & (np.maximum(x1, x2) < xmax) & (np.minimum(y1, y2) > ymin) & (np.maximum(y1, y2) < ymax)
+        ends = np.concatenate([[0], np.cumsum(inside.sum(axis=1))]).astype(np.int32)
+        lists = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), text.take(pa.array(np.nonzero(inside)[1]))), ",")
+        i, j = np.searchsorted(group, [s, s + step])
+        for u in range(i, j, max(1, step)):
+            v = min(j, u + max(1, step))
+            yield pa.RecordBatch.from_arrays([ids.slice(u, v - u), lists.take(pa.array(group[u:v] - s))], names=["id", "ids"])
+
+
+def _lists_by_cell(probes: DataFrame, b: DataFrame, grid: Grid, probe_id: str, corners: tuple[str, str, str, str]) -> DataFrame | None:
+    """The lists of ``containment_lists``, made cell by cell without a row per
+    pair; None where a cell holds too many boxes.  ``grid`` has one level."""
+    held = grid.box_cells(b.where(F.col("box_id").isNotNull()), *_BOX).select(
+        F.col("_bx").alias("cx"), F.col("_by").alias("cy"), F.col("xmin").alias("a"), F.col("ymin").alias("b"),
+        F.col("xmax").alias("c"), F.col("ymax").alias("d"), "box_id", F.col("box_id").cast("string").alias("text"),
+        F.lit(None).cast(probes.schema[probe_id].dataType).alias("pid"),
+    )
+    most = held.groupBy(*CELL).count().agg(F.max("count")).first()[0]
+    if (most or 0) > LIST_BOXES:
+        return None
+    ship_package(probes.sparkSession)
+    q = [F.col(c).cast("double") for c in corners]
+    met = F.coalesce(finite(*corners) & grid.inside(q[0], q[1]), F.lit(False))
+    p = probes.select(F.col(probe_id).alias("pid"), *[c.alias(n) for c, n in zip(q, "abcd")], met.alias("_met"))
+    cells = grid.point_cells(p.where("_met").drop("_met"), "a", "b").select(
+        F.col("_px").alias("cx"), F.col("_py").alias("cy"), "a", "b", "c", "d",
+        F.lit(None).cast(b.schema["box_id"].dataType).alias("box_id"), F.lit(None).cast("string").alias("text"), "pid",
+    )
+    schema = StructType([StructField("id", probes.schema[probe_id].dataType), StructField("ids", StringType())])
+    lists = answer_cells(held, cells, ["a", "box_id", "b", "c", "d"], _hold, _list, schema)
+    return lists.select("id", F.coalesce("ids", F.lit("")).alias("ids")).unionByName(p.where(~F.col("_met")).select(F.col("pid").alias("id"), F.lit("").alias("ids")))
+
+
 def containment_lists(
     probes: DataFrame,
     boxes: DataFrame,
@@ -144,6 +202,7 @@ def containment_lists(
     probe_corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
     box_corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
     run_rows: int = RUN_ROWS,
+    list_matches: float = LIST_MATCHES,
 ) -> DataFrame:
     """One row per probe row: ``(id, ids)`` with the ids of the boxes that
     strictly contain it, comma-joined in ascending (box xmin, box id) order;
@@ -155,11 +214,20 @@ def containment_lists(
     are numbered in list order, and a list is put together from runs of
     ``run_rows`` numbers: a probe inside very many boxes is sorted in groups
     of at most that many, and only the finished runs meet in its row.
+
+    Where about ``list_matches`` pairs or more are to be expected and the
+    boxes share one level of the grid, lists are made cell by cell instead
+    (``plans/cells.py``): boxes and probes are shuffled, pairs and lists are
+    not.  Both ways give the same lists.
     """
     x1, y1, x2, y2 = probe_corners
     dq = _probes(probes.select(*probe_corners), probe_corners).distinct()
     b = _boxes(boxes, *box_corners).select(F.col(box_id).alias("box_id"), *_BOX)
     grid = plan_grid((b, *_BOX))
+    if grid is not None and len(grid.levels) == 1 and grid.overlap * probes.count() >= list_matches:
+        made = _lists_by_cell(probes, b, grid, probe_id, probe_corners)
+        if made is not None:
+            return made
     cond = box_in_box("qx1", "qy1", "qx2", "qy2", *_BOX)
     key = ["qx1", "qy1", "qx2", "qy2"]
     text = F.array_join(

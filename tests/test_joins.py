@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -367,3 +368,28 @@ def test_decimal_corners(spark):
     b = boxes_df(spark, BOXES).selectExpr("id", *[f"cast({c} as decimal(12, 3)) as {c}" for c in ("x1", "y1", "x2", "y2")])
     got = {r.id: r.ids for r in containment_lists(boxes_df(spark, PROBES), b).collect()}
     assert got == {0: "0,2", 1: "", 2: "0,2", 3: "", 4: "0,2,1", 5: "0,2"}
+
+
+@pytest.mark.parametrize("hot", [1 << 18, 10])
+def test_containment_lists_by_cell(spark, monkeypatch, hot):
+    """Lists made cell by cell, hot cells dealt to several copies: no join or
+    grouping of pairs, the same lists as by pairs."""
+    from pyspark.sql import functions as F
+
+    from planar.plans import cells as C
+
+    monkeypatch.setattr(C, "HOT_ROWS", hot)
+    rnd = random.Random(hot)
+    boxes = [(x, y, x + 9, y + 8) for x, y in ((rnd.uniform(0, 60), rnd.uniform(0, 60)) for _ in range(300))]
+    boxes += boxes[:5] + [(20, 20, 29, 28)] * 6  # copies: equal xmin, ids decide
+    probes = [(x, y, x + 1, y - 1) for x, y in ((rnd.uniform(0, 70), rnd.uniform(0, 70)) for _ in range(150))]
+    probes += [(24, 24, 25, 23)] * 40 + [(20, 21, 25, 23), (-50, -50, -49, -49), (1e9, 0, 1, 1), (float("nan"), 1, 1, 1)]
+    b, q = boxes_df(spark, boxes).repartition(5), boxes_df(spark, probes)
+    b = b.withColumn("id", F.when(F.col("id") != 7, F.col("id")))  # a null id is in no list
+    q = q.withColumn("x2", F.when(F.col("id") != 3, F.col("x2")))
+    df = containment_lists(q, b, list_matches=0.0)
+    got = sorted(map(tuple, df.collect()))
+    assert got == sorted(map(tuple, containment_lists(q, b, list_matches=math.inf).collect()))
+    assert len(got) == len(probes) and max(ids.count(",") for _, ids in got) > 6
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "SortMergeJoin" not in plan and "Aggregate" not in plan.split("Initial Plan")[0]
