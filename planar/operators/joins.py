@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from planar.functions.geometry import box_in_box, finite, normalize_boxes, point_in_box
 from planar.plans.cells import CELL, answer_cells
+from planar.plans.corners import corner_counts
 from planar.plans.grid import Grid, box_point_join, fits_broadcast, plan_grid, shuffled
 from planar.plans.nested import nested_counts
 from planar.plans.session import ensure_checkpoint_dir, ship_package
@@ -28,6 +29,7 @@ _EXTENT_BYTES = 64  # four doubles and their cell key
 RUN_ROWS = 1 << 16   # ids of a list that are sorted in one group
 NEST_OVERLAP = 8.0   # boxes over a place from which nested counts may pay
 NEST_MATCHES = 3e7   # expected matches from which they do
+CORNER_BOXES = 1 << 14  # boxes from which counts at their corners take the place of nested ones
 LIST_MATCHES = 1e6   # expected matches from which lists are made cell by cell
 LIST_BOXES = 1 << 20  # most boxes of a cell that one task holds for that
 LIST_PAIRS = 1 << 22  # pairs of a probe and a box that it compares at a time
@@ -63,6 +65,7 @@ def heat_map(
     y: str = "y",
     corners: tuple[str, str, str, str] = ("x1", "y1", "x2", "y2"),
     nest_matches: float = NEST_MATCHES,
+    corner_boxes: int = CORNER_BOXES,
 ) -> DataFrame:
     """Number of points strictly inside each box: ``(id, n)``, one row per
     valid box row, zeros kept.
@@ -77,7 +80,9 @@ def heat_map(
     Where boxes overlap ``NEST_OVERLAP``-fold or more and about
     ``nest_matches`` points or more would be met, points are counted per cell
     instead (``nested_counts``), so that the work follows the boxes' borders
-    and not the matches.  Both ways give the same counts.
+    and not the matches.  From ``corner_boxes`` boxes on, whose borders are
+    too many for that, they are counted at the boxes' corners
+    (``corner_counts``).  All ways give the same counts.
     """
     b = _boxes(boxes, *corners).select(F.col(box_id).alias("id"), *_BOX)
     grid = plan_grid((b, *_BOX))
@@ -88,7 +93,8 @@ def heat_map(
     weighted = p.groupBy("px", "py").agg(F.count(F.lit(1)).alias("w"))
     if grid.overlap >= NEST_OVERLAP and grid.overlap * points.count() >= nest_matches:
         ensure_checkpoint_dir(boxes.sparkSession)
-        counts = nested_counts(ub, weighted, grid)
+        many = grid.counts[0] >= corner_boxes
+        counts = corner_counts(ub, weighted) if many else nested_counts(ub, weighted, grid)
     else:
         if fits_broadcast(ub, grid.cells, _EXTENT_BYTES):
             weighted = p.withColumn("w", F.lit(1).cast("long"))

@@ -393,3 +393,24 @@ def test_containment_lists_by_cell(spark, monkeypatch, hot):
     assert len(got) == len(probes) and max(ids.count(",") for _, ids in got) > 6
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "SortMergeJoin" not in plan and "Aggregate" not in plan.split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("strip,hot", [(1, 1 << 18), (50, 40), (1 << 15, 1 << 18)])
+def test_heat_map_by_corner_counts(spark, monkeypatch, strip, hot):
+    """Large, small, thin and equal boxes, hot places: counts at the corners."""
+    from planar.operators import joins as J
+    from planar.plans import cells, corners
+
+    monkeypatch.setattr(corners, "STRIP", strip)
+    monkeypatch.setattr(cells, "HOT_ROWS", hot)
+    monkeypatch.setattr(J, "NEST_OVERLAP", 0.0)
+    rnd = random.Random(strip)
+    boxes = _random_boxes(rnd, 60, 40) + [(0, 0, 64, 64), (16, 16, 32, 48), (-5, -5, 200, 200), (7, 7, 7, 9), (0, 0, 64, 64)]
+    pts = [(rnd.choice([rnd.uniform(0, 100), float(rnd.randrange(0, 100, 4))]), rnd.choice([rnd.uniform(0, 100), 16.0, 48.0])) for _ in range(300)]
+    pts += [(20.0, 20.0)] * 30 + [(16.0, 16.0)] * 5 + [(20.0, 20.0 + i) for i in range(60)] + [(-0.0, 0.0), (0.0, 1.0)]
+    got = {r.id: r.n for r in heat_map(boxes_df(spark, boxes), points_df(spark, pts), nest_matches=0.0, corner_boxes=0).collect()}
+    want = {}
+    for i, box in enumerate(boxes):
+        a, c, e, d = brute.norm(box)
+        want[i] = sum(1 for x, y in pts if a < x < e and c < y < d)
+    assert got == want
