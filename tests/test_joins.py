@@ -255,6 +255,26 @@ def test_dense_fixture_makes_few_copies(spark):
     assert grid.point_cells(p, "px", "py").count() <= 3 * p.count()
 
 
+def test_a_far_off_box_leaves_the_others_their_levels(spark):
+    """Overlapping boxes of many sizes: one box far away must not make copies
+    look so dear that all boxes go to the coarsest level."""
+    rnd = random.Random(5)
+    boxes, pts = [], [(rnd.gauss(0, 0.1), rnd.gauss(0, 0.1)) for _ in range(1000)]
+    for _ in range(2000):
+        a, b, c, d = (rnd.gauss(0, 0.1) for _ in range(4))
+        boxes.append((a, b, c, d))
+    n, inside = _candidates(spark, boxes, pts)
+    far = [tuple(v + 1e7 for v in boxes[0]), *boxes[1:]]
+    m, others = _candidates(spark, far, pts)
+    assert inside - len(pts) <= others <= inside
+    assert m <= 1.5 * n
+    got = sorted(tuple(r) for r in point_in_box_join(boxes_df(spark, far[:300]), points_df(spark, pts, with_id=True)).collect())
+    assert got == sorted(
+        (i, k) for i, (a, b, c, d) in enumerate(far[:300]) for k, (x, y) in enumerate(pts)
+        if min(a, c) < x < max(a, c) and min(b, d) < y < max(b, d)
+    )
+
+
 def test_filter_of_occupied_cells(spark, monkeypatch):
     """Many levels on the shuffle path: points are copied only where a box
     may be, and no match is lost."""
