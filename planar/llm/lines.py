@@ -18,14 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planar.llm.common import counted_filter, prepare, utf8
+from planar.llm.common import counted_filter, prepare, saved, tidy_worker, utf8
 
 SPACE = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = -(1 << 63)  # stands for a null id: smaller than any other
 
 
@@ -37,19 +37,49 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
-def _lines(text_col: str) -> Column:
-    return F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+def _n_lines(text_col: str) -> Column:
+    """Lines of a text: one more than its line feeds (null and empty: one)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+
+
+HASHES = "h1 long, h2 long, doc long, text_hash long, pos int"
+
+
+def _hash_lines(min_chars: int):
+    """The lines of ``(doc, text_hash, bytes)`` whose key has ``min_chars``
+    code points, by the two halves of the key's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, space = xxhash.xxh3_128_digest, SPACE.encode()
+        for batch in batches:
+            row, pos, keys = [], [], []
+            for r, buf in enumerate(batch.column(2)):
+                for i, line in enumerate(buf.as_py().split(b"\n")):
+                    if len(line) < min_chars:  # no more code points than bytes
+                        continue
+                    key = line.strip(space)
+                    if (len(key) if key.isascii() else len(key.decode("utf-8", "replace"))) >= min_chars:
+                        row.append(r)
+                        pos.append(i)
+                        keys.append(digest(key.lower()))  # bytes: A-Z alone
+            h = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            at = pa.array(row, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(0).take(at), batch.column(1).take(at), pa.array(pos, pa.int32())],
+                names=["h1", "h2", "doc", "text_hash", "pos"],
+            )
+        tidy_worker(always=True)
+
+    return run
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """``(h1, h2, doc, text_hash, pos)`` of the lines whose key has at least
     ``min_chars`` code points, copies of a row once."""
-    lines = docs.select(*_identity(id_col, text_col), F.posexplode(_lines(text_col)).alias("pos", "line"))
-    lines = lines.select("doc", "text_hash", "pos", F.btrim("line", F.lit(SPACE)).alias("line")).where(F.length("line") >= min_chars)
-    key = F.translate("line", UPPER, LOWER)
-    return lines.select(
-        F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(0x51AB), key).alias("h2"), "doc", "text_hash", "pos"
-    ).distinct()
+    rows = docs.select(*_identity(id_col, text_col), F.coalesce(utf8(text_col), F.lit(b"")).alias("bytes"))
+    rows = rows.where(F.octet_length("bytes") >= min_chars)
+    return rows.mapInArrow(_hash_lines(min_chars), HASHES).distinct()
 
 
 # Kinds of rows that a task of the stream returns.
@@ -152,9 +182,8 @@ def _stream(min_docs: int):
 def dropped_lines(hashes: DataFrame, min_docs: int) -> DataFrame:
     """``(doc, text_hash, pos)`` of the lines to drop, from ``line_hashes``."""
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc()]
-    found = (
-        hashes.repartitionByRange(*order).sortWithinPartitions(*order, "text_hash", "pos")
-        .mapInArrow(_stream(min_docs), STREAM).checkpoint()
+    found = saved(
+        hashes.repartitionByRange(*order).sortWithinPartitions(*order, "text_hash", "pos").mapInArrow(_stream(min_docs), STREAM)
     )
     # At most two rows per partition.
     edges = found.where(F.col("kind") == SEEN).groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("doc").alias("largest"))
@@ -202,7 +231,7 @@ def line_keep_bitmaps(
     prepare(docs.sparkSession)
     gone = dropped_lines(line_hashes(docs, id_col, text_col, min_chars), min_docs)
     gone = gone.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_list("pos")).alias("_drop"))
-    rows = docs.select(*_identity(id_col, text_col), F.size(_lines(text_col)).alias("n_lines")).distinct()
+    rows = docs.select(*_identity(id_col, text_col), _n_lines(text_col).alias("n_lines")).distinct()
     rows = rows.join(gone, ["doc", "text_hash"], "left" if keep_all else "inner")
     return rows.select(
         "doc", "text_hash", F.col("n_lines").cast("long").alias("n_lines"),
@@ -226,7 +255,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     that lose lines: their remaining text, once per distinct document and
     text.  Other documents' texts are not shuffled, as long as a filter of the
     documents concerned stays within 16 MB."""
-    some = bitmaps.where("n_dropped > 0").select("doc", "text_hash", "n_lines", "n_dropped", "keep").checkpoint()
+    some = saved(bitmaps.where("n_dropped > 0").select("doc", "text_hash", "n_lines", "n_dropped", "keep"))
     texts = docs.select(*_identity(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spread = F.xxhash64("doc", "text_hash")
     few = counted_filter(some.select(spread.alias("h")), "h")
@@ -246,7 +275,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc", "text_hash", "n_dropped", F.sha2("text", 256).alias("sha")
     )
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), *_identity(id_col, text_col), F.size(_lines(text_col)).cast("long").alias("n_lines"),
+        F.col(id_col).alias("doc_id"), *_identity(id_col, text_col), _n_lines(text_col).cast("long").alias("n_lines"),
         F.sha2(F.coalesce(utf8(text_col), F.lit(b"")), 256).alias("whole"),
     )
     return rows.join(cut, ["doc", "text_hash"], "left").select(

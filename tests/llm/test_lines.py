@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -106,3 +107,28 @@ def test_stream_over_partitions_and_batches(seed):
     for r in rows:
         docs.setdefault(r[0], set()).add(r[2])
     assert sorted(got) == sorted((r[2], r[4]) for r in rows if len(docs[r[0]]) >= 4 and r[2] != max(docs[r[0]]))
+
+
+def test_code_points_and_folding(spark):
+    """Code points, not bytes, make a key long enough; only A-Z are folded."""
+    short, long = "é" * 39, "Ä" + "é" * 39
+    rows = [(i, f"{short}\n {long}\n{long.lower()}\n\x0b{'K' * 40}\t\n{'K' * 40}") for i in range(6)]
+    assert rows_of(dedup_lines(docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows]))) == brute(rows)
+
+
+def test_checkpoints_leave_few_files(spark):
+    """Files of the shared folder follow the cores, not the shuffle's partitions."""
+    sc, keep = spark.sparkContext, {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    files = lambda: sum(f.startswith("part-") for _, _, fs in os.walk(sc.getCheckpointDir().removeprefix("file:")) for f in fs)
+    most = 4 * sc.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(4 * most))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = made(random.Random(5), 300, "a line that a third of all documents hold, many times over")
+        df, before = docs_df(spark, [t for _, t in rows], ids=[i for i, _ in rows]), files()
+        got = dedup_lines(df)
+        assert 0 < files() - before <= 2 * most
+        assert rows_of(got) == brute(rows)
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
