@@ -325,6 +325,9 @@ def decontaminate(
         tidy_worker("winnow")
         return _anchor_frame(_anchors(bufs.tolist(), shape, sorted(tags), passes))
 
+    # Else a filter on its result would run it a second time in each task.
+    doc_anchors = doc_anchors.asNondeterministic()
+
     if keep_columns:
         base = docs.withColumn("_a", doc_anchors(utf8(text_col)))
         text = F.col(text_col)
@@ -337,10 +340,17 @@ def decontaminate(
         scan = marked
     else:
         scan = marked.select("_tid", "_a")
-    hits = (
+    found = (
         scan.where(F.col("_tid").isNotNull())
         .select("_tid", F.explode(F.arrays_zip("_a.tag", "_a.pos", "_a.hash", "_a.left", "_a.ctx")).alias("a"))
         .select(F.col("_tid").alias("tid"), "a.tag", "a.pos", "a.hash", "a.left", "a.ctx")
+    )
+    if keep_columns:
+        # A broadcast join would run both Python steps in one task, with a
+        # worker each; the few fingerprints that passed go to tasks of their own.
+        found = found.hint("rebalance")
+    hits = (
+        found
         .join(
             anchors.select("tag", "hash", F.col("left").alias("ileft"), F.col("ctx").alias("ictx"), "item_ctx").distinct(),
             ["tag", "hash"],

@@ -33,3 +33,7 @@ def clashing(df):
 
 
 LONG = T.LongType()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()

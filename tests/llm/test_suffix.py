@@ -7,7 +7,7 @@ import pytest
 
 from planar.llm import suffix as sx
 from planar.llm.queries import op7_suffix_dedup
-from tests.llm.helpers import clashing, docs_df, words_of
+from tests.llm.helpers import clashing, docs_df, plan_of, words_of
 
 L = 400
 
@@ -172,3 +172,11 @@ def test_only_repeated_phrases_are_sorted(spark, monkeypatch):
         assert min(rows[0], rows[1]) >= len(shared) and not any(rows[i] for i in range(2, 42))
         phrases = 2 * len(shared) / 20  # at least 20 bytes or so each
         assert got["symbols"] < phrases
+
+
+def test_filters_are_not_run_again_on_the_other_side_of_a_join(spark):
+    # One Python step per task: the two scans ask the filter, the remainders' side must not.
+    rng = random.Random(29)
+    same = words_of(rng, 200)
+    plan = plan_of(sx.strip_repeats(docs_df(spark, [f"{words_of(rng, 100)} {same} {i}" for i in range(6)])))
+    assert plan.count("MapInArrow") == 1 and plan.count("ArrowEvalPython") == 2

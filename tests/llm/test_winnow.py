@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from planar.llm import winnow as wn
 from planar.llm.queries import op6_decontamination
-from tests.llm.helpers import clashing, docs_df, words_of
+from tests.llm.helpers import clashing, docs_df, plan_of, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -158,3 +158,18 @@ def test_long_words_match_whole(spark):
     d = docs_df(spark, [t for _, t in docs], ids=[i for i, _ in docs])
     i = spark.createDataFrame(items, "item_id long, text string")
     assert sorted((tuple(r) for r in wn.decontaminate(d, i).collect()), key=str) == brute(docs, items)
+
+
+def test_pipeline_form_runs_one_python_step_per_task(spark, monkeypatch):
+    rng = random.Random(31)
+    bad = words_of(rng, 30)
+    docs = docs_df(spark, [f"{words_of(rng, 80)} {bad}", words_of(rng, 80), None])
+    items = spark.createDataFrame([("a", bad)], "item_id string, text string")
+    plans, kind = [], type(docs)
+    written = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a, **k: plans.append(plan_of(self)) or written(self, *a, **k))
+    out = wn.decontaminate(docs, items, keep_columns=True).collect()
+    assert sorted(r.doc_id for r in out if r._contaminated) == [0] and len(out) == 3
+    (plan,) = [p for p in plans if "MapInArrow" in p]
+    assert plan.count("ArrowEvalPython") == 1  # the filter on its result does not run it again
+    assert "Exchange" in plan[plan.index("MapInArrow") : plan.index("ArrowEvalPython")]
